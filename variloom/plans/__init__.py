@@ -1,0 +1,6 @@
+"""Registered queries by area."""
+
+from variloom.plans import cohort  # noqa: F401
+from variloom.plans.registry import RUNS
+
+__all__ = ["RUNS"]
