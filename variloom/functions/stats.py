@@ -32,22 +32,25 @@ def hypergeometric_tail(alt: Column, depth: Column, alt_total: Column, total: Co
     expectation + sqrt(TAIL_EXPONENT * depth) add less than double precision can hold
     (Hoeffding's inequality holds for draws without replacement), so the number of terms
     grows with the square root of the depth.
+
+    The counts are bound once, as a lambda's variable, so the expression stays small
+    whatever the arguments are.
     """
-    top = F.least(alt_total, depth)
-    ln_first = (
-        ln_factorial(alt_total) - ln_factorial(alt) - ln_factorial(alt_total - alt)
-        + ln_factorial(total - alt_total) - ln_factorial(depth - alt)
-        - ln_factorial(total - alt_total - depth + alt)
-        - ln_factorial(total) + ln_factorial(depth) + ln_factorial(total - depth)
-    )
-    expected = depth.cast("double") * alt_total / total
-    last = F.least(top, F.ceil(expected + F.sqrt(F.lit(TAIL_EXPONENT) * depth)).cast("bigint"))
-    steps = F.when(last > alt, F.sequence(alt, last - 1)).otherwise(F.array().cast("array<bigint>"))
+    counts = F.struct(alt.alias("x"), depth.alias("d"), alt_total.alias("k"), total.alias("n"))
+    return F.get(F.transform(F.array(counts), lambda c: _tail(c["x"], c["d"], c["k"], c["n"])), F.lit(0))
+
+
+def _tail(x: Column, d: Column, k: Column, n: Column) -> Column:
+    plus = (k, n - k, d, n - d)
+    minus = (x, k - x, d - x, n - k - d + x, n)
+    terms = F.array(*(F.struct(v.alias("v"), F.lit(s).alias("s")) for vs, s in ((plus, 1.0), (minus, -1.0)) for v in vs))
+    ln_first = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t["s"] * ln_factorial(t["v"]))
+    last = F.least(k, d, F.ceil(d.cast("double") * k / n + F.sqrt(F.lit(TAIL_EXPONENT) * d)).cast("bigint"))
+    steps = F.when(last > x, F.sequence(x, last - 1)).otherwise(F.array().cast("array<bigint>"))
     start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
 
-    def add(acc: Column, k: Column) -> Column:
-        term = (acc["term"] * (alt_total - k) * (depth - k)
-                / ((k + 1) * (total - alt_total - depth + k + 1)))
+    def add(acc: Column, at: Column) -> Column:
+        term = acc["term"] * ((k - at) * (d - at)) / ((at + 1) * (n - k - d + at + 1))
         return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
 
     return F.least(F.lit(1.0), F.exp(ln_first) * F.aggregate(steps, start, add, lambda a: a["total"]))

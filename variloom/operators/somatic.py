@@ -49,6 +49,16 @@ def at_most(part: Column, whole: Column, share: float) -> Column:
     return (whole > 0) & (part * 1000 <= whole * round(share * 1000))
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns behind a generator, so each is evaluated once per row.
+
+    Plain projections would be merged into later filters and projections, which repeats
+    their expressions there.
+    """
+    fields = F.struct(*(c.alias(n) for n, c in columns.items()))
+    return df.select("*", F.inline(F.array(fields)))
+
+
 # ---- from alignments to bases ------------------------------------------------------------
 
 
@@ -128,26 +138,24 @@ def with_reference(pile: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
 
 def allele_counts(pile: DataFrame, keys: list[str] = LOCUS) -> DataFrame:
     """Reference and most frequent other base per locus with their normal and tumor counts."""
-    def of(side: str, base: str) -> Column:
-        return F.col(_count(side, base, "f")) + F.col(_count(side, base, "r"))
-
-    def pick(side: str, chosen: Column) -> Column:
-        value = F.lit(0)
-        for base in BASES:
-            value = F.when(chosen == base, of(side, base)).otherwise(value)
-        return value.cast("bigint")
-
-    pooled = {b: F.when(F.col("ref") == b, F.lit(0)).otherwise(of("n", b) + of("t", b)) for b in BASES}
-    top = F.greatest(*pooled.values())
-    alt = F.lit(None).cast("string")
-    for base in reversed(BASES):
-        alt = F.when(pooled[base] == top, base).otherwise(alt)
-    chosen = pile.withColumn("alt", F.when(top > 0, alt))
-    return chosen.select(
-        *keys, "ref", "alt",
-        pick("n", F.col("ref")).alias("n_ref"), pick("n", F.col("alt")).alias("n_alt"),
-        pick("t", F.col("ref")).alias("t_ref"), pick("t", F.col("alt")).alias("t_alt"),
-        *(sum(of(side, b) for b in BASES).cast("bigint").alias(f"{side}_depth") for side in ROLES),
+    sums = {f"{side}_{b}": F.col(_count(side, b, "f")) + F.col(_count(side, b, "r")) for side in ROLES for b in BASES}
+    summed = computed(pile, **sums)
+
+    def of_ref(side: str) -> Column:
+        return sum(F.when(F.col("ref") == b, F.col(f"{side}_{b}")).otherwise(0) for b in BASES).cast("bigint")
+
+    # the other base with most reads, the first in order on ties
+    others = F.array(*(
+        F.struct(F.when(F.col("ref") == b, -1).otherwise(F.col(f"n_{b}") + F.col(f"t_{b}")).alias("reads"),
+                 F.lit(-i).alias("tie"), F.lit(b).alias("base"), F.col(f"n_{b}").alias("n"), F.col(f"t_{b}").alias("t"))
+        for i, b in enumerate(BASES)))
+    topped = computed(summed, top=F.array_max(others))
+    seen = F.col("top.reads") > 0
+    return topped.select(
+        *keys, "ref", F.when(seen, F.col("top.base")).alias("alt"),
+        of_ref("n").alias("n_ref"), F.when(seen, F.col("top.n")).otherwise(0).cast("bigint").alias("n_alt"),
+        of_ref("t").alias("t_ref"), F.when(seen, F.col("top.t")).otherwise(0).cast("bigint").alias("t_alt"),
+        *(sum(F.col(f"{side}_{b}") for b in BASES).cast("bigint").alias(f"{side}_depth") for side in ROLES),
     )
 
 
@@ -209,15 +217,13 @@ def call_somatic(counts: DataFrame, params: SomaticParams = SomaticParams()) ->
     covered = counts.where(
         (n_depth >= params.min_coverage_normal) & (t_depth >= params.min_coverage_tumor)
         & (n_depth + t_depth >= params.min_coverage) & F.col("alt").isNotNull())
-    typed = covered.withColumns({
-        "n_gt": genotype(n_alt, n_depth, params, params.normal_purity),
-        "t_gt": genotype(t_alt, t_depth, params, params.tumor_purity),
-    }).where("n_gt <> 'ref' or t_gt <> 'ref'")
+    typed = computed(covered, n_gt=genotype(n_alt, n_depth, params, params.normal_purity),
+                     t_gt=genotype(t_alt, t_depth, params, params.tumor_purity))
+    tested = computed(
+        typed.where("n_gt <> 'ref' or t_gt <> 'ref'"),
+        somatic_p=F.round(fisher_one_tailed(n_ref, n_alt, t_ref, t_alt), 9),
+        variant_p=F.round(variant_p(n_ref + t_ref, n_alt + t_alt), 9))
     shifted = F.col("n_gt") != F.col("t_gt")
-    tested = typed.withColumns({
-        "somatic_p": F.round(fisher_one_tailed(n_ref, n_alt, t_ref, t_alt), 9),
-        "variant_p": F.round(variant_p(n_ref + t_ref, n_alt + t_alt), 9),
-    })
     somatic = shifted & (F.col("somatic_p") <= params.somatic_p_value)
     status = (
         F.when(~shifted, "Germline")

@@ -84,17 +84,19 @@ def recode_windows(seqs: DataFrame, organism: str = "human", full_serine: bool =
     listed = _pieces(seqs, WINDOW - 1, spread).withColumn(
         "_best", F.transform(S.codons(F.col("piece")),
                              lambda c: F.coalesce(F.try_element_at(table, c), F.concat(c, F.lit("0")))))
-    recoded = listed.withColumns({
-        "_new": F.array_join(F.transform("_best", lambda b: F.substring(b, 1, 3)), ""),
-        "_scores": F.transform("_best", lambda b: F.substring(b, 4, 1).cast("int")),
-    }).withColumn("_k", F.explode(F.sequence(F.lit(0), F.size("_best") - WINDOW)))
-    at = F.col("_k") * 3 + 1
-    scores = F.slice("_scores", F.col("_k") + 1, F.lit(WINDOW))
-    windows = recoded.select(
-        "seq_id", (F.col("first") + F.col("_k")).alias("start"),
-        F.substring("piece", at, F.lit(WINDOW_BASES)).alias("old"),
-        F.substring("_new", at, F.lit(WINDOW_BASES)).alias("new"),
-        F.aggregate(scores, F.lit(0), lambda total, n: total + n).alias("score"))
+    recoded = listed.select(
+        "seq_id", "first", "piece", F.array_join(F.transform("_best", lambda b: F.substring(b, 1, 3)), "").alias("_new"),
+        F.transform("_best", lambda b: F.substring(b, 4, 1).cast("int")).alias("_scores"))
+
+    def window(k: Column) -> Column:
+        changed = F.slice("_scores", k + 1, F.lit(WINDOW))
+        return F.struct(
+            (F.col("first") + k).alias("start"),
+            F.substring("piece", k * 3 + 1, F.lit(WINDOW_BASES)).alias("old"),
+            F.substring("_new", k * 3 + 1, F.lit(WINDOW_BASES)).alias("new"),
+            F.aggregate(changed, F.lit(0), lambda total, n: total + n).alias("score"))
+
+    windows = recoded.select("seq_id", F.inline(F.transform(F.sequence(F.lit(0), F.size("_scores") - WINDOW), window)))
     return windows.withColumns({
         "mt": S.melting_temp(F.col("new")),
         "pc": F.col("score") / WINDOW_BASES * 100,

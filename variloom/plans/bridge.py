@@ -75,7 +75,7 @@ select {case_of('c_custkey')} as case_id, case when c_acctbal >= 6000 then ' PAS
     "processing_ids": f"select {case_of('c_custkey')} as case_id from {{customer}} where c_acctbal between 1000 and 2000",
     # newer locations of some files
     "new_list": """
-select row_id as list_pos, barcode, 'gs://nb'||cast(file_size % 5 as string)||'/'||file_name as url
+select row_id as list_pos, barcode, 'gs://nb'||cast(row_id % 5 as string)||'/'||file_name as url
  from {manifest} where platform = 'Illumina HiSeq'""",
     # samples in progress and finished ones, named by customer; they overlap
     "processing": f"""
