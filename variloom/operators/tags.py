@@ -46,7 +46,7 @@ def _pieces(seqs: DataFrame, overlap: int, spread: bool) -> DataFrame:
     Cutting works on bytes, where a position needs no scan from the start. ``spread``
     shuffles the pieces, so a very long sequence does not keep one task busy.
     """
-    count = F.floor(F.length("seq") / 3) - overlap
+    count = F.floor(F.length("_bytes") / 3) - overlap
     starts = F.when(count > 0, F.sequence(F.lit(0), F.ceil(count / PIECE_CODONS) - 1))
     raw = F.col("_bytes")
     cut = F.transform(F.coalesce(starts, F.array().cast("array<bigint>")), lambda n: F.substring(

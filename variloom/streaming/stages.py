@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from variloom.operators.runstate import node_status
 from variloom.session import work_path
@@ -18,7 +19,7 @@ from variloom.session import work_path
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def read_events(spark: SparkSession, folder: str, schema: str, glob: str = "*", max_files: int = 1000) -> DataFrame:
+def read_events(spark: SparkSession, folder: str, schema: StructType | str, glob: str = "*", max_files: int = 1000) -> DataFrame:
     """Parquet files of a folder as a stream."""
     return (spark.readStream.schema(schema).option("pathGlobFilter", glob)
             .option("maxFilesPerTrigger", max_files).parquet(folder))
