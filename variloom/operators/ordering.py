@@ -90,17 +90,20 @@ def file_row_index(df: DataFrame, name: str = "row_no", per_file: bool = False)
         "_at": F.col("_metadata.file_block_start"),
         "_seq": F.monotonically_increasing_id(),
     })
-    return split_running(marked, {name: F.lit(1)}, per_file).drop("_path", "_at", "_seq")
+    return split_running(marked, {name: F.lit(1)}, ["_path"] if per_file else []).drop("_path", "_at", "_seq")
 
 
-def split_running(marked: DataFrame, sums: dict[str, Column], per_file: bool) -> DataFrame:
-    """Running sums in file order over rows marked with ``_path``, ``_at`` and ``_seq``."""
+def split_running(marked: DataFrame, sums: dict[str, Column], scope: list[str]) -> DataFrame:
+    """Running sums in file order over rows marked with ``_path``, ``_at`` and ``_seq``.
+
+    Sums start over for each value of ``scope``, columns that are constant within a file.
+    """
     flagged = marked.withColumns({f"_v_{n}": v.cast("bigint") for n, v in sums.items()})
-    scope = Window.partitionBy("_path") if per_file else Window.partitionBy()
-    before = scope.orderBy("_path", "_at").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*scope).orderBy("_path", "_at").rowsBetween(Window.unboundedPreceding, -1)
     # one row per file split
+    keys = [c for c in scope if c != "_path"]
     starts = (
-        flagged.groupBy("_path", "_at").agg(*(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums))
+        flagged.groupBy(*keys, "_path", "_at").agg(*(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums))
         .select("_path", "_at", *(F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_s_{n}")
                                   for n in sums)))
     upto = Window.partitionBy("_path", "_at").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Column order of the manifest and of matched-pair files.
 MANIFEST_SCHEMA = ("file_gdc_id string, program_name string, project_short_name string, barcode string, "
@@ -15,7 +15,14 @@ PAIR_SCHEMA = ("index bigint, case_id string, tumor_barcode string, tumor_file s
 TODO_SCHEMA = PAIR_SCHEMA + ", new_tumor_url string, new_normal_url string"
 
 # To-do file names carry cohort and cancer code.
-TODO_NAME = "^([^_]+)_TODO_([^_]+)_"
+TODO_NAME = "([^_/]+)_TODO_([^_/]+)_"
+
+
+def source_name() -> Column:
+    """Name of the file a row comes from; of its folder when a Spark job wrote the file."""
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    name = F.element_at(parts, -1)
+    return F.when(name.startswith("part-"), F.element_at(parts, -2)).otherwise(name)
 
 
 def _sizes(df: DataFrame) -> DataFrame:
@@ -45,7 +52,7 @@ def read_pairs(spark: SparkSession, path: str, header: bool = False) -> DataFram
 
 def read_todo(spark: SparkSession, path: str) -> DataFrame:
     """To-do pairs, 18 columns; ``cohort`` and ``cancer`` come from the file name."""
-    name = F.col("_metadata.file_name")
+    name = source_name()
     rows = spark.read.schema(TODO_SCHEMA).csv(path)
     return _sizes(rows.withColumns({"cohort": F.regexp_extract(name, TODO_NAME, 1),
                                     "cancer": F.regexp_extract(name, TODO_NAME, 2)}))

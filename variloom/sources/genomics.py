@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from variloom.operators.ordering import split_running
+from variloom.sources.files import source_name
 
 # Leading columns of alignment and variant records.
 SAM_COLUMNS = {"qname": "string", "flag": "int", "raw_chrom": "string", "pos": "bigint", "mapq": "int",
@@ -38,13 +39,13 @@ def read_sam(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def read_vcf(spark: SparkSession, path: str, samples: tuple[str, str] = ("normal", "tumor")) -> DataFrame:
     """Variant records with INFO as a map and a map per sample column.
 
-    Sample, chromosome file and kind come from the file name.
+    Sample and kind come from partition folders when there are any, else from the file name.
     """
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    lines = spark.read.text(path).where(~F.col("value").startswith("#")).select(
-        _fields(F.col("value"), len(VCF_COLUMNS)).alias("f"),
-        F.regexp_extract(name, VCF_NAME, 1).alias("sample"),
-        F.regexp_extract(name, VCF_NAME, 3).alias("kind"))
+    raw = spark.read.text(path)
+    name = source_name()
+    placed = {"sample": F.regexp_extract(name, VCF_NAME, 1), "kind": F.regexp_extract(name, VCF_NAME, 3)}
+    origin = [F.col(c) if c in raw.columns else text.alias(c) for c, text in placed.items()]
+    lines = raw.where(~F.col("value").startswith("#")).select(_fields(F.col("value"), len(VCF_COLUMNS)).alias("f"), *origin)
     return parse_vcf_fields(lines, samples)
 
 
@@ -67,16 +68,19 @@ def parse_vcf_fields(lines: DataFrame, samples: tuple[str, str] = ("normal", "tu
 
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
-    """Reference lines as (chrom, start, bases), start being 0-based; chrom is the file name.
+    """Reference lines as (chrom, start, bases), start being 0-based.
 
-    Offsets are running sums inside file splits plus the totals of earlier splits.
+    The chromosome is a partition folder or the file name. Its lines may be spread over
+    several files in name order. Offsets are running sums inside file splits plus the
+    totals of earlier splits.
     """
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    lines = spark.read.text(path).select(
-        F.regexp_replace(name, r"\..*$", "").alias("chrom"), F.upper(F.trim("value")).alias("bases"),
+    raw = spark.read.text(path)
+    chrom = F.col("chrom") if "chrom" in raw.columns else F.regexp_replace(source_name(), r"\..*$", "").alias("chrom")
+    lines = raw.select(
+        chrom, F.upper(F.trim("value")).alias("bases"),
         F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_at"),
         F.monotonically_increasing_id().alias("_seq")).where("bases <> '' and not startswith(bases, '>')")
-    placed = split_running(lines, {"_end": F.length("bases")}, per_file=True)
+    placed = split_running(lines, {"_end": F.length("bases")}, ["chrom"])
     return placed.select("chrom", (F.col("_end") - F.length("bases")).alias("start"), "bases")
 
 
