@@ -34,9 +34,8 @@ def expected_pairs(windows, params):
 
 @pytest.fixture()
 def small_pieces(monkeypatch):
-    # pieces and blocks far smaller than a sequence, so every seam is crossed
+    # pieces far smaller than a sequence, so every seam is crossed
     monkeypatch.setattr(T, "PIECE_CODONS", 10)
-    monkeypatch.setattr(T, "PAIR_BLOCK", 12)
 
 
 PARAMS = T.TagParams(min_temp=64, max_temp=72, min_recoded=35, min_distance=40, max_distance=120)
@@ -55,16 +54,15 @@ def test_windows_match_brute_force(spark, small_pieces):
 
 def test_pairs_match_brute_force(spark, small_pieces):
     df, rows = sequences(spark, LENGTHS)
-    windows = T.filter_windows(T.recode_windows(df), PARAMS)
     want = expected_pairs(expected_windows(rows, PARAMS), PARAMS)
-    got = [(r.seq_id, r.left_start, r.right_start, r.score) for r in T.window_pairs(windows, PARAMS).collect()]
+    got = [(r.seq_id, r.left_start, r.right_start, r.score) for r in T.window_pairs(df, PARAMS).collect()]
     assert sorted(got) == sorted(want) and len(want) > 50
     top = {}
     for s, *_, score in want:
         top[s] = max(score, top.get(s, 0))
-    best = {(r.seq_id, r.left_start, r.right_start, r.score) for r in T.best_pairs(windows, PARAMS).collect()}
+    best = {(r.seq_id, r.left_start, r.right_start, r.score) for r in T.best_pairs(df, PARAMS).collect()}
     assert best == {w for w in want if w[3] == top[w[0]]}
-    last = {(r.seq_id, r.left_start, r.right_start) for r in T.best_pairs(windows, PARAMS, "parity").collect()}
+    last = {(r.seq_id, r.left_start, r.right_start) for r in T.best_pairs(df, PARAMS, "parity").collect()}
     assert last == {max((w[0], w[1], w[2]) for w in want if w[0] == s) for s in top}
 
 

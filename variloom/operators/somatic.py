@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from variloom.functions.stats import fisher_one_tailed, hypergeometric_tail
+from variloom.operators.base import computed
 from variloom.operators.reads import REVERSE, has
 
 BASES = ["A", "C", "G", "T"]
@@ -49,16 +50,6 @@ def at_most(part: Column, whole: Column, share: float) -> Column:
     return (whole > 0) & (part * 1000 <= whole * round(share * 1000))
 
 
-def computed(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns behind a generator, so each is evaluated once per row.
-
-    Plain projections would be merged into later filters and projections, which repeats
-    their expressions there.
-    """
-    fields = F.struct(*(c.alias(n) for n, c in columns.items()))
-    return df.select("*", F.inline(F.array(fields)))
-
-
 # ---- from alignments to bases ------------------------------------------------------------
 
 

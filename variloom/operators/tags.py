@@ -1,7 +1,9 @@
 """Synonymous tag windows in DNA sequences.
 
-Long sequences are cut into short overlapping pieces first, so that windows of one very
-long sequence are worked on by many tasks and no window function runs over a sequence.
+Sequences are cut into overlapping pieces first. A piece overlaps the next one by as much
+as an operator looks ahead, so windows and their partners are found inside one row: a very
+long sequence is worked on by many tasks, and windows, many times the size of their
+sequence, are never shuffled.
 """
 
 from __future__ import annotations
@@ -9,14 +11,17 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from variloom.functions import sequence as S
+from variloom.operators.base import computed
 
 WINDOW = S.WINDOW_CODONS
 WINDOW_BASES = 3 * WINDOW
-PIECE_CODONS = 256
-PAIR_BLOCK = 4096
+PIECE_CODONS = 2048
+
+#: Score and melting temperature of a codon or window share an integer: score * SHARE + temperature.
+SHARE = 1000
 
 # Limits of the design parameters.
 MIN_TEMP, MAX_TEMP = 0, 200
@@ -40,36 +45,65 @@ class TagParams:
         return (max(1, math.ceil(self.min_distance / 3) - WINDOW), self.max_distance // 3 - WINDOW)
 
 
-def _pieces(seqs: DataFrame, overlap: int, spread: bool) -> DataFrame:
+def _pieces(seqs: DataFrame, need: int, overlap: int, spread: bool) -> DataFrame:
     """(seq_id, first codon, piece) rows; neighbours share ``overlap`` codons.
 
-    Cutting works on bytes, where a position needs no scan from the start. ``spread``
-    shuffles the pieces, so a very long sequence does not keep one task busy.
+    ``need`` is the number of codons the smallest result takes. Cutting works on bytes,
+    where a position needs no scan from the start. ``spread`` shuffles the pieces into a
+    fixed number of partitions: results are many times larger than pieces, so partitions
+    must not be merged by the size of their input.
     """
-    count = F.floor(F.length("_bytes") / 3) - overlap
-    starts = F.when(count > 0, F.sequence(F.lit(0), F.ceil(count / PIECE_CODONS) - 1))
-    raw = F.col("_bytes")
-    cut = F.transform(F.coalesce(starts, F.array().cast("array<bigint>")), lambda n: F.substring(
-        raw, (n * (3 * PIECE_CODONS) + 1).cast("int"), F.lit(3 * (PIECE_CODONS + overlap))).cast("string"))
+    count = F.floor(F.length("_bytes") / 3) - (need - 1)
+    numbers = F.when(count > 0, F.sequence(F.lit(0), F.ceil(count / PIECE_CODONS) - 1))
+    cut = F.transform(F.coalesce(numbers, F.array().cast("array<bigint>")), lambda n: F.substring(
+        F.col("_bytes"), (n * (3 * PIECE_CODONS) + 1).cast("int"), F.lit(3 * (PIECE_CODONS + overlap))))
     rows = seqs.select("seq_id", F.col("seq").cast("binary").alias("_bytes")).select(
         "seq_id", F.posexplode(cut).alias("_n", "piece"))
-    out = rows.select("seq_id", (F.col("_n") * PIECE_CODONS).alias("first"), "piece")
-    return out.repartition("seq_id", "first") if spread else out
+    out = rows.select("seq_id", (F.col("_n").cast("bigint") * PIECE_CODONS).alias("first"), "piece")
+    if not spread:
+        return out
+    return out.repartition(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seq_id", "first")
+
+
+def _codons(piece: Column) -> Column:
+    """Codons of a piece in one pass."""
+    return F.regexp_extract_all(piece.cast("string"), F.lit("(...)"), F.lit(1))
 
 
 def codon_table(seqs: DataFrame, organism: str = "human", spread: bool = True) -> DataFrame:
     """One row per codon: seq_id, i, codon, aa."""
-    opened = _pieces(seqs, 0, spread).select("seq_id", "first", F.posexplode(S.codons(F.col("piece"))).alias("_k", "codon"))
+    opened = _pieces(seqs, 1, 0, spread).select("seq_id", "first", F.posexplode(_codons(F.col("piece"))).alias("_k", "codon"))
     return opened.select("seq_id", (F.col("first") + F.col("_k")).alias("i"), "codon",
                          S.translate(F.col("codon"), organism).alias("aa"))
 
 
+def _bases(source: str) -> Column:
+    """The bases of window ``_k``."""
+    return F.substring(source, F.col("_k") * 3 + 1, F.lit(WINDOW_BASES)).cast("string")
+
+
 def codon_windows(seqs: DataFrame, spread: bool = True) -> DataFrame:
     """Every run of 8 codons: seq_id, start (codon index) and its bases ``old``."""
-    size = F.floor(F.length("piece") / 3).cast("int")
-    opened = _pieces(seqs, WINDOW - 1, spread).withColumn("_k", F.explode(F.sequence(F.lit(0), size - WINDOW)))
-    return opened.select("seq_id", (F.col("first") + F.col("_k")).alias("start"),
-                         F.substring("piece", F.col("_k") * 3 + 1, F.lit(WINDOW_BASES)).alias("old"))
+    last = F.floor(F.length("piece") / 3).cast("int") - WINDOW
+    opened = _pieces(seqs, WINDOW, WINDOW - 1, spread).withColumn("_k", F.explode(F.sequence(F.lit(0), last)))
+    return opened.select("seq_id", (F.col("first") + F.col("_k")).alias("start"), _bases("piece").alias("old"))
+
+
+def _recoded(pieces: DataFrame, organism: str, full_serine: bool, *keep: str) -> DataFrame:
+    """Pieces with their recoded bases ``new`` and ``vals``, score and temperature per window.
+
+    Codons are looked up once per piece, not once per window.
+    """
+    entries = {c: F.struct(F.lit(new).alias("new"), F.lit(n * SHARE + sum(2 if b in "AT" else 4 for b in new)).alias("v"))
+               for c, (new, n) in S.best_synonyms(organism, full_serine).items()}
+    table = F.create_map(*(x for c, entry in entries.items() for x in (F.lit(c), entry)))
+    best = F.transform(_codons(F.col("piece")), lambda c: F.coalesce(
+        F.try_element_at(table, c), F.struct(c.alias("new"), S.melting_temp(c).cast("int").alias("v"))))
+    kept = ["seq_id", "first", "piece", *keep]
+    looked = computed(computed(pieces, *kept, _best=best), *kept, _v=F.col("_best.v"),
+                      new=F.array_join("_best.new", "").cast("binary"))
+    window = " + ".join(f"get(_v, k + {i})" for i in range(WINDOW))
+    return computed(looked, *kept, "new", vals=F.expr(f"transform(sequence(0, size(_v) - {WINDOW}), k -> {window})"))
 
 
 def recode_windows(seqs: DataFrame, organism: str = "human", full_serine: bool = False,
@@ -77,30 +111,14 @@ def recode_windows(seqs: DataFrame, organism: str = "human", full_serine: bool =
     """Windows with every codon replaced by its most different synonym.
 
     Adds ``new``, ``score`` (changed bases), ``mt`` (melting temperature of ``new``) and
-    ``pc`` (percent changed). Codons are looked up once per piece, not once per window.
+    ``pc`` (percent changed).
     """
-    best = S.best_synonyms(organism, full_serine)
-    table = S.literal_map({c: f"{new}{n}" for c, (new, n) in best.items()})
-    listed = _pieces(seqs, WINDOW - 1, spread).withColumn(
-        "_best", F.transform(S.codons(F.col("piece")),
-                             lambda c: F.coalesce(F.try_element_at(table, c), F.concat(c, F.lit("0")))))
-    recoded = listed.select(
-        "seq_id", "first", "piece", F.array_join(F.transform("_best", lambda b: F.substring(b, 1, 3)), "").alias("_new"),
-        F.transform("_best", lambda b: F.substring(b, 4, 1).cast("int")).alias("_scores"))
-
-    def window(k: Column) -> Column:
-        changed = F.slice("_scores", k + 1, F.lit(WINDOW))
-        return F.struct(
-            (F.col("first") + k).alias("start"),
-            F.substring("piece", k * 3 + 1, F.lit(WINDOW_BASES)).alias("old"),
-            F.substring("_new", k * 3 + 1, F.lit(WINDOW_BASES)).alias("new"),
-            F.aggregate(changed, F.lit(0), lambda total, n: total + n).alias("score"))
-
-    windows = recoded.select("seq_id", F.inline(F.transform(F.sequence(F.lit(0), F.size("_scores") - WINDOW), window)))
-    return windows.withColumns({
-        "mt": S.melting_temp(F.col("new")),
-        "pc": F.col("score") / WINDOW_BASES * 100,
-    })
+    recoded = _recoded(_pieces(seqs, WINDOW, WINDOW - 1, spread), organism, full_serine)
+    opened = recoded.select("seq_id", "first", "piece", "new", F.posexplode("vals").alias("_k", "_v"))
+    score = F.expr(f"cast(_v div {SHARE} as int)")
+    return opened.select(
+        "seq_id", (F.col("first") + F.col("_k")).alias("start"), _bases("piece").alias("old"), _bases("new").alias("new"),
+        score.alias("score"), (F.col("_v") % SHARE).cast("double").alias("mt"), (score / WINDOW_BASES * 100).alias("pc"))
 
 
 def _temp_ok(params: TagParams) -> Column:
@@ -122,80 +140,95 @@ def window_rejects(windows: DataFrame, params: TagParams) -> DataFrame:
         F.count_if(_temp_ok(params) & changed_ok).alias("kept"))
 
 
-def _in_blocks(windows: DataFrame, block: int, reach: int) -> DataFrame:
-    """Rows placed in their block of starts, and in the one before when windows there reach them."""
-    own = F.floor(F.col("start") / block)
-    shared = (own > 0) & (F.col("start") % block < reach)
-    return windows.withColumn("_own", own).withColumn(
-        "_block", F.explode(F.when(shared, F.array(own, own - 1)).otherwise(F.array(own))))
+def _pair_pieces(seqs: DataFrame, params: TagParams, spread: bool = True) -> DataFrame:
+    """Pieces that hold every partner of the windows starting in them."""
+    low, high = params.steps
+    if high < low:
+        raise ValueError("no window pair fits the distance range")
+    return _pieces(seqs, WINDOW, high + WINDOW - 1, spread)
+
+
+def _scored(pieces: DataFrame, params: TagParams, organism: str, full_serine: bool, *keep: str) -> DataFrame:
+    """Recoded pieces with ``s``, the score of each kept window and NULL for the others.
+
+    ``own`` is the number of windows that start in the piece; the others are partners only.
+    """
+    kept = (f"v % {SHARE} between {params.min_temp} and {params.max_temp} "
+            f"and v div {SHARE} / {WINDOW_BASES} * 100 >= {params.min_recoded}")
+    return computed(
+        _recoded(pieces, organism, full_serine, *keep), "seq_id", "first", "new", *keep,
+        s=F.expr(f"transform(vals, v -> case when {kept} then cast(v div {SHARE} as int) end)"),
+        own=F.least(F.size("vals"), F.lit(PIECE_CODONS)))
+
+
+def _pairs(opened: DataFrame, partners: Column, *columns: Column | str) -> DataFrame:
+    """Pairs of window ``_k`` with each of ``partners``, both numbers within the piece."""
+    step = F.col("_j") - F.col("_k")
+    return opened.withColumn("_j", F.explode(partners)).select(
+        "seq_id", (F.col("first") + F.col("_k")).alias("left_start"), (F.col("first") + F.col("_j")).alias("right_start"),
+        ((step + WINDOW) * 3).alias("distance"), *columns)
 
 
-def window_pairs(windows: DataFrame, params: TagParams) -> DataFrame:
-    """Window pairs whose distance (start of the left to end of the right) is in range.
+def window_pairs(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
+    """Pairs of kept windows whose distance (start of the left to end of the right) is in range.
 
-    A join on sequence and block with a range condition: a window meets only the windows
-    of its own stretch, however long its sequence.
+    A window's partners lie a bounded way ahead in the same piece: no join, no window shuffle.
     """
     low, high = params.steps
-    placed = _in_blocks(windows.select("seq_id", "start", "score"), max(high, 1), high + 1)
-    left = placed.where("_block = _own").select(
-        "seq_id", "_block", F.col("start").alias("left_start"), F.col("score").alias("left_score"))
-    right = placed.select(
-        "seq_id", "_block", F.col("start").alias("right_start"), F.col("score").alias("right_score"))
-    step = F.col("right_start") - F.col("left_start")
-    return left.join(right, ["seq_id", "_block"]).where(step.between(low, high)).select(
-        "seq_id", "left_start", "right_start",
-        ((step + WINDOW) * 3).alias("distance"), (F.col("left_score") + F.col("right_score")).alias("score"))
-
-
-def best_pairs(windows: DataFrame, params: TagParams, mode: str = "intended") -> DataFrame:
-    """Window pairs in distance range with the highest summed score of their sequence.
-
-    ``intended`` gives every tie. ``parity`` gives the last pair with a positive score (by
-    left, then right window). Each left window learns its best partner from a bounded range
-    frame inside its block, so no pairs are built before the best sum is known.
+    scored = _scored(_pair_pieces(seqs, params), params, organism, full_serine)
+    lefts = scored.withColumn("_k", F.explode(F.expr("filter(sequence(0, own - 1), k -> get(s, k) is not null)")))
+    partners = F.expr(f"filter(sequence(_k + {low}, _k + {high}), j -> get(s, j) is not null)")
+    return _pairs(lefts, partners, F.expr("get(s, _k) + get(s, _j)").alias("score"))
+
+
+def _pair_details() -> list[Column]:
+    def bases(at: str) -> Column:
+        return F.expr(f"cast(substring(new, {at} * 3 + 1, {WINDOW_BASES}) as string)")
+
+    return [F.expr("get(s, _k)").alias("left_score"), F.expr("get(s, _j)").alias("right_score"),
+            F.expr("get(s, _k) + get(s, _j)").alias("score"), bases("_k").alias("left_new"), bases("_j").alias("right_new")]
+
+
+def best_pairs(seqs: DataFrame, params: TagParams, mode: str = "intended", organism: str = "human",
+               full_serine: bool = False) -> DataFrame:
+    """Pairs of kept windows in distance range with the highest summed score of their sequence.
+
+    ``intended`` gives every tie: each piece finds its highest sum, the sums are reduced to
+    one per sequence, and only pieces that reach it list pairs. ``parity`` gives the last
+    pair with a positive score, by left, then right window.
     """
     low, high = params.steps
-    if high < low:
-        raise ValueError("no window pair fits the distance range")
-    block = max(PAIR_BLOCK, high)
-    placed = _in_blocks(windows.select("seq_id", "start", "score", "new"), block, high + 1)
-    frame = Window.partitionBy("seq_id", "_block").orderBy("start").rangeBetween(low, high)
-    reach = F.max("score") if mode == "intended" else F.max(F.when(F.col("score") >= 0, F.col("start")))
-    left = placed.withColumn("_partner", reach.over(frame)).where("_block = _own and _partner is not null")
+    pieces = _pair_pieces(seqs, params)
+    partner = f"array_max(slice(s, k + {low + 1}, {high - low + 1}))"
     if mode == "intended":
-        ranked = left.withColumn("_rank", F.col("score") + F.col("_partner"))
-        partner = F.col("right_score") == F.col("_partner")
-    elif mode == "parity":
-        positive = F.max(F.when(F.col("score") > 0, F.col("start"))).over(frame)
-        scored = placed.withColumn("_partner", F.when(F.col("score") > 0, reach.over(frame)).otherwise(positive))
-        ranked = scored.where("_block = _own and _partner is not null").withColumn("_rank", F.col("start"))
-        partner = F.col("right_start") == F.col("_partner")
-    else:
+        reach = F.expr(f"array_max(transform(sequence(0, own - 1), k -> get(s, k) + {partner}))")
+        tops = _scored(pieces, params, organism, full_serine).select("seq_id", reach.alias("_reach"))
+        top = tops.groupBy("seq_id").agg(F.max("_reach").alias("_top")).where("_top is not null")
+        scored = _scored(pieces.join(top, "seq_id"), params, organism, full_serine, "_top").where(reach == F.col("_top"))
+        lefts = scored.withColumn("_k", F.explode(F.expr(f"filter(sequence(0, own - 1), k -> get(s, k) + {partner} = _top)")))
+        partners = F.expr(f"filter(sequence(_k + {low}, _k + {high}), j -> get(s, j) = _top - get(s, _k))")
+        return _pairs(lefts, partners, *_pair_details())
+    if mode != "parity":
         raise ValueError("mode must be 'intended' or 'parity'")
-    top = ranked.groupBy("seq_id").agg(F.max("_rank").alias("_top"))
-    tied = ranked.join(top, "seq_id").where("_rank = _top").select(
-        "seq_id", "_block", F.col("start").alias("left_start"), F.col("score").alias("left_score"),
-        F.col("new").alias("left_new"), "_partner")
-    right = placed.select("seq_id", "_block", F.col("start").alias("right_start"),
-                          F.col("score").alias("right_score"), F.col("new").alias("right_new"))
-    step = F.col("right_start") - F.col("left_start")
-    same = (tied["seq_id"] == right["seq_id"]) & (tied["_block"] == right["_block"])
-    return tied.join(right, same & partner & step.between(low, high)).select(
-        tied["seq_id"], "left_start", "right_start", ((step + WINDOW) * 3).alias("distance"),
-        "left_score", "right_score", (F.col("left_score") + F.col("right_score")).alias("score"),
-        "left_new", "right_new")
+
+    def positive(left: str) -> str:
+        return f"filter(sequence({left} + {low}, {left} + {high}), j -> get(s, j) + get(s, {left}) > 0)"
+
+    last = F.expr(f"array_max(filter(sequence(0, own - 1), k -> size({positive('k')}) > 0))")
+    lefts = _scored(pieces, params, organism, full_serine).withColumn("_k", last).where("_k is not null")
+    return last_pair(_pairs(lefts, F.array(F.expr(f"array_max({positive('_k')})")), *_pair_details()))
 
 
 def design_tags(seqs: DataFrame, params: TagParams = TagParams(), mode: str = "intended") -> DataFrame:
     """Best tag pairs of each sequence: clean, recode, filter, pair."""
     cleaned = seqs.select("seq_id", S.clean_sequence(F.col("seq")).alias("seq"))
-    return best_pairs(filter_windows(recode_windows(cleaned), params), params, mode)
+    return best_pairs(cleaned, params, mode)
 
 
 def last_pair(pairs: DataFrame) -> DataFrame:
     """The last of a sequence's tied pairs, by left, then right window."""
-    last = F.max(F.struct("left_start", "right_start", "distance", "score", "left_new", "right_new")).alias("_p")
+    rest = [c for c in pairs.columns if c not in ("seq_id", "left_start", "right_start")]
+    last = F.max(F.struct("left_start", "right_start", *rest)).alias("_p")
     return pairs.groupBy("seq_id").agg(last).select("seq_id", "_p.*")
 
 

@@ -62,8 +62,9 @@ CHECK_VIEWS["last_of"] = "select * from {best_of} qualify row_number() over (par
 PAIR_OUT = ["seq_id", "left_start", "right_start", "distance", "left_score", "right_score", "score", "left_new", "right_new"]
 
 
-def kept(v):
-    return T.filter_windows(T.recode_windows(v.sequences), PARAMS)
+@query("kept_windows", "select seq_id, start, score, cast(mt as double) as mt from {kept_windows}")
+def kept_windows(v):
+    return T.filter_windows(T.recode_windows(v.sequences), PARAMS).select("seq_id", "start", "score", "mt")
 
 
 @query("sequence_checks", """
@@ -165,19 +166,19 @@ def window_filter(v):
 
 @query("window_pairs", f"select seq_id, left_start, right_start, distance, score from ({_all_pairs(LISTED)})")
 def window_pairs(v):
-    return T.window_pairs(kept(v), LISTED)
+    return T.window_pairs(v.sequences, LISTED)
 
 
 @query("best_pairs", f"select {', '.join(PAIR_OUT)} from {{best_of}}")
 def best_pairs(v):
-    return T.best_pairs(kept(v), PARAMS).select(*PAIR_OUT)
+    return T.best_pairs(v.sequences, PARAMS).select(*PAIR_OUT)
 
 
 @query("last_pairs_parity", """
 select seq_id, left_start, right_start, score from {all_pairs}
  qualify row_number() over (partition by seq_id order by left_start desc, right_start desc) = 1""")
 def last_pairs_parity(v):
-    return T.best_pairs(kept(v), PARAMS, "parity").select("seq_id", "left_start", "right_start", "score")
+    return T.best_pairs(v.sequences, PARAMS, "parity").select("seq_id", "left_start", "right_start", "score")
 
 
 @query("tag_pairs", """
@@ -191,7 +192,7 @@ def tag_pairs(v):
 select s.seq_id, md5(substr(seq, 1, cast(3 * left_start as int))||left_new||substr(seq, cast(3 * left_start + 25 as int), cast(3 * (right_start - left_start) - 24 as int))
  ||right_new||substr(seq, cast(3 * right_start + 25 as int))) as digest, length(seq) as size from {sequences} s join {last_of} p on s.seq_id = p.seq_id""")
 def apply_tags(v):
-    tagged = T.apply_tags(v.sequences, T.last_pair(T.best_pairs(kept(v), PARAMS)))
+    tagged = T.apply_tags(v.sequences, T.last_pair(T.best_pairs(v.sequences, PARAMS)))
     return tagged.select("seq_id", F.md5("tagged").alias("digest"), F.length("tagged").cast("bigint").alias("size"))
 
 
