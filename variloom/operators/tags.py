@@ -141,11 +141,15 @@ def window_rejects(windows: DataFrame, params: TagParams) -> DataFrame:
 
 
 def _pair_pieces(seqs: DataFrame, params: TagParams, spread: bool = True) -> DataFrame:
-    """Pieces that hold every partner of the windows starting in them."""
+    """Pieces that hold every partner of the windows starting in them.
+
+    Sequences without id are left out here, as a join would do: with the same filter below
+    it, the shuffle of pieces is reused where pieces are read twice.
+    """
     low, high = params.steps
     if high < low:
         raise ValueError("no window pair fits the distance range")
-    return _pieces(seqs, WINDOW, high + WINDOW - 1, spread)
+    return _pieces(seqs.where("seq_id is not null"), WINDOW, high + WINDOW - 1, spread)
 
 
 def _scored(pieces: DataFrame, params: TagParams, organism: str, full_serine: bool, *keep: str) -> DataFrame:
