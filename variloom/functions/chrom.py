@@ -19,8 +19,7 @@ ALIGNMENT_SUFFIX = ".bam"
 
 def normalize_chrom(name: Column) -> Column:
     """Bare chromosome name to its prefixed form; any other name stays."""
-    numbered = name.rlike("^([1-9]|1[0-9]|2[0-2])$")
-    renamed = F.when(numbered, F.concat(F.lit("chr"), name))
+    renamed = F.when(name.isin([str(n) for n in range(1, 23)]), F.concat(F.lit("chr"), name))
     for target in ("chrX", "chrY", "chrM"):
         sources = [bare for bare, full in BARE_NAMES.items() if full == target]
         renamed = renamed.when(name.isin(sources), target)
@@ -29,7 +28,7 @@ def normalize_chrom(name: Column) -> Column:
 
 def chrom_rank(chrom: Column) -> Column:
     """Genome order: 1 to 22, X, Y, M, then everything else."""
-    bare = F.regexp_replace(chrom, "^chr", "")
+    bare = F.when(chrom.startswith("chr"), F.substring(chrom, 4, 2**31 - 1)).otherwise(chrom)
     rank = F.when(bare == "X", 23).when(bare == "Y", 24).when(bare == "M", 25)
     return rank.otherwise(F.coalesce(bare.try_cast("int"), F.lit(26)))
 

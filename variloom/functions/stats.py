@@ -1,4 +1,8 @@
-"""Exact tests as column expressions."""
+"""Exact tests as column expressions.
+
+Arguments are SQL texts, usually column names. The expressions are built as SQL because
+they nest lambdas deeply; Spark evaluates them as built-in functions all the same.
+"""
 
 from __future__ import annotations
 
@@ -7,24 +11,21 @@ import math
 from pyspark.sql import Column, functions as F
 
 #: A tail is summed until Hoeffding's bound on the rest is below exp(-2 * 24) (about 1e-21).
-TAIL_EXPONENT = 24.0
+TAIL_EXPONENT = 24
 
 
-def ln_factorial(n: Column) -> Column:
-    """ln(n!) for any n >= 0: exact up to 20, Stirling's series (error < 1e-14) above.
+def ln_factorial(n: str) -> str:
+    """SQL of ln(n!) for any n >= 0: exact up to 20, Stirling's series (error < 1e-14) above.
 
     No lookup table, so the depth of a locus is not limited by an array's length.
     """
-    x = n.cast("double")
-    inv = F.lit(1.0) / x
-    inv2 = inv * inv
-    series = inv * (F.lit(1.0 / 12) - inv2 * (F.lit(1.0 / 360) - inv2 * (
-        F.lit(1.0 / 1260) - inv2 * F.lit(1.0 / 1680))))
-    stirling = x * F.ln(x) - x + F.lit(0.5) * F.ln(F.lit(2 * math.pi) * x) + series
-    return F.when(n <= 20, F.ln(F.factorial(F.least(n, F.lit(20)).cast("int")))).otherwise(stirling)
+    half_ln_2pi = repr(0.5 * math.log(2 * math.pi))
+    series = f"(1D/12 - (1D/360 - (1D/1260 - 1D/1680/{n}/{n})/{n}/{n})/{n}/{n})/{n}"
+    stirling = f"({n} + 0.5D) * ln({n}) - {n} + {half_ln_2pi}D + {series}"
+    return f"(case when {n} <= 20 then ln(factorial(cast(least({n}, 20) as int))) else {stirling} end)"
 
 
-def hypergeometric_tail(alt: Column, depth: Column, alt_total: Column, total: Column) -> Column:
+def hypergeometric_tail(alt: str, depth: str, alt_total: str, total: str) -> Column:
     """P(X >= alt) when ``depth`` draws come from ``total`` reads holding ``alt_total`` alternates.
 
     Meant for ``alt`` at or above its expectation, where terms fall. The first term comes
@@ -33,37 +34,29 @@ def hypergeometric_tail(alt: Column, depth: Column, alt_total: Column, total: Co
     (Hoeffding's inequality holds for draws without replacement), so the number of terms
     grows with the square root of the depth.
 
-    The counts are bound once, as a lambda's variable, so the expression stays small
+    The counts are bound once, as a lambda's variable ``c``, so the expression stays small
     whatever the arguments are.
     """
-    counts = F.struct(alt.alias("x"), depth.alias("d"), alt_total.alias("k"), total.alias("n"))
-    return F.get(F.transform(F.array(counts), lambda c: _tail(c["x"], c["d"], c["k"], c["n"])), F.lit(0))
-
-
-def _tail(x: Column, d: Column, k: Column, n: Column) -> Column:
-    plus = (k, n - k, d, n - d)
-    minus = (x, k - x, d - x, n - k - d + x, n)
-    terms = F.array(*(F.struct(v.alias("v"), F.lit(s).alias("s")) for vs, s in ((plus, 1.0), (minus, -1.0)) for v in vs))
-    ln_first = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t["s"] * ln_factorial(t["v"]))
-    last = F.least(k, d, F.ceil(d.cast("double") * k / n + F.sqrt(F.lit(TAIL_EXPONENT) * d)).cast("bigint"))
-    steps = F.when(last > x, F.sequence(x, last - 1)).otherwise(F.array().cast("array<bigint>"))
-    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-
-    def add(acc: Column, at: Column) -> Column:
-        term = acc["term"] * ((k - at) * (d - at)) / ((at + 1) * (n - k - d + at + 1))
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-    return F.least(F.lit(1.0), F.exp(ln_first) * F.aggregate(steps, start, add, lambda a: a["total"]))
-
-
-def fisher_one_tailed(a_ref: Column, a_alt: Column, b_ref: Column, b_alt: Column) -> Column:
+    signed = [("k", 1), ("n - c.k", 1), ("d", 1), ("n - c.d", 1),
+              ("x", -1), ("k - c.x", -1), ("d - c.x", -1), ("n - c.k - c.d + c.x", -1), ("n", -1)]
+    terms = ", ".join(f"struct(c.{v} as v, {s}D as s)" for v, s in signed)
+    ln_first = f"aggregate(array({terms}), 0D, (acc, t) -> acc + t.s * {ln_factorial('t.v')})"
+    last = f"least(c.k, c.d, cast(ceil(c.d * 1D * c.k / c.n + sqrt({TAIL_EXPONENT}D * c.d)) as bigint))"
+    steps = f"if({last} > c.x, sequence(c.x, {last} - 1), cast(array() as array<bigint>))"
+    term = "acc.term * ((c.k - i) * (c.d - i)) / ((i + 1) * (c.n - c.k - c.d + i + 1))"
+    ratio_sum = (f"aggregate({steps}, struct(1D as term, 1D as sum), "
+                 f"(acc, i) -> struct({term} as term, acc.sum + {term} as sum), acc -> acc.sum)")
+    counts = f"array(struct({alt} as x, {depth} as d, {alt_total} as k, {total} as n))"
+    return F.expr(f"transform({counts}, c -> least(1D, exp({ln_first}) * {ratio_sum}))[0]")
+
+
+def fisher_one_tailed(a_ref: str, a_alt: str, b_ref: str, b_alt: str) -> Column:
     """One-tailed Fisher p of [[a_ref, a_alt], [b_ref, b_alt]] in the direction of b's shift.
 
     Counts are ``bigint``. A fall of alternates in b is a rise of its reference reads, so
     both directions use the upper tail.
     """
-    a_depth, b_depth = a_ref + a_alt, b_ref + b_alt
-    rises = b_alt * a_depth >= a_alt * b_depth
-    hit = F.when(rises, b_alt).otherwise(b_ref)
-    hits = F.when(rises, a_alt + b_alt).otherwise(a_ref + b_ref)
-    return hypergeometric_tail(hit, b_depth, hits, a_depth + b_depth)
+    rises = f"{b_alt} * ({a_ref} + {a_alt}) >= {a_alt} * ({b_ref} + {b_alt})"
+    return hypergeometric_tail(
+        f"if({rises}, {b_alt}, {b_ref})", f"{b_ref} + {b_alt}",
+        f"if({rises}, {a_alt} + {b_alt}, {a_ref} + {b_ref})", f"{a_ref} + {a_alt} + {b_ref} + {b_alt}")

@@ -17,17 +17,16 @@ MAX_RANGES = 4096
 
 
 def range_cuts(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> list:
-    """Cut points that split ``df`` into ranges of about ``rows_per_range`` rows by ``order``.
+    """Cut points that split ``df`` into ranges of at most about ``rows_per_range`` rows by ``order``.
 
-    ``order`` is a numeric column. At most ``MAX_RANGES - 1`` numbers reach the driver.
+    There are at least as many ranges as shuffle partitions. ``order`` is a numeric column.
+    At most ``MAX_RANGES - 1`` numbers reach the driver.
     """
-    rows = df.count()
-    ranges = min(MAX_RANGES, math.ceil(rows / rows_per_range))
-    if ranges <= 1:
-        return []
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(MAX_RANGES, max(partitions, math.ceil(df.count() / rows_per_range)))
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(order, shares, 20 * MAX_RANGES).alias("cuts")).first()["cuts"]
-    return sorted(set(cuts))
+    cuts = df.agg(F.percentile_approx(order, shares, 20 * ranges).alias("cuts")).first()["cuts"]
+    return sorted(set(cuts or []))
 
 
 def range_of(key: Column, cuts: list) -> Column:
@@ -63,12 +62,6 @@ def running_totals(df: DataFrame, order: str, sums: dict[str, Column],
                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add running sums in ``order`` (a numeric column without ties) over the whole table."""
     cuts = range_cuts(df.select(order), order, rows_per_range)
-    if not cuts:
-        flat = df.withColumn("_range", F.lit(0))
-        upto = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return flat.withColumns(
-            {name: F.sum(value.cast("bigint")).over(upto) for name, value in sums.items()}
-        ).drop("_range")
     ranged = df.withColumn("_range", range_of(F.col(order), cuts))
     return _running(ranged, "_range", F.col(order), sums)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from variloom.functions.stats import fisher_one_tailed, hypergeometric_tail
 from variloom.operators.base import computed
-from variloom.operators.reads import REVERSE, has
+from variloom.operators.reads import REVERSE
 
 BASES = ["A", "C", "G", "T"]
 ROLES = {"n": "normal", "t": "tumor"}
@@ -106,11 +106,9 @@ def pileup(bases: DataFrame, keys: list[str] = LOCUS, min_baseq: int = 0) -> Dat
     good = bases.where(F.col("base").isin(BASES))
     if min_baseq:
         good = good.where(F.col("baseq") >= min_baseq)
-    back = has(F.col("flag"), REVERSE)
     counts = [
-        F.count_if((F.col("role") == role) & (F.col("base") == base) & (back if strand == "r" else ~back))
-        .alias(_count(side, base, strand))
-        for side, role in ROLES.items() for base in BASES for strand in "fr"
+        F.expr(f"count_if(role = '{role}' and base = '{base}' and (flag & {REVERSE}) {sign} 0)").alias(_count(side, base, strand))
+        for side, role in ROLES.items() for base in BASES for strand, sign in (("f", "="), ("r", "<>"))
     ]
     if "ref" in bases.columns:
         # one reference base per locus: held as its code point, which a hash aggregate can update
@@ -129,24 +127,23 @@ def with_reference(pile: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
 
 def allele_counts(pile: DataFrame, keys: list[str] = LOCUS) -> DataFrame:
     """Reference and most frequent other base per locus with their normal and tumor counts."""
-    sums = {f"{side}_{b}": F.col(_count(side, b, "f")) + F.col(_count(side, b, "r")) for side in ROLES for b in BASES}
+    sums = {f"{side}_{b}": F.expr(f"{_count(side, b, 'f')} + {_count(side, b, 'r')}") for side in ROLES for b in BASES}
     summed = computed(pile, **sums)
+    # the other base with most reads, the first in order on ties
+    others = ", ".join(
+        f"struct(if(ref = '{b}', -1, n_{b} + t_{b}) as reads, {-i} as tie, '{b}' as base, n_{b} as n, t_{b} as t)"
+        for i, b in enumerate(BASES))
+    topped = computed(summed, top=F.expr(f"array_max(array({others}))"))
 
-    def of_ref(side: str) -> Column:
-        return sum(F.when(F.col("ref") == b, F.col(f"{side}_{b}")).otherwise(0) for b in BASES).cast("bigint")
+    def of_ref(side: str) -> str:
+        return "case ref " + " ".join(f"when '{b}' then {side}_{b}" for b in BASES) + " else 0 end"
 
-    # the other base with most reads, the first in order on ties
-    others = F.array(*(
-        F.struct(F.when(F.col("ref") == b, -1).otherwise(F.col(f"n_{b}") + F.col(f"t_{b}")).alias("reads"),
-                 F.lit(-i).alias("tie"), F.lit(b).alias("base"), F.col(f"n_{b}").alias("n"), F.col(f"t_{b}").alias("t"))
-        for i, b in enumerate(BASES)))
-    topped = computed(summed, top=F.array_max(others))
-    seen = F.col("top.reads") > 0
     return topped.select(
-        *keys, "ref", F.when(seen, F.col("top.base")).alias("alt"),
-        of_ref("n").alias("n_ref"), F.when(seen, F.col("top.n")).otherwise(0).cast("bigint").alias("n_alt"),
-        of_ref("t").alias("t_ref"), F.when(seen, F.col("top.t")).otherwise(0).cast("bigint").alias("t_alt"),
-        *(sum(F.col(f"{side}_{b}") for b in BASES).cast("bigint").alias(f"{side}_depth") for side in ROLES),
+        *keys, "ref", F.expr("case when top.reads > 0 then top.base end").alias("alt"),
+        *(F.expr(e).cast("bigint").alias(n) for n, e in {
+            "n_ref": of_ref("n"), "n_alt": "if(top.reads > 0, top.n, 0)",
+            "t_ref": of_ref("t"), "t_alt": "if(top.reads > 0, top.t, 0)",
+            "n_depth": " + ".join(f"n_{b}" for b in BASES), "t_depth": " + ".join(f"t_{b}" for b in BASES)}.items()),
     )
 
 
@@ -189,11 +186,10 @@ def genotype(alt: Column, depth: Column, params: SomaticParams, purity: float) -
             .when(at_least(alt, depth, params.min_var_freq * purity), "het").otherwise("ref"))
 
 
-def variant_p(ref: Column, alt: Column) -> Column:
+def variant_p(ref: str, alt: str) -> Column:
     """Upper Fisher tail of the pooled counts against one expected error per 1000 reads."""
-    depth = ref + alt
-    errors = F.floor(depth / 1000)
-    return hypergeometric_tail(alt, depth, errors + alt, depth * 2)
+    depth = f"({ref} + {alt})"
+    return hypergeometric_tail(alt, depth, f"{depth} div 1000 + {alt}", f"2 * {depth}")
 
 
 def call_somatic(counts: DataFrame, params: SomaticParams = SomaticParams()) -> DataFrame:
@@ -203,8 +199,7 @@ def call_somatic(counts: DataFrame, params: SomaticParams = SomaticParams()) ->
     Tests are computed for loci that pass coverage and have a variant on some side.
     p is rounded to 9 digits before it meets a threshold.
     """
-    n_ref, n_alt, t_ref, t_alt = (F.col(c) for c in ("n_ref", "n_alt", "t_ref", "t_alt"))
-    n_depth, t_depth = F.col("n_depth"), F.col("t_depth")
+    n_alt, t_alt, n_depth, t_depth = (F.col(c) for c in ("n_alt", "t_alt", "n_depth", "t_depth"))
     covered = counts.where(
         (n_depth >= params.min_coverage_normal) & (t_depth >= params.min_coverage_tumor)
         & (n_depth + t_depth >= params.min_coverage) & F.col("alt").isNotNull())
@@ -212,8 +207,8 @@ def call_somatic(counts: DataFrame, params: SomaticParams = SomaticParams()) ->
                      t_gt=genotype(t_alt, t_depth, params, params.tumor_purity))
     tested = computed(
         typed.where("n_gt <> 'ref' or t_gt <> 'ref'"),
-        somatic_p=F.round(fisher_one_tailed(n_ref, n_alt, t_ref, t_alt), 9),
-        variant_p=F.round(variant_p(n_ref + t_ref, n_alt + t_alt), 9))
+        somatic_p=F.round(fisher_one_tailed("n_ref", "n_alt", "t_ref", "t_alt"), 9),
+        variant_p=F.round(variant_p("(n_ref + t_ref)", "(n_alt + t_alt)"), 9))
     shifted = F.col("n_gt") != F.col("t_gt")
     somatic = shifted & (F.col("somatic_p") <= params.somatic_p_value)
     status = (
