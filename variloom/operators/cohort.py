@@ -94,6 +94,11 @@ def pair_mismatches(pairs: DataFrame, mode: str = "intended") -> DataFrame:
     return pairs.where(~F.coalesce(same, F.lit(False)))
 
 
+def _keys(ids: DataFrame, key: str = "case_id") -> DataFrame:
+    """Distinct keys: an id listed very often is folded before it meets the join."""
+    return ids.select(key).distinct()
+
+
 class Routed(NamedTuple):
     finished: DataFrame
     failed: DataFrame
@@ -106,17 +111,18 @@ def route(pairs: DataFrame, finished_ids: DataFrame, failed_ids: DataFrame,
 
     Failed pairs are recorded and tried again, unless ``exclude_failed``.
     """
-    finished = pairs.join(finished_ids.select("case_id"), "case_id", "left_semi")
-    to_run = pairs.join(finished_ids.select("case_id"), "case_id", "left_anti")
-    failed = to_run.join(failed_ids.select("case_id"), "case_id", "left_semi")
+    done, tried = _keys(finished_ids), _keys(failed_ids)
+    finished = pairs.join(done, "case_id", "left_semi")
+    to_run = pairs.join(done, "case_id", "left_anti")
+    failed = to_run.join(tried, "case_id", "left_semi")
     if exclude_failed:
-        to_run = to_run.join(failed_ids.select("case_id"), "case_id", "left_anti")
+        to_run = to_run.join(tried, "case_id", "left_anti")
     return Routed(finished, failed, to_run)
 
 
 def rebuild_queue(to_run: DataFrame, processing_ids: DataFrame) -> DataFrame:
     """Pairs to queue: those to run that are not in progress."""
-    return to_run.join(processing_ids.select("case_id"), "case_id", "left_anti")
+    return to_run.join(_keys(processing_ids), "case_id", "left_anti")
 
 
 def seed_state(pairs: DataFrame, finished_ids: DataFrame, failed_ids: DataFrame,
@@ -128,7 +134,7 @@ def seed_state(pairs: DataFrame, finished_ids: DataFrame, failed_ids: DataFrame,
     """
     flagged = pairs
     for name, ids in (("finished", finished_ids), ("failed", failed_ids), ("processing", processing_ids)):
-        flags = ids.select("case_id").distinct().withColumn(f"_{name}", F.lit(True))
+        flags = _keys(ids).withColumn(f"_{name}", F.lit(True))
         flagged = flagged.join(flags, "case_id", "left")
     done = F.col("_finished").isNotNull()
     states = F.array_compact(F.array(
@@ -230,7 +236,7 @@ def expand_units(pairs: DataFrame, references: list[str] | None = None) -> DataF
 
 def pending_samples(ids: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Samples that have no local result yet."""
-    return ids.join(done.select(key), key, "left_anti")
+    return ids.join(_keys(done, key), key, "left_anti")
 
 
 def find_case(df: DataFrame, case: str) -> DataFrame:

@@ -129,4 +129,4 @@ def _one_per_key(df: DataFrame, key: str | list[str], order: Column) -> DataFram
 
 def insert_ignore(target: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """Rows of ``new`` to append: keys not in ``target``, the first row of each key."""
-    return first_per_key(new, key, order).join(target.select(key), key, "left_anti")
+    return first_per_key(new, key, order).join(target.select(key).distinct(), key, "left_anti")

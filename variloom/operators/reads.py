@@ -55,6 +55,8 @@ def flagstat(reads: DataFrame, by: list[str] | None = None) -> DataFrame:
 def coverage_stats(reads: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Depth mean, median and maximum per reference over covered positions.
 
+    ``reads`` has one row per aligned base: one-base reads, or the rows with a base that
+    :func:`variloom.operators.somatic.expand_alignment` gives.
     Positions are counted first and then folded to a depth histogram, so the exact median
     needs one row per distinct depth and not one per position.
     """

@@ -167,9 +167,9 @@ def finish_transition(processing: DataFrame, finished: DataFrame, events: DataFr
     Rows already in ``finished`` are left out by an anti join on the case.
     """
     ended = events.where(F.col("stage") == FINAL_STAGE).select(
-        F.col("normal").alias("normal_file"), F.col("tumor").alias("tumor_file"))
+        F.col("normal").alias("normal_file"), F.col("tumor").alias("tumor_file")).distinct()
     moved = processing.join(ended, ["normal_file", "tumor_file"], "left_semi")
-    return moved.join(finished.select("case_id"), "case_id", "left_anti")
+    return moved.join(finished.select("case_id").distinct(), "case_id", "left_anti")
 
 
 def register_running(events: DataFrame) -> DataFrame:

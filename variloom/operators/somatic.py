@@ -68,12 +68,10 @@ def expand_alignment(reads: DataFrame) -> DataFrame:
         return F.aggregate(F.slice(F.col("_runs"), F.lit(1), upto), F.lit(0),
                            lambda at, run: at + F.when(run["op"].isin(letters), run["size"]).otherwise(0))
 
-    opened = reads.withColumn("_runs", runs).select(
-        "*", F.posexplode("_runs").alias("_i", "_run")).withColumns({
-            "_ref": F.col("pos") + moved(F.col("_i"), ["M", "D", "N", "=", "X"]),
-            "_read": moved(F.col("_i"), ["M", "I", "S", "=", "X"]),
-            "_op": F.col("_run.op"), "_size": F.col("_run.size"),
-        })
+    listed = computed(reads, _runs=runs).select("*", F.posexplode("_runs").alias("_i", "_run"))
+    opened = computed(
+        listed, _ref=F.col("pos") + moved(F.col("_i"), ["M", "D", "N", "=", "X"]),
+        _read=moved(F.col("_i"), ["M", "I", "S", "=", "X"]), _op=F.col("_run.op"), _size=F.col("_run.size"))
     none = F.lit(None).cast("string")
     matched = F.transform(F.sequence(F.lit(0), F.col("_size") - 1), lambda j: F.struct(
         (F.col("_ref") + j).alias("pos"), F.substring(seq, F.col("_read") + j + 1, F.lit(1)).alias("base"),

@@ -65,14 +65,9 @@ def _pieces(seqs: DataFrame, need: int, overlap: int, spread: bool) -> DataFrame
     return out.repartition(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seq_id", "first")
 
 
-def _codons(piece: Column) -> Column:
-    """Codons of a piece in one pass."""
-    return F.regexp_extract_all(piece.cast("string"), F.lit("(...)"), F.lit(1))
-
-
 def codon_table(seqs: DataFrame, organism: str = "human", spread: bool = True) -> DataFrame:
     """One row per codon: seq_id, i, codon, aa."""
-    opened = _pieces(seqs, 1, 0, spread).select("seq_id", "first", F.posexplode(_codons(F.col("piece"))).alias("_k", "codon"))
+    opened = _pieces(seqs, 1, 0, spread).select("seq_id", "first", F.posexplode(S.codons(F.col("piece").cast("string"))).alias("_k", "codon"))
     return opened.select("seq_id", (F.col("first") + F.col("_k")).alias("i"), "codon",
                          S.translate(F.col("codon"), organism).alias("aa"))
 
@@ -97,7 +92,7 @@ def _recoded(pieces: DataFrame, organism: str, full_serine: bool, *keep: str) ->
     entries = {c: F.struct(F.lit(new).alias("new"), F.lit(n * SHARE + sum(2 if b in "AT" else 4 for b in new)).alias("v"))
                for c, (new, n) in S.best_synonyms(organism, full_serine).items()}
     table = F.create_map(*(x for c, entry in entries.items() for x in (F.lit(c), entry)))
-    best = F.transform(_codons(F.col("piece")), lambda c: F.coalesce(
+    best = F.transform(S.codons(F.col("piece").cast("string")), lambda c: F.coalesce(
         F.try_element_at(table, c), F.struct(c.alias("new"), S.melting_temp(c).cast("int").alias("v"))))
     kept = ["seq_id", "first", "piece", *keep]
     looked = computed(computed(pieces, *kept, _best=best), *kept, _v=F.col("_best.v"),

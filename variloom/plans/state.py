@@ -36,13 +36,16 @@ def job_state_counts(v):
     return R.job_state_counts(v.jobs)
 
 
-@query("progress", """
+PROGRESS_SQL = """
 select p.case_id, p.cancer_type, coalesce(j.node, 'Un-assigned') as node, j.submit_time, j.requested,
  s.running||' | '||s.pending||' | '||s.failed_total as progress
  from {processing} p join {state_counts} s on p.case_id = s.case_id join (
   select case_id, arg_max(coalesce(strftime(submit_time, '%Y-%m-%d %H:%M:%S'), 'NA'), job_id) as submit_time,
    arg_max(nodes, job_id) filter (where nodes is not null) as node,
-   arg_max(replace(req_nodes, ',', ', '), job_id) as requested from {cased_jobs} group by 1) j on p.case_id = j.case_id""")
+   arg_max(replace(req_nodes, ',', ', '), job_id) as requested from {cased_jobs} group by 1) j on p.case_id = j.case_id"""
+
+
+@query("progress", PROGRESS_SQL)
 def progress(v):
     return R.progress(v.processing, v.jobs).select("case_id", "cancer_type", "node", "submit_time", "requested", "progress")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from variloom.operators import runstate as R
 from variloom.plans import bridge
 from variloom.plans.registry import query
+from variloom.plans.state import PROGRESS_SQL
 from variloom.streaming import stages as X
 
 
@@ -55,6 +56,12 @@ def stream_node_status(v):
     return X.run_to_end(jobs, "append", "node-status", each=X.live_node_view(v.nodes)).select("node", "state", "jobs_requested")
 
 
+@query("stream_progress", PROGRESS_SQL)
+def stream_progress(v):
+    out = X.run_to_end(_stream(v, "jobs", "orders"), "append", "progress", each=X.live_progress(v.processing))
+    return out.select("case_id", "cancer_type", "node", "submit_time", "requested", "progress")
+
+
 @query("stream_finished", """
 select p.row_id, p.case_id from {processing} p
  where exists (select 1 from {stage_events} e where e.normal = p.normal_file and e.tumor = p.tumor_file and e.stage = 9)

@@ -33,7 +33,7 @@ def write_by_status(status: DataFrame, path: str, key: str = "sample") -> None:
 
 
 def publish_vcf(lines: DataFrame, path: str) -> None:
-    """Variant lines as compressed text, one folder per sample and kind, in file order."""
+    """Variant lines as compressed text, one folder per sample and kind; each file is in order."""
     ordered = _balanced(lines, "sample", "kind").sortWithinPartitions("sample", "kind", "chrom", "pos", "ref", "alt")
     ordered.select("sample", "kind", "line").write.mode("overwrite").partitionBy("sample", "kind").option(
         "compression", "gzip").text(path)

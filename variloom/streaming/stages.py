@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from variloom.operators.runstate import node_status
+from variloom.operators.runstate import node_status, progress
 from variloom.session import work_path
 
 #: State kept on disk, so the number of keys is not bound by executor memory.
@@ -97,3 +97,8 @@ def run_to_end(stream: DataFrame, mode: str, label: str, keys: list[str] | None
 def live_node_view(nodes: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """Per micro-batch: nodes with the jobs of that batch asking for them."""
     return lambda jobs: node_status(nodes, jobs)
+
+
+def live_progress(processing: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Per micro-batch: samples in progress with the summary of that batch's jobs."""
+    return lambda jobs: progress(processing, jobs)
