@@ -18,9 +18,15 @@ def con():
     return connection
 
 
+#: Plan nodes no query may need.
+UNWANTED = ["CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow"]
+
+
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [n for n in UNWANTED if n in plan] == []
     result = con.execute(entry.oracle_sql()[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == sorted(df.columns)

@@ -200,7 +200,7 @@ def count_by_cancer(df: DataFrame, codes: list[str] | None = CANCER_CODES) -> Da
     counts = df.groupBy("cancer_type").agg(F.count("*").alias("n"))
     if codes is None:
         return counts
-    listed = df.sparkSession.createDataFrame([(c,) for c in codes], "cancer_type string")
+    listed = df.sparkSession.range(1).select(F.explode(F.array(*(F.lit(c) for c in codes))).alias("cancer_type"))
     return listed.join(counts, "cancer_type", "left").fillna(0, ["n"])
 
 
