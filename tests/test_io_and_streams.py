@@ -77,3 +77,30 @@ def test_mirror_stage_keeps_old(spark):
     now = spark.createDataFrame([("a", "t", 7)], "normal string, tumor string, stage int")
     assert {(r.normal_file, r.stage) for r in R.mirror_stage(work, now).collect()} == {("a", 7), ("z", 4)}
     assert R.by_stage(now, "<").select(F.count("*")).first()[0] == 1
+
+
+def test_manifest_file_to_work_units(spark, tmp_path):
+    from variloom.operators import cohort as C
+    from variloom.operators.ordering import file_row_index
+
+    head = "file_gdc_id,program_name,project_short_name,barcode,file_name,file_size,platform,file_gcs_url\n"
+    rows = []
+    for case in range(40):
+        for code in ("01A", "10A"):
+            name = f"T-02-{case:04d}-{code}-01D"
+            rows.append(f"g{case}{code},TCGA,TCGA-GBM,{name},{name}.bam,{100 + case},HiSeq,gs://b{case % 3}/w/{name}.bam\n")
+    (tmp_path / "m.csv").write_text(head + "".join(rows))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        numbered = file_row_index(S.read_manifest(spark, str(tmp_path / "m.csv")))
+        pairs = C.pair_adjacent(numbered, "row_no")
+        assert pairs.count() == 40 and C.pair_mismatches(pairs).count() == 0
+        assert {(r["index"], r.case_id, r.total_size) for r in pairs.collect()} == {
+            (i, f"T-02-{i:04d}", 200 + 2 * i) for i in range(40)}
+        units = C.expand_units(pairs)
+        assert units.count() == 1000
+        one = units.where("case_id = 'T-02-0003' and reference = 'chrX.fa'").first()
+        assert one.tumor_ref_file == "T-02-0003-01A-01D.REF_chrX.bam"
+        assert {r.cancer_type: r.n for r in C.count_by_cancer(pairs).where("n > 0").collect()} == {"GBM": 40}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from variloom.operators import cohort as C
 from variloom.operators import quality as Q
 from variloom.operators import reads as G
-from variloom.operators import runstate as R
 from variloom.operators import somatic as P
 from variloom.operators import variants as V
 from variloom.plans import genome
