@@ -74,9 +74,9 @@ def apportion(seats: int, votes: list[float], limits: list[int]) -> list[int]:
         return [0] * len(v)
 
     def at(price: float) -> np.ndarray:
-        return np.minimum(cap, np.floor(v / price + 0.5).astype(np.int64))
+        return np.minimum(cap, np.floor(v / price + 0.5)).astype(np.int64)
 
-    low, high = 0.0, 2.0 * v.max() + 1.0
+    low, high = v[v > 0].min() / (2.0 * seats + 2.0), 2.0 * v.max() + 1.0
     for _ in range(200):
         middle = (low + high) / 2
         if middle in (low, high):
