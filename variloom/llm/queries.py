@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import decontam, mixing
-from variloom.llm.tables import table
+from variloom.llm import decontam, langid, mixing
+from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,3 +47,10 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     sizes = mixing.word_counts(table(spark, folder, "documents"))
     return mixing.mix_sources(sizes).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(docs.where(held_out(F.col("doc_id"), 5) != 0))
+    return langid.predict(docs.select("doc_id", (held_out(F.col("doc_id"), 5) == 0).alias("held_out"), "text"), *model).drop("text")
