@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import decontam, langid, mixing
+from variloom.llm import decontam, langid, minhash, mixing
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,17 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     model = langid.learn(docs.where(held_out(F.col("doc_id"), 5) != 0))
     return langid.predict(docs.select("doc_id", (held_out(F.col("doc_id"), 5) == 0).alias("held_out"), "text"), *model).drop("text")
+
+
+@query("op5_minhash", r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+ s as (select distinct doc_id, array_to_string(w[k:k + least(3, len(w)) - 1], ' ') || '|' || least(3, len(w)) as g from (
+   select *, unnest(range(1, cast(greatest(len(w) - 1, 2) as bigint))) as k from w where len(w) > 0)),
+ n as (select doc_id, count(*) as n from s group by 1),
+ e as (select a.doc_id as a, b.doc_id as b from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2
+   having 100 * count(*) >= 85 * ((select n from n where n.doc_id = a.doc_id) + (select n from n where n.doc_id = b.doc_id) - count(*))),
+ r(node, low) as (select distinct a, a from e union select e.b, r.low from r join e on e.a = r.node)
+select w.doc_id, coalesce(n, 0) as n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) as component_id, w.doc_id = least(w.doc_id, coalesce(low, w.doc_id)) as kept
+from w left join n on n.doc_id = w.doc_id left join (select node, min(low) as low from r group by 1) m on m.node = w.doc_id""")
+def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), size=3, threshold=0.85)
