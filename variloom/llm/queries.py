@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import decontam, langid, minhash, mixing
+from variloom.llm import decontam, langid, minhash, mixing, pst
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,10 @@ select w.doc_id, coalesce(n, 0) as n_shingles, least(w.doc_id, coalesce(low, w.d
 from w left join n on n.doc_id = w.doc_id left join (select node, min(low) as low from r group by 1) m on m.node = w.doc_id""")
 def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), size=3, threshold=0.85)
+
+
+@query("op4_lm_scoring")
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    out = held_out(F.col("doc_id"), 7) == 2
+    scored = pst.score(table(spark, folder, "documents").select("doc_id", "text"), ~out)
+    return scored.withColumn("held_out", out)
