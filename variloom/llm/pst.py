@@ -10,6 +10,11 @@ its parent's by more than a description-length test (n KL > support ln(n) / 2),
 one that stays needs it. Distributions are smoothed with the parent's by the number of distinct
 followers. A byte's state is the longest suffix kept, found by an automaton over prefixes.
 
+A word's path is its bytes and the byte after it. Its probability is the even mixture of the
+tree's path and the word's add-one share of the training tokens (times that of the end token for a
+last word), which smooths the tree with whole words; the tree alone forgets rare ones. Like the
+base, the add-one share counts all unseen words as one.
+
 The unigram base looks words up by 64-bit hash: the at most ``HEAVY`` most frequent in a broadcast
 table, all others through a join, with the same result.
 
@@ -42,8 +47,8 @@ _U = np.uint64
 _END, _SPACE = 0x0A, 0x20
 
 
-def stream(run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all documents, each after DEPTH line feeds; document bases; word hashes; word bounds."""
+def stream(run: Run) -> tuple[np.ndarray, ...]:
+    """Symbols of all documents, each after DEPTH line feeds; document bases; word hashes and word bounds; where words begin."""
     run.data = lower(run.data)
     starts, ends, bounds = spans(run, NOT_SPACE)
     lengths, words = ends - starts, np.diff(bounds)
@@ -58,7 +63,7 @@ def stream(run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     last = np.zeros(len(starts), bool)
     last[bounds[1:][words > 0] - 1] = True
     out[after[~last]] = _SPACE
-    return out, bases, word_hashes(run.data, starts, ends), bounds
+    return out, bases, word_hashes(run.data, starts, ends), bounds, before[:-1] + shift
 
 
 def _real(bases: np.ndarray) -> np.ndarray:
@@ -106,7 +111,7 @@ def count(training: DataFrame, text: str = "text") -> DataFrame:
         words, grams, documents = _Tally(0), _Tally(1), 0
         for batch in batches:
             for r in text_runs(batch.column(0)):
-                out, bases, hashes, _ = stream(r)
+                out, bases, hashes, _, _ = stream(r)
                 documents += len(r)
                 yield from words.add(hashes)
                 wide = out.astype(_U)
@@ -186,11 +191,11 @@ class Tree:
             if k < DEPTH:
                 for code, i in ids[k + 1].items():
                     self.step[ids[k][code >> 8], self.classes[code & 255]] = i
-        self.log = np.log10(probability)
+        self.log = np.log10(probability).astype(np.float32)
         self.kept = sum(map(len, kept))
 
-    def score(self, out: np.ndarray, bases: np.ndarray) -> np.ndarray:
-        """log10 probability of each document of ``stream``."""
+    def logs(self, out: np.ndarray, bases: np.ndarray) -> np.ndarray:
+        """log10 probability of each symbol of ``stream``; 0 for the line feeds in front."""
         symbols = self.classes[out]
         sizes = np.diff(bases) - DEPTH
         pieces = -(-sizes // STRETCH)
@@ -199,17 +204,18 @@ class Tree:
         at = bases[:-1][owner] + DEPTH + inner
         length = np.minimum(sizes[owner] - inner, STRETCH)
         order = np.argsort(-length, kind="stable")
-        at, length, owner = at[order], length[order], owner[order]
-        state, total = np.zeros(len(at), np.int64), np.zeros(len(at))
+        at, length = at[order], length[order]
+        state, result = np.zeros(len(at), np.int64), np.zeros(len(out))
         active = len(at)
         for t in range(-DEPTH, int(length[0]) if len(length) else 0):
             if t >= 0:
                 active = int(np.searchsorted(-length, -t, "left"))
-            s, c = state[:active], symbols[at[:active] + t]
+            s, here = state[:active], at[:active] + t
+            c = symbols[here]
             if t >= 0:
-                total[:active] += self.log[s, c]
+                result[here] = self.log[s, c]
             state[:active] = self.step[s, c]
-        return np.bincount(owner, total, minlength=len(sizes))
+        return result
 
 
 def grow(counts: DataFrame) -> Tree:
@@ -252,34 +258,69 @@ def score(docs: DataFrame, training, doc_id: str = "doc_id", text: str = "text")
     rows = pick(docs, doc_id=doc_id, text=text)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
+    room = n + v + 1.0
+    share_of_end = float(np.log10((ends + 1) / room))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, table, times, ends = model.value
+        times = np.append(times, 0)
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(7)]
             for r in text_runs(batch.column(1)):
-                keys = [int.from_bytes(content_key(r.text(i))[:8], "little", signed=True) for i in range(len(r))]
-                symbols, bases, hashes, bounds = stream(r)
+                out[0] += [int.from_bytes(content_key(r.text(i))[:8], "little", signed=True) for i in range(len(r))]
+                symbols, bases, hashes, bounds, begin = stream(r)
                 place = np.minimum(np.searchsorted(table, hashes), max(len(table) - 1, 0))
                 known = table[place] == hashes if len(table) else np.zeros(len(hashes), bool)
-                logs = np.concatenate(([0.0], np.cumsum(np.where(known, np.log10(np.where(known, times[place] if len(table) else 0, 0) + 1.0), 0.0))))
-                total = np.concatenate(([0], np.cumsum(known)))
+                times_here = times[np.where(known, place, -1)]
+                logs = _sums(np.log10(times_here + 1.0), bounds)
                 size = np.diff(bounds)
-                rare = signed(hashes)
-                out[0] += keys
+                # a unit is a word with the byte after it; the last one has the end token too
+                path = np.add.reduceat(tree.logs(symbols, bases), begin) if len(begin) else np.zeros(0)
+                bonus = np.zeros(len(path))
+                bonus[bounds[1:][size > 0] - 1] = share_of_end
+                path -= bonus
+                score = _sums(_mixed(path, (times_here + 1.0) / room) + bonus, bounds)
+                if (size == 0).any():
+                    alone = tree.logs(np.full(DEPTH + 1, _END, np.uint8), np.array([0, DEPTH + 1]))[-1:]
+                    score[size == 0] = _mixed(alone, np.array([(ends + 1.0) / room]))[0]
                 out[1] += (size + 1).tolist()
-                out[2] += (np.diff(total[bounds]) + (ends > 0)).tolist()
-                out[3] += (np.diff(logs[bounds]) + np.log10(ends + 1.0)).tolist()
-                out[4] += [rare[a:b][~known[a:b]] for a, b in zip(bounds[:-1], bounds[1:])]
-                out[5] += tree.score(symbols, bases).tolist()
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.float64()]
+                out[2] += (_sums(known, bounds).astype(np.int64) + (ends > 0)).tolist()
+                out[3] += (logs + np.log10(ends + 1.0)).tolist()
+                light = np.split(~known, bounds[1:-1])
+                out[4] += [signed(h)[m] for h, m in zip(np.split(hashes, bounds[1:-1]), light)]
+                out[5] += [x[m] for x, m in zip(np.split(path, bounds[1:-1]), light)]
+                out[6] += score.tolist()
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.float64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, k) for x, k in zip(out, kinds)]],
-                                             ["doc_id", "text_key", "n_tokens", "known", "logs", "rare", "score"])
+                                             ["doc_id", "text_key", "n_tokens", "known", "logs", "rare", "path", "score"])
 
-    scored = settle(rows.mapInArrow(run, f"doc_id {kind}, text_key long, n_tokens long, known long, logs double, rare array<long>, score double"), "scored")
-    rare = scored.groupBy("text_key").agg(F.first("rare").alias("rare")).select("text_key", F.explode("rare").alias("key"))
+    ddl = f"doc_id {kind}, text_key long, n_tokens long, known long, logs double, rare array<long>, path array<double>, score double"
+    scored = settle(rows.mapInArrow(run, ddl), "scored")
+    one = scored.groupBy("text_key").agg(F.first(F.arrays_zip("rare", "path")).alias("rare"))
+    rare = one.select("text_key", F.explode("rare").alias("r")).select("text_key", F.col("r.rare").alias("key"), F.col("r.path").alias("path"))
     light = words.where(F.col("n") < low)
-    found = rare.join(light, "key").groupBy("text_key").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("more_logs"))
+    path = F.pow(F.lit(10.0), F.col("path"))
+    gain = F.log10(path + (F.col("n") + 1.0) / room) - F.log10(path + 1.0 / room)
+    found = rare.join(light, "key").groupBy("text_key").agg(
+        F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("more_logs"), F.sum(gain).alias("gain"))
     base = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(n + 1.0 * (v + 1)))
     return scored.join(found, "text_key", "left").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        base.alias("base_score"), "score")
+        base.alias("base_score"), (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"))
+
+
+_TWO = np.log10(2.0)
+
+
+def _mixed(path: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """log10 of the mean of 10^path and share."""
+    return np.logaddexp(path * np.log(10.0), np.log(np.maximum(share, 1e-300))) / np.log(10.0) - _TWO
+
+
+def _sums(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the parts of ``x`` between consecutive ``bounds``; an empty part sums to 0."""
+    out = np.zeros(len(bounds) - 1)
+    full = np.diff(bounds) > 0
+    if full.any():
+        out[full] = np.add.reduceat(np.asarray(x, float), bounds[:-1][full])
+    return out
