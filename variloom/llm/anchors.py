@@ -1,8 +1,8 @@
 """Content-chosen anchors: places that two occurrences of one long string always share.
 
 Of every string of ``length`` bytes the k-gram with the smallest hash (the last one of equals) is
-its anchor. Equal strings therefore have their anchor at the same place, and all strings of that
-length that contain an anchor lie in the region around it.
+its anchor. Equal strings therefore have their anchor at the same place. The consecutive strings that
+have one anchor make up its region.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ _LOW = 18  # bits for the place inside a slice
 
 
 def anchors(data: np.ndarray, starts: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Slices of (anchor hash, region hash, document, anchor place, region start, region end) as arrays.
+    """Slices of (anchor hash, region hash, document, first string of the region, number of its strings) as arrays.
 
-    ``starts`` parts ``data`` into documents; places count from the document's first byte. The region of an
-    anchor is the union of all strings of ``length`` bytes that contain its k-gram, as far as the document goes.
+    ``starts`` parts ``data`` into documents; strings are numbered by their first byte in the document. A text is cut
+    into slices from its beginning, and several documents must fit one slice, so a text always gives the same regions.
     """
     span = length - gram + 1
     n = len(data)
@@ -42,17 +42,19 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int, gram: int) -> Ite
         # strings that stay inside one document
         begin = np.arange(low, high)
         document = np.searchsorted(starts, begin, "right") - 1
-        inside = begin + length <= starts[document + 1]
-        chosen = np.unique(((1 << _LOW) - 1) - (least[inside] & _U((1 << _LOW) - 1)).astype(np.int64))
-        if not len(chosen):
+        inside = np.flatnonzero(begin + length <= starts[document + 1])
+        if not len(inside):
             continue
-        at = chosen + low
-        document = np.searchsorted(starts, at, "right") - 1
-        left = np.maximum(starts[document], at - (length - gram))
-        right = np.minimum(starts[document + 1], at + length)
+        chosen = ((1 << _LOW) - 1) - (least[inside] & _U((1 << _LOW) - 1)).astype(np.int64)
+        begin, document = begin[inside], document[inside]
+        first = np.flatnonzero(np.concatenate(([True], (chosen[1:] != chosen[:-1]) | (document[1:] != document[:-1]))))
+        count = np.diff(np.append(first, len(chosen)))
+        left = begin[first]
+        right = left + count - 1 + length
         body = (sums[right - a] - sums[left - a]) * _INVERSES[left - a]
-        region = mix(mix(body) + (at - left).astype(_U) * _U(1 << 20) + (right - at).astype(_U))
-        yield grams[chosen], region, document, at - starts[document], left - starts[document], right - starts[document]
+        offset = chosen[first] + low - left
+        region = mix(mix(body) + offset.astype(_U) * _U(1 << 20) + count.astype(_U))
+        yield grams[chosen[first]], region, document[first], left - starts[document[first]], count
 
 
 def _window_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import decontam, langid, minhash, mixing, pst
+from variloom.llm import decontam, langid, minhash, mixing, pst, suffixes
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     out = held_out(F.col("doc_id"), 7) == 2
     scored = pst.score(table(spark, folder, "documents").select("doc_id", "text"), ~out)
     return scored.withColumn("held_out", out)
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
