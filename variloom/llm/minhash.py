@@ -51,7 +51,7 @@ def sketch(elements: np.ndarray, t: int = BANDS * ROWS) -> np.ndarray:
     """t coordinates: the round in the upper bits, the element's value of that round below."""
     out = np.full(t, ~_U(0), _U)
     for i in range(2 * t):
-        h = mix(elements + _U(0x9E3779B97F4A7C15) * _U(i + 1))
+        h = mix(elements + _U(0x9E3779B97F4A7C15 * (i + 1) & (1 << 64) - 1))
         value = (h >> _U(10)) | (_U(i) << _U(54))
         if i < t:
             np.minimum.at(out, ((h & _U(0x3FF)) * _U(t) >> _U(10)).astype(np.intp), value)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import decontam, langid, minhash, mixing, pst, suffixes
+from variloom.llm import decontam, langid, linededup, minhash, mixing, pst, suffixes
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffixes.remove_repeats(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = linededup.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
