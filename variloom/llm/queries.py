@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import decontam, langid, linededup, minhash, mixing, pst, suffixes
+from variloom.llm import decontam, embeddings, langid, linededup, minhash, mixing, pst, suffixes
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,14 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = linededup.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op6_embedding_dedup", """
+with recursive v as (select vec_id, label, cast(embedding as double[]) as x from embeddings where label is not null and embedding is not null),
+ e as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id where list_cosine_similarity(a.x, b.x) >= 0.98),
+ r(node, low) as (select distinct a, a from e union select e.b, r.low from r join e on e.a = r.node),
+ m as (select node, min(low) as low from r group by 1), n as (select a, count(*) as n from e group by 1)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(low, vec_id)) as component_id, vec_id = least(vec_id, coalesce(low, vec_id)) as kept
+from embeddings left join m on node = vec_id left join n on n.a = vec_id""")
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.link_vectors(table(spark, folder, "embeddings"))
