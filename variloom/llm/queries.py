@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import decontam, embeddings, langid, linededup, minhash, mixing, pst, suffixes
+from variloom.llm import chat, decontam, embeddings, langid, linededup, minhash, mixing, pst, suffixes
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,27 @@ select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(low, vec_id)) a
 from embeddings left join m on node = vec_id left join n on n.a = vec_id""")
 def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.link_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op8_chat_formatting", """
+with l as (select conv_id, max(turn) as cut from conversations where role = 'assistant' group by 1),
+ t as (select 0 as side, c.* from conversations c join l using (conv_id)
+   union all select 1, c.* from conversations c join l using (conv_id) where turn < cut
+   union all select 1, l.conv_id, c.turn, c.role, c.text from l join conversations c on c.conv_id = xor(l.conv_id, 1) where c.turn >= cut),
+ n as (select side, conv_id, role, text, row_number() over (partition by side, conv_id order by turn, role, text) as k from t),
+ f as (select conv_id, coalesce(min(case when a.k is null or b.k is null or a.role is distinct from b.role or a.text is distinct from b.text then k end), max(k) + 1) - 1 as shared
+   from (select * from n where side = 0) a full join (select * from n where side = 1) b using (conv_id, k) group by 1),
+ p as (select n.*, shared, k > shared as after, '<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10) as head,
+   '<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10) || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10) as piece
+   from n join f using (conv_id)),
+ q as (select *, sum(length(piece)) over (partition by conv_id, side, after order by k) as upto from p)
+select conv_id as pair_id, any_value(shared) as prompt_turns, coalesce(string_agg(piece, '' order by k) filter (side = 0 and not after), '') as prompt,
+ coalesce(string_agg(piece, '' order by k) filter (side = 0 and after), '') as chosen, coalesce(string_agg(piece, '' order by k) filter (side = 1 and after), '') as rejected,
+ coalesce(string_agg(cast(cast(upto - length(piece) + length(head) as bigint) as varchar) || '-' || cast(cast(upto - 1 as bigint) as varchar), ',' order by k) filter (side = 0 and after and role = 'assistant'), '') as chosen_mask,
+ coalesce(string_agg(cast(cast(upto - length(piece) + length(head) as bigint) as varchar) || '-' || cast(cast(upto - 1 as bigint) as varchar), ',' order by k) filter (side = 1 and after and role = 'assistant'), '') as rejected_mask
+from q group by 1""")
+def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    made = chat.preference_pairs(*chat.swapped_endings(table(spark, folder, "conversations")))
+    for c in ("chosen_mask", "rejected_mask"):
+        made = made.withColumn(c, F.array_join(F.transform(c, lambda m: F.concat_ws("-", m["begin"].cast("string"), m["end"].cast("string"))), ","))
+    return made.withColumn("prompt_turns", F.col("prompt_turns").cast("long"))
