@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import chat, decontam, embeddings, langid, linededup, minhash, mixing, pst, suffixes
+from variloom.llm import chat, decontam, embeddings, langid, linededup, minhash, mixing, pii, pst, suffixes
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,8 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     for c in ("chosen_mask", "rejected_mask"):
         made = made.withColumn(c, F.array_join(F.transform(c, lambda m: F.concat_ws("-", m["begin"].cast("string"), m["end"].cast("string"))), ","))
     return made.withColumn("prompt_turns", F.col("prompt_turns").cast("long"))
+
+
+@query("op9_pii_surrogates")
+def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), key="production-key")
