@@ -156,10 +156,11 @@ def repeated_places(text: np.ndarray, wanted: np.ndarray, length: int) -> np.nda
 def _matched(length: int):
     """Sorted (tag, region, width, body) rows to (anchor, region, low, high) of repeated strings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
         held, tag = 0, None
+        met: dict[tuple, tuple] = {}  # a region may come in several pairs of blocks, but is not its own copy
 
         def flush() -> pa.RecordBatch:
+            rows = list(met.values())
             text = np.frombuffer(b"".join(r[3] for r in rows) + bytes(length), np.uint8)
             sizes = np.array([len(r[3]) for r in rows])
             begin = np.cumsum(sizes) - sizes
@@ -178,11 +179,12 @@ def _matched(length: int):
             for row in zip(*[batch.column(i).to_pylist() for i in range(5)]):
                 if held >= SORT_BYTES and (row[0], row[4]) != tag:
                     yield flush()
-                    rows, held = [], 0
+                    met.clear()
+                    held = 0
                 tag = (row[0], row[4])
-                rows.append(row)
-                held += len(row[3])
-        if rows:
+                if met.setdefault(row[:2], row) is row:
+                    held += len(row[3])
+        if met:
             yield flush()
 
     return run
