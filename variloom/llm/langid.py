@@ -53,18 +53,22 @@ def _letter(code: int) -> np.ndarray:
     return np.unpackbits(words.view(np.uint8)).astype(np.int8) * 2 - 1
 
 
-def _grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct letter triples (as numbers) of a text and how often each occurs."""
+def _triples(text: str) -> np.ndarray:
+    """The letter triples of a text as numbers, in order."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     letters = _letter_table()[codes].astype(_U)
     inside = letters > 0
     if not inside.any():
-        return np.zeros(0, _U), np.zeros(0, np.int64)
+        return np.zeros(0, _U)
     # a run of other characters is one border, and there is one at either end
     keep = inside | np.concatenate((inside[1:], [False])) & ~inside
     line = np.concatenate(([_U(0)] if inside[0] else [], letters[keep], [_U(0)])).astype(_U)
-    triples = (line[:-2] * _U(_CODES) + line[1:-1]) * _U(_CODES) + line[2:]
-    return np.unique(triples, return_counts=True)
+    return (line[:-2] * _U(_CODES) + line[1:-1]) * _U(_CODES) + line[2:]
+
+
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct letter triples of some texts and how often each occurs."""
+    return np.unique(np.concatenate([_triples(t) for t in texts]), return_counts=True)
 
 
 def _vectors(triples: np.ndarray) -> np.ndarray:
@@ -79,7 +83,7 @@ def _vectors(triples: np.ndarray) -> np.ndarray:
 
 def bundle(texts: list[str | None]) -> np.ndarray:
     """Document vectors: the sum of the vectors of all letter triples."""
-    grams = [_grams(t or "") for t in texts]
+    grams = [_grams([t or ""]) for t in texts]
     sums = np.zeros((len(texts), DIMENSIONS), np.float32)
     triples = np.unique(np.concatenate([g for g, _ in grams])) if grams else np.zeros(0, _U)
     for low in range(0, len(triples), STEP):
@@ -115,7 +119,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[
                 for i in range(len(run)):
                     by.setdefault(langs[run.first + i], []).append(run.text(i).decode("utf-8", "replace"))
                 for name, texts in by.items():
-                    codes, n = _grams(" ".join(texts))
+                    codes, n = _grams(texts)
                     own = counted.setdefault(name, {})
                     for c, k in zip(codes.tolist(), n.tolist()):
                         own[c] = own.get(c, 0) + k
