@@ -47,7 +47,8 @@ def brute(rows):
     for a in range(len(forms)):
         for b in range(a):
             x, y = " ".join(forms[a]), " ".join(forms[b])
-            if (sims[a] == sims[b]).any() and distance(x, y) <= max(len(x), len(y)) * 100 // 1000:
+            bits = sum(int(v).bit_count() for v in sims[a] ^ sims[b])
+            if (sims[a] == sims[b]).any() and bits <= linededup.NEAR and distance(x, y) <= max(len(x), len(y)) * 100 // 1000:
                 forest.join(a, b)
     groups = {}
     for x in lines:

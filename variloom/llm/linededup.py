@@ -2,9 +2,10 @@
 
 A line is normalised to its words (ASCII letters in lower case, digits, everything outside ASCII)
 joined by single spaces. Its SimHash has ``BLOCKS`` blocks of 32 bits over its words. Lines that
-agree on a block are candidates (so all pairs that differ in fewer bits than there are blocks),
-and two candidates link if their edit similarity, 1 - distance / longer length in characters of
-the normalised lines, is at least ``similarity``. Of each connected group of lines the first
+agree on a block and differ in at most ``NEAR`` bits are candidates (so all pairs that differ in
+fewer bits than there are blocks), and two candidates link if their edit similarity, 1 - distance /
+longer length in characters of the normalised lines, is at least ``similarity``. In blocks that very
+many lines share, pairs are compared without the test on bits. Of each connected group of lines the first
 occurrence stays, by document id (nulls last), then content, then line number.
 
 Cases: a line without word is never a duplicate and stays; a null text stays null and has no
@@ -15,6 +16,7 @@ all columns of the input are kept.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,8 @@ from variloom.llm.tables import settle
 from variloom.llm.textbytes import WORDLIKE, content_key, lower, mix, signed, spans, text_runs, word_hashes
 
 BLOCKS = 6
+#: Bits of all in which candidates may differ.
+NEAR = 40
 #: Bytes of text hashed at once.
 RUN = 512 << 10
 
@@ -105,7 +109,7 @@ def _sequence(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _packed(docs: DataFrame) -> DataFrame:
     """``doc`` and the compressed text, once for each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             keys, bodies = [], []
             for r in text_runs(batch.column(0)):
@@ -116,13 +120,12 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "doc long, packed binary")
 
 
+_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+
+
 def normalised(line: bytes) -> str:
     """The words of a line, joined by single spaces."""
-    run = next(text_runs(pa.array([line.decode("utf-8", "replace")])))
-    run.data = lower(run.data)
-    starts, ends, _ = spans(run, WORDLIKE)
-    raw = run.data.tobytes()
-    return b" ".join(raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())).decode("utf-8", "replace")
+    return b" ".join(_WORD.findall(line.lower())).decode("utf-8", "replace")
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -204,8 +207,13 @@ def line_groups(docs: DataFrame, similarity: float = 0.9) -> DataFrame:
     node = lines.groupBy("line").agg(F.first("sim").alias("sim"), F.min(F.struct("doc", "no")).alias("one"))
     node = settle(node.select(F.col("line").alias("id"), "sim", "one.doc", "one.no"), "nodes")
     blocks = F.array(*[F.xxhash64(F.substring("sim", 4 * k + 1, 4), F.lit(k)) for k in range(BLOCKS)])
+    halves = [F.conv(F.hex(F.substring("sim", 8 * k + 1, 8)), 16, -10).cast("long") for k in range(BLOCKS // 2)]
     keys = node.select("id", F.explode(blocks).alias("key"))
 
+    def near(a: Column, b: Column) -> Column:
+        differ = [F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(BLOCKS // 2)]
+        return sum(differ[1:], differ[0]) <= NEAR
+
     def payloads(ids: DataFrame) -> DataFrame:
         rows = _bodies(docs, node.select("id", "doc", "no").join(ids, "id", "left_semi"))
         return rows.groupBy("id").agg(F.first("payload").alias("payload"), F.first("weight").alias("weight"))
@@ -215,7 +223,7 @@ def line_groups(docs: DataFrame, similarity: float = 0.9) -> DataFrame:
         most = F.floor(longer * (1000 - tenths) / 1000).cast("int")
         return (F.abs(F.length(a) - F.length(b)) <= most) & (F.call_function("levenshtein", a, b, most) >= 0)
 
-    groups = link(keys, payloads, similar, _within(tenths), 1 << 20)
+    groups = link(keys, payloads, similar, _within(tenths), 1 << 20, near, node.select("id", F.array(*halves).alias("sketch")))
     return lines.drop("sim").join(groups.select(F.col("node").alias("line"), F.col("component").alias("group")), "line", "left").withColumn(
         "group", F.coalesce("group", "line"))
 
@@ -235,7 +243,7 @@ def drop_repeated_lines(docs: DataFrame, similarity: float = 0.9) -> DataFrame:
     at = names.index("text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             keys, bodies = [], []
             for r in text_runs(batch.column(at)):

@@ -1,14 +1,16 @@
-"""From candidate buckets to connected groups, without listing the pairs of a bucket.
+"""From candidate buckets to connected groups, without listing the pairs of a large bucket.
 
 1. Every member of a bucket is compared with the bucket's smallest member; equal pairs of several
-   buckets are compared once. Links give first components.
-2. Buckets that share members form a cluster. Where a cluster still has several components, its
-   members of different components are compared in blocks of bounded size, inside tasks that
+   buckets are compared once. Links give first components. Where a cheap test on sketches can rule
+   pairs out, all members of a bucket of at most ``SMALL`` are tested with each other instead, and
+   only pairs that pass are compared.
+2. Larger buckets that share members form a cluster. Where a cluster still has several components,
+   its members of different components are compared in blocks of bounded size, inside tasks that
    return only the links of a spanning forest.
 
-So any two members of one bucket end up in one component if their payloads are similar, and a
-large group of near copies costs one comparison for each member that is like its smallest one;
-only the rest is compared with everything in its cluster.
+So any two members of one bucket end up in one component if their payloads are similar (and pass
+the cheap test, in small buckets), and a large group of near copies costs one comparison for each
+member that is like its smallest one; only the rest is compared with everything in its cluster.
 """
 
 from __future__ import annotations
@@ -22,27 +24,41 @@ from pyspark.sql import functions as F
 from variloom.llm.components import components
 from variloom.llm.tables import settle
 
+#: Members of a bucket that are all tested with each other if there is a cheap test.
+SMALL = 32
 #: Members of a block at most, apart from what hashing adds.
 BLOCK_ROWS = 1024
 
 
 def link(keys: DataFrame, payloads: Callable[[DataFrame], DataFrame], similar: Callable[[Column, Column], Column],
-         within: Callable[[list, list, list, list], list[tuple[int, int]]], block_weight: int) -> DataFrame:
+         within: Callable[[list, list, list, list], list[tuple[int, int]]], block_weight: int,
+         near: Callable[[Column, Column], Column] | None = None, sketches: DataFrame | None = None) -> DataFrame:
     """Components (``node``, ``component``) of the ids in ``keys`` (``key`` long, ``id`` long) that have a link.
 
     ``payloads(ids)`` gives ``id``, ``payload`` and ``weight`` for a table of ids, ``similar`` says on two
     payload columns whether they link, ``within(sides, ids, comps, payloads)`` gives the links of a block
     between different components (of different sides if there are two); ``block_weight`` bounds a block.
+    ``near`` is the cheap test on two ``sketch`` columns of ``sketches`` (``id``, ``sketch``).
     """
-    bucket = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    star = settle(keys.join(bucket.select("key", "pivot"), "key").where("id != pivot").select("id", "pivot").distinct(), "star")
+    bucket = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"), F.count("*").alias("n")).where("pivot < last")
+    member = keys.join(bucket.select("key", "pivot", "n"), "key")
+    if near is None:
+        star = settle(member.where("id != pivot").select("id", "pivot", F.lit(True).alias("large")).distinct(), "star")
+    else:
+        member = settle(member, "members")
+        large = member.where((F.col("n") > SMALL) & (F.col("id") != F.col("pivot"))).select("id", "pivot", F.lit(True).alias("large"))
+        held = member.where(F.col("n") <= SMALL).join(sketches, "id").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("id", "sketch"))).alias("m"))
+        tested = F.flatten(F.transform("m", lambda x, i: F.transform(
+            F.filter(F.slice("m", 1, i), lambda y: (y["id"] != x["id"]) & near(x["sketch"], y["sketch"])), lambda y: F.struct(x["id"].alias("id"), y["id"].alias("pivot")))))
+        small = held.select(F.explode(tested).alias("p")).select("p.id", "p.pivot", F.lit(False).alias("large"))
+        star = settle(large.union(small).groupBy("id", "pivot").agg(F.max("large").alias("large")), "star")
     ids = star.select("id").union(star.select(F.col("pivot").alias("id"))).distinct()
     body = settle(payloads(ids), "payload")
-    left = star.join(body.select("id", F.col("payload").alias("mine")), "id")
+    left = star.select("id", "pivot").join(body.select("id", F.col("payload").alias("mine")), "id")
     pairs = left.join(body.select(F.col("id").alias("pivot"), F.col("payload").alias("theirs")), "pivot")
     links = settle(pairs.where(similar(F.col("mine"), F.col("theirs"))).select("id", "pivot"), "links")
     first = settle(components(links), "first")
-    more = _rest(star, body, first, within, block_weight)
+    more = _rest(star.where("large").select("id", "pivot"), body, first, within, block_weight)
     if more.isEmpty():
         return first
     # second round on the first components' roots
