@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import chain
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, functions as F
 
@@ -76,8 +77,8 @@ def literal_map(table: dict) -> Column:
 
 
 def clean_sequence(seq: Column) -> Column:
-    """Upper case without white space."""
-    return F.upper(F.regexp_replace(seq, r"\s+", ""))
+    """a-z in upper case, without white space; letters outside ASCII stay as they are."""
+    return F.translate(F.regexp_replace(seq, r"\s+", ""), ascii_lowercase, ascii_uppercase)
 
 
 def codons(seq: Column) -> Column:

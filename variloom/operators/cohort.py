@@ -196,12 +196,12 @@ def count_by_bucket(repaired: DataFrame) -> DataFrame:
 
 
 def count_by_cancer(df: DataFrame, codes: list[str] | None = CANCER_CODES) -> DataFrame:
-    """Rows per ``cancer_type``; with ``codes`` just those codes, 0 included."""
+    """Rows per ``cancer_type``; ``codes`` are listed too if they have none."""
     counts = df.groupBy("cancer_type").agg(F.count("*").alias("n"))
     if codes is None:
         return counts
     listed = df.sparkSession.range(1).select(F.explode(F.array(*(F.lit(c) for c in codes))).alias("cancer_type"))
-    return listed.join(counts, "cancer_type", "left").fillna(0, ["n"])
+    return listed.join(counts, "cancer_type", "full").fillna(0, ["n"])
 
 
 def contains_join(lines: DataFrame, ids: DataFrame, line: str = "line", key: str = "case_id") -> DataFrame:
@@ -244,6 +244,6 @@ def find_case(df: DataFrame, case: str) -> DataFrame:
     return df.where(F.col("case_id") == case)
 
 
-def write_ready(pairs: DataFrame) -> DataFrame:
-    """The 16 pair columns in file order, ``total_size`` recomputed."""
-    return pairs.withColumn("total_size", _total_size()).select(*PAIR_COLUMNS)
+def write_ready(pairs: DataFrame, *extra: str) -> DataFrame:
+    """The 16 pair columns in file order, ``total_size`` recomputed, and ``extra`` columns after them."""
+    return pairs.withColumn("total_size", _total_size()).select(*PAIR_COLUMNS, *extra)

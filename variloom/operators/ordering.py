@@ -127,6 +127,11 @@ def _one_per_key(df: DataFrame, key: str | list[str], order: Column) -> DataFram
     return ranked.where("_rank = 1").drop("_rank")
 
 
+def first_and_last(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """``first_file`` and ``last_file`` per key, the values of its first and last row, in one aggregation."""
+    return df.groupBy(key).agg(F.min_by(value, order).alias("first_file"), F.max_by(value, order).alias("last_file"))
+
+
 def insert_ignore(target: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """Rows of ``new`` to append: keys not in ``target``, the first row of each key."""
     return first_per_key(new, key, order).join(target.select(key).distinct(), key, "left_anti")

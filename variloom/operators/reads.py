@@ -93,7 +93,8 @@ def is_sorted(reads: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE
     Neighbours are compared inside ranges of ``order``; the ranges' first and last rows
     cover the steps between ranges.
     """
-    place = chrom_rank(F.col("chrom")).cast("bigint") * F.lit(1 << 40) + F.col("pos")
+    # the key of coordinate_sort: references of one rank are told apart by name
+    place = F.struct(chrom_rank(F.col("chrom")).alias("rank"), F.col("chrom").alias("chrom"), F.col("pos").alias("pos"))
     slim = reads.select(F.col(order).alias("_o"), place.alias("_p"))
     cuts = range_cuts(slim, "_o", rows_per_range)
     ranged = slim.withColumn("_range", range_of(F.col("_o"), cuts))

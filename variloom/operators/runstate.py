@@ -100,19 +100,15 @@ def least_loaded(nodes: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def jobs_by_case(jobs: DataFrame, page_size: int = 1000) -> DataFrame:
-    """Case to map of job id to fields.
+    """Case and page to map of job id to fields.
 
-    A case with more than ``page_size`` jobs is spread over several pages by a hash of the
-    job id, so no map grows with the data; other cases have the one page 0.
+    Page ``p`` of every case, large or small, has the job ids from ``p * page_size`` on, so no
+    map holds more than ``page_size`` jobs.
     """
-    listed = project_jobs(jobs)
-    large = (listed.groupBy("case_id").agg(F.count("*").alias("_jobs")).where(F.col("_jobs") > page_size)
-             .select("case_id", F.ceil(F.col("_jobs") * 2 / page_size).alias("_pages")))
-    page = F.when(F.col("_pages").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("job_id"), F.col("_pages")))
-    paged = listed.join(large, "case_id", "left").withColumn("page", page.cast("int"))
-    fields = F.struct(*(c for c in listed.columns if c not in ("case_id", "job_id")))
+    listed = project_jobs(jobs).withColumn("page", F.floor(F.col("job_id") / page_size).cast("bigint"))
+    fields = F.struct(*(c for c in listed.columns if c not in ("case_id", "job_id", "page")))
     entries = F.array_sort(F.collect_list(F.struct("job_id", fields.alias("fields"))))
-    return paged.groupBy("case_id", "page").agg(F.map_from_entries(entries).alias("jobs"))
+    return listed.groupBy("case_id", "page").agg(F.map_from_entries(entries).alias("jobs"))
 
 
 def manager_counts(pairs_done: DataFrame, state: DataFrame) -> DataFrame:
@@ -161,15 +157,25 @@ def submit_case(queued: DataFrame, case: str, accepted: bool) -> DataFrame:
         "case_id", F.lit("queued").alias("from_state"), F.lit("processing").alias("to_state"))
 
 
-def finish_transition(processing: DataFrame, finished: DataFrame, events: DataFrame) -> DataFrame:
-    """Rows of processing that move to finished: their files reached the final stage.
+def finish_transition(processing: DataFrame, finished: DataFrame, records: DataFrame) -> DataFrame:
+    """Changes of the processing rows whose files (``normal``, ``tumor``) have a finish record.
 
-    Rows already in ``finished`` are left out by an anti join on the case.
+    Every such row leaves ``processing``. ``inserted`` marks the first row of a case (by ``row_id``)
+    that is not in ``finished`` yet; the insert of the others is ignored.
     """
-    ended = events.where(F.col("stage") == FINAL_STAGE).select(
-        F.col("normal").alias("normal_file"), F.col("tumor").alias("tumor_file")).distinct()
-    moved = processing.join(ended, ["normal_file", "tumor_file"], "left_semi")
-    return moved.join(finished.select("case_id").distinct(), "case_id", "left_anti")
+    ended = records.select(F.col("normal").alias("normal_file"), F.col("tumor").alias("tumor_file")).distinct()
+    leaving = processing.join(ended, ["normal_file", "tumor_file"], "left_semi")
+    known = finished.select("case_id", F.lit(True).alias("_known")).distinct()
+    first = leaving.groupBy("case_id").agg(F.min("row_id").alias("_first"))
+    marked = leaving.join(known, "case_id", "left").join(first, "case_id")
+    return marked.select(
+        "row_id", "case_id", "normal_file", "tumor_file", F.lit("processing").alias("from_state"), F.lit("finished").alias("to_state"),
+        (F.col("_known").isNull() & (F.col("row_id") == F.col("_first"))).alias("inserted"))
+
+
+def finish_running(running: DataFrame, records: DataFrame) -> DataFrame:
+    """Registered runs that end: those of files with a finish record."""
+    return running.join(records.select("normal", "tumor").distinct(), ["normal", "tumor"], "left_semi")
 
 
 def register_running(events: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,13 +42,23 @@ class ProcessParams:
     p_value: float = 0.07
 
 
+def _ratio(share: float) -> tuple[int, int]:
+    """A decimal share as it is written, as a fraction; one with more than nine decimals is refused."""
+    exact = Fraction(repr(round(share, 12)))
+    if exact.denominator > 10 ** 9:
+        raise ValueError(f"a share of {share!r} has more than nine decimals")
+    return exact.numerator, exact.denominator
+
+
 def at_least(part: Column, whole: Column, share: float) -> Column:
     """part / whole >= share on integers, free of rounding; false for an empty whole."""
-    return (whole > 0) & (part * 1000 >= whole * round(share * 1000))
+    up, down = _ratio(share)
+    return (whole > 0) & (part.cast("bigint") * down >= whole.cast("bigint") * up)
 
 
 def at_most(part: Column, whole: Column, share: float) -> Column:
-    return (whole > 0) & (part * 1000 <= whole * round(share * 1000))
+    up, down = _ratio(share)
+    return (whole > 0) & (part.cast("bigint") * down <= whole.cast("bigint") * up)
 
 
 # ---- from alignments to bases ------------------------------------------------------------
@@ -59,35 +70,38 @@ def expand_alignment(reads: DataFrame) -> DataFrame:
     ``base`` is the read's base at a matched position. ``indel`` is ``+<bases>`` or
     ``-<length>`` and sits at the position before the change.
     """
-    cigar, seq = F.col("cigar"), F.col("seq")
-    sizes = F.transform(F.regexp_extract_all(cigar, F.lit("([0-9]+)[MIDNSHP=X]"), F.lit(1)), lambda n: n.cast("int"))
-    ops = F.regexp_extract_all(cigar, F.lit("[0-9]+([MIDNSHP=X])"), F.lit(1))
-    runs = F.arrays_zip(ops.alias("op"), sizes.alias("size"))
-
-    def moved(upto: Column, letters: list[str]) -> Column:
-        return F.aggregate(F.slice(F.col("_runs"), F.lit(1), upto), F.lit(0),
-                           lambda at, run: at + F.when(run["op"].isin(letters), run["size"]).otherwise(0))
-
-    listed = computed(reads, _runs=runs).select("*", F.posexplode("_runs").alias("_i", "_run"))
-    opened = computed(
-        listed, _ref=F.col("pos") + moved(F.col("_i"), ["M", "D", "N", "=", "X"]),
-        _read=moved(F.col("_i"), ["M", "I", "S", "=", "X"]), _op=F.col("_run.op"), _size=F.col("_run.size"))
+    letters = F.regexp_extract_all("cigar", F.lit("[0-9]+([MIDNSHP=X])"), F.lit(1))
+    sizes = F.transform(F.regexp_extract_all("cigar", F.lit("([0-9]+)[MIDNSHP=X]"), F.lit(1)), lambda n: n.cast("int"))
+    runs = F.filter(F.arrays_zip(letters.alias("op"), sizes.alias("size")), lambda run: run["size"] > 0)
+    place = F.struct(F.lit("").alias("op"), F.lit(0).alias("size"), F.col("pos").cast("bigint").alias("at"), F.lit(0).alias("from"))
+    on_reference, on_read = ["M", "D", "N", "=", "X"], ["M", "I", "S", "=", "X"]
+    # every run with where it begins on the reference and in the read, in one pass
+    placed = F.aggregate(runs, F.struct(place.alias("last"), F.array(place).alias("all")), lambda state, run: _step(state, run, on_reference, on_read),
+                         lambda state: F.slice(state["all"], 2, F.size(state["all"])))
     none = F.lit(None).cast("string")
-    matched = F.transform(F.sequence(F.lit(0), F.col("_size") - 1), lambda j: F.struct(
-        (F.col("_ref") + j).alias("pos"), F.substring(seq, F.col("_read") + j + 1, F.lit(1)).alias("base"),
-        (F.ascii(F.substring("qual", F.col("_read") + j + 1, F.lit(1))) - 33).alias("baseq"), none.alias("indel")))
-
-    def change(text: Column) -> Column:
-        return F.array(F.struct((F.col("_ref") - 1).alias("pos"), none.alias("base"),
-                                F.lit(None).cast("int").alias("baseq"), text.alias("indel")))
-
-    events = (
-        F.when(F.col("_op").isin("M", "=", "X"), matched)
-        .when(F.col("_op") == "I", change(F.concat(F.lit("+"), F.substring(seq, F.col("_read") + 1, F.col("_size")))))
-        .when(F.col("_op") == "D", change(F.concat(F.lit("-"), F.col("_size").cast("string"))))
-    )
+    no_quality = F.lit(None).cast("int")
+
+    def events(run: Column) -> Column:
+        matched = F.transform(F.sequence(F.lit(0), run["size"] - 1), lambda j: F.struct(
+            (run["at"] + j).alias("pos"), F.substring("seq", run["from"] + j + 1, F.lit(1)).alias("base"),
+            (F.ascii(F.substring("qual", run["from"] + j + 1, F.lit(1))) - 33).alias("baseq"), none.alias("indel")))
+        text = F.when(run["op"] == "I", F.concat(F.lit("+"), F.substring("seq", run["from"] + 1, run["size"]))).otherwise(
+            F.concat(F.lit("-"), run["size"].cast("string")))
+        change = F.array(F.struct((run["at"] - 1).alias("pos"), none.alias("base"), no_quality.alias("baseq"), text.alias("indel")))
+        return F.when(run["op"].isin("M", "=", "X"), matched).when(run["op"].isin("I", "D"), change)
+
     keep = [c for c in ("sample", "role", "chrom", "flag", "mapq") if c in reads.columns]
-    return opened.select(*keep, F.inline(events))
+    shown = F.filter(placed, lambda run: run["op"].isin("M", "=", "X", "I", "D"))
+    return computed(reads, _runs=shown).select(*keep, F.inline(F.flatten(F.transform("_runs", events))))
+
+
+def _step(state: Column, run: Column, on_reference: list[str], on_read: list[str]) -> Column:
+    last = state["last"]
+    here = F.struct(
+        run["op"].alias("op"), run["size"].alias("size"),
+        (last["at"] + F.when(last["op"].isin(on_reference), last["size"]).otherwise(0)).alias("at"),
+        (last["from"] + F.when(last["op"].isin(on_read), last["size"]).otherwise(0)).alias("from"))
+    return F.struct(here.alias("last"), F.concat(state["all"], F.array(here)).alias("all"))
 
 
 def _count(side: str, base: str, strand: str) -> str:

@@ -19,9 +19,13 @@ from variloom.operators.base import computed
 WINDOW = S.WINDOW_CODONS
 WINDOW_BASES = 3 * WINDOW
 PIECE_CODONS = 2048
+#: Sequence bytes for each partition of pieces.
+PARTITION_BYTES = 4 << 20
 
 #: Score and melting temperature of a codon or window share an integer: score * SHARE + temperature.
 SHARE = 1000
+#: A partner is packed as score * FAR + (FAR - 1 - place), so the maximum is the nearest of the best.
+FAR = 1 << 20
 
 # Limits of the design parameters.
 MIN_TEMP, MAX_TEMP = 0, 200
@@ -50,8 +54,8 @@ def _pieces(seqs: DataFrame, need: int, overlap: int, spread: bool) -> DataFrame
 
     ``need`` is the number of codons the smallest result takes. Cutting works on bytes,
     where a position needs no scan from the start. ``spread`` shuffles the pieces into a
-    fixed number of partitions: results are many times larger than pieces, so partitions
-    must not be merged by the size of their input.
+    number of partitions that follows the bytes of all sequences: results are many times larger
+    than pieces, so partitions must not be merged by the size of their input.
     """
     count = F.floor(F.length("_bytes") / 3) - (need - 1)
     numbers = F.when(count > 0, F.sequence(F.lit(0), F.ceil(count / PIECE_CODONS) - 1))
@@ -62,7 +66,9 @@ def _pieces(seqs: DataFrame, need: int, overlap: int, spread: bool) -> DataFrame
     out = rows.select("seq_id", (F.col("_n").cast("bigint") * PIECE_CODONS).alias("first"), "piece")
     if not spread:
         return out
-    return out.repartition(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seq_id", "first")
+    total = seqs.agg(F.coalesce(F.sum(F.octet_length("seq")), F.lit(0))).first()[0]
+    least = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return out.repartition(max(least, math.ceil(total / PARTITION_BYTES)), "seq_id", "first")
 
 
 def codon_table(seqs: DataFrame, organism: str = "human", spread: bool = True) -> DataFrame:
@@ -168,6 +174,37 @@ def _pairs(opened: DataFrame, partners: Column, *columns: Column | str) -> DataF
         ((step + WINDOW) * 3).alias("distance"), *columns)
 
 
+def _with_partner(scored: DataFrame, low: int, high: int) -> DataFrame:
+    """Adds ``p``: for each window of the piece, its nearest best partner, packed, or -1 or nothing without one.
+
+    The maximum over a sliding range comes from maxima over 1, 2, 4, ... windows.
+    """
+    keep = scored.columns
+    out = computed(scored, *keep, m=F.expr(f"transform(s, (x, i) -> if(x is null, -1L, x * {FAR}L + {FAR - 1}L - i))"))
+    power = (high - low + 1).bit_length() - 1
+    for k in range(power):
+        out = computed(out, *keep, m=F.expr(f"zip_with(m, slice(m, {2 ** k + 1}, size(m)), (a, b) -> greatest(a, coalesce(b, -1L)))"))
+    both = F.expr(f"zip_with(slice(m, {low + 1}, own), slice(m, {high - 2 ** power + 2}, own), (a, b) -> greatest(coalesce(a, -1L), coalesce(b, -1L)))")
+    return computed(out, *keep, p=both)
+
+
+def window_partners(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
+    """One row per kept window that has partners: how many, the best summed score and the nearest best partner.
+
+    Columns: seq_id, left_start, partners, score, right_start. Pairs are not listed, so the result is
+    as long as the sequences whatever the distance range.
+    """
+    low, high = params.steps
+    scored = _with_partner(_scored(_pair_pieces(seqs, params), params, organism, full_serine), low, high)
+    upto = F.expr("transform(s, x -> if(x is null, 0, 1))")
+    counted = computed(scored, "seq_id", "first", "s", "own", "p", _flags=upto)
+    span = counted.withColumn("_k", F.explode(F.expr("filter(sequence(0, own - 1), k -> get(s, k) is not null and get(p, k) >= 0)")))
+    partners = F.aggregate(F.slice("_flags", F.col("_k") + low + 1, F.lit(high - low + 1)), F.lit(0), lambda n, x: n + x)
+    return span.select("seq_id", (F.col("first") + F.col("_k")).alias("left_start"), partners.alias("partners"),
+                       F.expr(f"cast(get(s, _k) + get(p, _k) div {FAR} as int)").alias("score"),
+                       (F.col("first") + F.expr(f"{FAR - 1} - get(p, _k) % {FAR}")).alias("right_start"))
+
+
 def window_pairs(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
     """Pairs of kept windows whose distance (start of the left to end of the right) is in range.
 
@@ -198,13 +235,15 @@ def best_pairs(seqs: DataFrame, params: TagParams, mode: str = "intended", organ
     """
     low, high = params.steps
     pieces = _pair_pieces(seqs, params)
-    partner = f"array_max(slice(s, k + {low + 1}, {high - low + 1}))"
     if mode == "intended":
-        reach = F.expr(f"array_max(transform(sequence(0, own - 1), k -> get(s, k) + {partner}))")
-        tops = _scored(pieces, params, organism, full_serine).select("seq_id", reach.alias("_reach"))
-        top = tops.groupBy("seq_id").agg(F.max("_reach").alias("_top")).where("_top is not null")
-        scored = _scored(pieces.join(top, "seq_id"), params, organism, full_serine, "_top").where(reach == F.col("_top"))
-        lefts = scored.withColumn("_k", F.explode(F.expr(f"filter(sequence(0, own - 1), k -> get(s, k) + {partner} = _top)")))
+        # each piece is scored once to find its highest sum; pieces that reach their sequence's are scored again to list
+        reach = F.expr(f"array_max(transform(sequence(0, own - 1), k -> if(get(p, k) >= 0, get(s, k) + cast(get(p, k) div {FAR} as int), null)))")
+        reached = _with_partner(_scored(pieces, params, organism, full_serine, "piece"), low, high).select("seq_id", "first", "piece", reach.alias("_top"))
+        reached = reached.where("_top is not null").repartition("seq_id")
+        best = reached.groupBy("seq_id").agg(F.max("_top").alias("_top"))
+        scored = _with_partner(_scored(reached.join(best, ["seq_id", "_top"]), params, organism, full_serine, "_top"), low, high)
+        lefts = scored.withColumn("_k", F.explode(F.expr(
+            f"filter(sequence(0, own - 1), k -> get(p, k) >= 0 and get(s, k) + get(p, k) div {FAR} = _top)")))
         partners = F.expr(f"filter(sequence(_k + {low}, _k + {high}), j -> get(s, j) = _top - get(s, _k))")
         return _pairs(lefts, partners, *_pair_details())
     if mode != "parity":

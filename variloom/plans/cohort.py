@@ -210,8 +210,8 @@ def bucket_counts(v):
 
 
 @query("count_by_cancer", """
-select c.code as cancer_type, coalesce(n, 0) as n from (values ('AUTO'), ('BUIL'), ('GBM')) c(code)
- left join (select cancer_type, count(*) as n from {pairs} group by 1) p on c.code = p.cancer_type""")
+select coalesce(c.code, p.cancer_type) as cancer_type, coalesce(n, 0) as n from (values ('AUTO'), ('BUIL'), ('GBM')) c(code)
+ full join (select cancer_type, count(*) as n from {pairs} group by 1) p on c.code = p.cancer_type""")
 def count_by_cancer(v):
     return C.count_by_cancer(pairs(v), ["AUTO", "BUIL", "GBM"])
 
@@ -259,9 +259,7 @@ def numbered_queue(v):
 select case_id, arg_min(file_name, row_id) as first_file, arg_max(file_name, row_id) as last_file from {parsed} group by 1""")
 def first_last_dup(v):
     files = B.parse_barcode(v.manifest).select("case_id", "row_id", "file_name")
-    first = O.first_per_key(files, "case_id", "row_id").select("case_id", F.col("file_name").alias("first_file"))
-    last = O.last_per_key(files, "case_id", "row_id").select("case_id", F.col("file_name").alias("last_file"))
-    return first.join(last, "case_id")
+    return O.first_and_last(files, "case_id", "row_id", "file_name")
 
 
 @query("insert_ignore", """

@@ -43,11 +43,9 @@ def rt_todo(v):
     root = work_path(v.spark, "todo")
     numbered = C.pair_by_case(v.manifest, "row_id").withColumn("index", F.lit(1))
     large = F.col("total_size") > 300_000_000_000
-    for code in ("AUTO", "BUIL", "FURN", "HOUS", "MACH"):
-        for cohort, chosen in (("BLACK", large), ("WHITE", ~large)):
-            rows = C.write_ready(numbered.where((F.col("cancer_type") == code) & chosen))
-            rows.withColumns({"u1": F.lit("gs://x"), "u2": F.lit("gs://y")}).write.csv(f"{root}/{cohort}_TODO_{code}_MATCHED.csv")
-    return S.read_todo(v.spark, f"{root}/*_TODO_*_MATCHED.csv").select("cohort", "cancer", "case_id", "total_size")
+    rows = C.write_ready(numbered.withColumn("cohort", F.when(large, "BLACK").otherwise("WHITE")), "cohort")
+    K.write_todo(rows.withColumns({"u1": F.lit("gs://x"), "u2": F.lit("gs://y")}), root)
+    return S.read_todo(v.spark, root).select("cohort", "cancer", "case_id", "total_size")
 
 
 @query("rt_ids", "select case_id from {finished}")

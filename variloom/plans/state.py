@@ -67,13 +67,13 @@ def least_loaded(v):
 
 
 @query("jobs_by_case", """
-select case_id, count(*) as jobs, string_agg(job_id||'='||job_state||'@'||coalesce(nodes,'-'), ';' order by job_id) as listing
- from {cased_jobs} group by 1""")
+select case_id, job_id // 1000 as page, count(*) as jobs, string_agg(job_id||'='||job_state||'@'||coalesce(nodes,'-'), ';' order by job_id) as listing
+ from {cased_jobs} group by 1, 2""")
 def jobs_by_case(v):
     nested = R.jobs_by_case(v.jobs)
     shown = F.transform(F.array_sort(F.map_entries("jobs")), lambda e: F.concat(
         e["key"].cast("string"), F.lit("="), e["value"]["job_state"], F.lit("@"), F.coalesce(e["value"]["nodes"], F.lit("-"))))
-    return nested.select("case_id", F.size("jobs").cast("bigint").alias("jobs"), F.array_join(shown, ";").alias("listing"))
+    return nested.select("case_id", "page", F.size("jobs").cast("bigint").alias("jobs"), F.array_join(shown, ";").alias("listing"))
 
 
 @query("manager_counts", """
@@ -124,18 +124,39 @@ def submit_batch_parity(v):
     return R.submit_batch(_queue(v), 100, ids(v, "FAILED"), "row_id", "parity")
 
 
-@query("submit_case", """
-select distinct case_id, 'queued' as from_state, 'processing' as to_state from {queued} where case_id = 'TCGA-07-000007'""")
+@query("submit_case", f"""
+select distinct case_id, 'queued' as from_state, 'processing' as to_state from {{queued}}
+ where case_id = (select case_id from ({_QUEUE}) order by row_id limit 1)""")
 def submit_case(v):
-    return R.submit_case(_queue(v), "TCGA-07-000007", True)
+    queue = _queue(v)
+    first = queue.orderBy("row_id").select("case_id").first()
+    return R.submit_case(queue, first.case_id if first else "", True)
 
 
-@query("finish_transition", """
-select row_id, case_id, normal_file, tumor_file from {processing} p
- where exists (select 1 from {stage_events} e where e.normal = p.normal_file and e.tumor = p.tumor_file and e.stage = 9)
- and case_id not in (select case_id from {finished})""")
+#: Finish records: events of the last stage that say more than a look.
+CHECK_VIEWS["finish_records"] = "select distinct normal, tumor from {stage_events} where stage = 9 and event_type <> 'view'"
+
+
+def finish_records(v):
+    return R.by_stage(v.stage_events).where("event_type <> 'view'").select("normal", "tumor")
+
+
+FINISH_SQL = """
+select row_id, p.case_id, normal_file, tumor_file, 'processing' as from_state, 'finished' as to_state,
+ p.case_id not in (select case_id from {finished}) and row_id = min(row_id) over (partition by p.case_id) as inserted
+ from {processing} p join {finish_records} e on e.normal = p.normal_file and e.tumor = p.tumor_file"""
+
+
+@query("finish_transition", FINISH_SQL)
 def finish_transition(v):
-    return R.finish_transition(v.processing, v.finished, v.stage_events).select("row_id", "case_id", "normal_file", "tumor_file")
+    return R.finish_transition(v.processing, v.finished, finish_records(v))
+
+
+@query("finish_running", """
+select s.normal, s.tumor, stage, min(event_id) as event_id from {stage_events} s join {finish_records} e on e.normal = s.normal and e.tumor = s.tumor
+ group by 1, 2, 3""")
+def finish_running(v):
+    return R.finish_running(R.register_running(v.stage_events), finish_records(v)).select("normal", "tumor", "stage", "event_id")
 
 
 @query("register_running", "select normal, tumor, stage, min(event_id) as event_id from {stage_events} group by 1, 2, 3")

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from variloom.operators import runstate as R
 from variloom.plans import bridge
 from variloom.plans.registry import query
-from variloom.plans.state import PROGRESS_SQL
+from variloom.plans.state import FINISH_SQL, PROGRESS_SQL
 from variloom.streaming import stages as X
 
 
 def _stream(v, view: str, table: str):
     """A bridge view over a table read as a stream."""
-    source = X.read_events(v.spark, v.folder, v.table(table).schema, f"{table}.parquet")
+    source = X.read_events(v.spark, v.folder, v.table(table).schema, f"{table}.parquet", max_files=1)
     return v.spark.sql(bridge.VIEWS[view], **{table: source})
 
 
@@ -52,23 +52,18 @@ def stream_sessions(v):
 @query("stream_node_status", """
 select node, state, jobs_requested from {node_counts}""")
 def stream_node_status(v):
-    jobs = _stream(v, "jobs", "orders")
-    return X.run_to_end(jobs, "append", "node-status", each=X.live_node_view(v.nodes)).select("node", "state", "jobs_requested")
+    path = X.write_to_end(_stream(v, "jobs", "orders"), "node-status")
+    return X.live_node_view(v.spark, path, v.nodes).select("node", "state", "jobs_requested")
 
 
 @query("stream_progress", PROGRESS_SQL)
 def stream_progress(v):
-    out = X.run_to_end(_stream(v, "jobs", "orders"), "append", "progress", each=X.live_progress(v.processing))
-    return out.select("case_id", "cancer_type", "node", "submit_time", "requested", "progress")
+    path = X.write_to_end(_stream(v, "jobs", "orders"), "progress")
+    return X.live_progress(v.spark, path, v.processing).select("case_id", "cancer_type", "node", "submit_time", "requested", "progress")
 
 
-@query("stream_finished", """
-select p.row_id, p.case_id from {processing} p
- where exists (select 1 from {stage_events} e where e.normal = p.normal_file and e.tumor = p.tumor_file and e.stage = 9)
- and case_id not in (select case_id from {finished})""")
+@query("stream_finished", FINISH_SQL)
 def stream_finished(v):
-    # each batch appends the samples it moves; a sample moved by two batches counts once
-    moved = X.run_to_end(events(v), "append", "finished", ["row_id", "case_id"],
-                         each=lambda batch: R.finish_transition(v.processing, v.finished, batch).select(
-                             "row_id", "case_id", F.lit(True).alias("moved")))
-    return moved.select("row_id", "case_id")
+    # finish records are gathered over all batches: what a sample does may not hang on how they were split
+    path = X.write_to_end(events(v).where("stage = 9 and event_type <> 'view'").select("normal", "tumor"), "finished")
+    return R.finish_transition(v.processing, v.finished, X.read_batches(v.spark, path).select("normal", "tumor"))

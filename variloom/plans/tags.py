@@ -10,8 +10,6 @@ from variloom.plans.registry import CHECK_VIEWS, query
 
 #: Parameters of the registered design queries.
 PARAMS = T.TagParams(min_temp=60, max_temp=72, min_recoded=30, min_distance=100, max_distance=400)
-#: A narrow distance range, for listing every pair.
-LISTED = T.TagParams(min_temp=60, max_temp=72, min_recoded=30, min_distance=100, max_distance=112)
 
 _CODES = ", ".join(f"('{a}', {i}, '{c}')" for a, cs in S.SYNONYMS.items() for i, c in enumerate(cs))
 _AMINOS = ", ".join(f"('{c}', '{a}')" for c, a in S.amino_table().items())
@@ -46,17 +44,19 @@ def _kept(p: T.TagParams) -> str:
 CHECK_VIEWS["kept_windows"] = _kept(PARAMS)
 
 
-def _all_pairs(p: T.TagParams) -> str:
-    return f"""select a.seq_id, a.start as left_start, b.start as right_start, (b.start - a.start + 8) * 3 as distance,
- a.score as left_score, b.score as right_score, a.score + b.score as score, a.new as left_new, b.new as right_new
- from {{kept_windows}} a join {{kept_windows}} b on a.seq_id = b.seq_id and b.start > a.start
- and (b.start - a.start + 8) * 3 between {p.min_distance} and {p.max_distance}"""
-
-
-CHECK_VIEWS["all_pairs"] = _all_pairs(PARAMS)
-CHECK_VIEWS["best_of"] = """
-select p.* from {all_pairs} p join (select seq_id, max(score) as top from {all_pairs} group by 1) t
- on p.seq_id = t.seq_id and p.score = t.top"""
+_LOW, _HIGH = PARAMS.steps
+# the best partners of a window by a frame, without a join of windows
+CHECK_VIEWS["partners"] = f"""
+select seq_id, start as left_start, cast(n as int) as partners, cast(score + top // 1048576 as int) as score, 1048575 - top % 1048576 as right_start from (
+ select *, count(*) over w as n, max(score * 1048576 + 1048575 - start) over w as top from {{kept_windows}}
+ window w as (partition by seq_id order by start range between {_LOW} following and {_HIGH} following)) where n > 0"""
+CHECK_VIEWS["best_lefts"] = """
+select seq_id, left_start, score from {partners} qualify score = max(score) over (partition by seq_id)"""
+CHECK_VIEWS["best_of"] = f"""
+select a.seq_id, a.start as left_start, b.start as right_start, (b.start - a.start + 8) * 3 as distance,
+ a.score as left_score, b.score as right_score, t.score as score, a.new as left_new, b.new as right_new
+ from {{best_lefts}} t join {{kept_windows}} a on a.seq_id = t.seq_id and a.start = t.left_start
+ join {{kept_windows}} b on b.seq_id = a.seq_id and a.score + b.score = t.score and b.start between a.start + {_LOW} and a.start + {_HIGH}"""
 CHECK_VIEWS["last_of"] = "select * from {best_of} qualify row_number() over (partition by seq_id order by left_start desc, right_start desc) = 1"
 
 PAIR_OUT = ["seq_id", "left_start", "right_start", "distance", "left_score", "right_score", "score", "left_new", "right_new"]
@@ -77,11 +77,9 @@ def sequence_checks(v):
 
 
 @query("clean_sequence", """
-select doc_id, md5(regexp_replace(upper(regexp_replace(text, '[^ -~\\s]', '', 'g')), '\\s+', '', 'g')) as digest from {documents}""")
+select doc_id, md5(translate(regexp_replace(text, '\\s+', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')) as digest from {documents}""")
 def clean_sequence(v):
-    # letters outside ASCII are dropped first: their upper case differs between engines
-    letters = F.regexp_replace("text", r"[^ -~\s]", "")
-    return v.documents.select("doc_id", F.md5(S.clean_sequence(letters)).alias("digest"))
+    return v.documents.select("doc_id", F.md5(S.clean_sequence(F.col("text"))).alias("digest"))
 
 
 @query("codons", "select seq_id, i, codon from {codon_rows}")
@@ -149,10 +147,9 @@ def recode_windows(v):
     return T.recode_windows(v.sequences)
 
 
-@query("percent_changed", "select seq_id, start, pc from {recoded} where mt between 60 and 62")
+@query("percent_changed", "select seq_id, start, pc from {recoded}")
 def percent_changed(v):
-    near = T.recode_windows(v.sequences).where(F.col("mt").between(60, 62))
-    return near.select("seq_id", "start", S.percent_changed(F.col("new"), F.col("old")).alias("pc"))
+    return T.recode_windows(v.sequences).select("seq_id", "start", S.percent_changed(F.col("new"), F.col("old")).alias("pc"))
 
 
 @query("window_filter", f"""
@@ -164,9 +161,10 @@ def window_filter(v):
     return T.window_rejects(T.recode_windows(v.sequences), PARAMS)
 
 
-@query("window_pairs", f"select seq_id, left_start, right_start, distance, score from ({_all_pairs(LISTED)})")
+@query("window_pairs", """
+select seq_id, left_start, partners, score, right_start from {partners}""")
 def window_pairs(v):
-    return T.window_pairs(v.sequences, LISTED)
+    return T.window_partners(v.sequences, PARAMS)
 
 
 @query("best_pairs", f"select {', '.join(PAIR_OUT)} from {{best_of}}")
@@ -174,9 +172,13 @@ def best_pairs(v):
     return T.best_pairs(v.sequences, PARAMS).select(*PAIR_OUT)
 
 
-@query("last_pairs_parity", """
-select seq_id, left_start, right_start, score from {all_pairs}
- qualify row_number() over (partition by seq_id order by left_start desc, right_start desc) = 1""")
+@query("last_pairs_parity", f"""
+select a.seq_id, a.start as left_start, b.start as right_start, a.score + b.score as score from (
+  select * from (select k.*, count(*) over w as n from {{kept_windows}} k
+   window w as (partition by seq_id order by start range between {_LOW} following and {_HIGH} following)) where n > 0
+  qualify row_number() over (partition by seq_id order by start desc) = 1) a
+ join {{kept_windows}} b on b.seq_id = a.seq_id and b.start between a.start + {_LOW} and a.start + {_HIGH}
+ qualify row_number() over (partition by a.seq_id order by b.start desc) = 1""")
 def last_pairs_parity(v):
     return T.best_pairs(v.sequences, PARAMS, "parity").select("seq_id", "left_start", "right_start", "score")
 

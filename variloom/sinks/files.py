@@ -21,6 +21,12 @@ def write_pairs(pairs: DataFrame, path: str) -> None:
     write_ready(pairs).write.mode("overwrite").csv(path, header=False)
 
 
+def write_todo(rows: DataFrame, path: str) -> None:
+    """To-do pairs without a header, a folder per ``cohort`` and cancer code named like the files' scheme, in one write."""
+    named = rows.withColumn("todo", F.concat("cohort", F.lit("_TODO_"), F.coalesce("cancer_type", F.lit("NONE")), F.lit("_MATCHED.csv")))
+    _balanced(named.drop("cohort"), "todo").write.mode("overwrite").partitionBy("todo").csv(path, header=False)
+
+
 def append_records(records: DataFrame, path: str, by: str = "step") -> None:
     """Append records to their tables, one folder per value of ``by``."""
     _balanced(records, by).write.mode("append").partitionBy(by).parquet(path)

@@ -14,8 +14,10 @@ PAIR_SCHEMA = ("index bigint, case_id string, tumor_barcode string, tumor_file s
                "normal_platform string, cancer_type string, total_size double")
 TODO_SCHEMA = PAIR_SCHEMA + ", new_tumor_url string, new_normal_url string"
 
+TODO_COLUMNS = [field.split()[0] for field in TODO_SCHEMA.split(", ")]
+
 # To-do file names carry cohort and cancer code.
-TODO_NAME = "([^_/]+)_TODO_([^_/]+)_"
+TODO_NAME = "([^_/=]+)_TODO_([^_/]+)_"
 
 
 def source_name() -> Column:
@@ -53,9 +55,9 @@ def read_pairs(spark: SparkSession, path: str, header: bool = False) -> DataFram
 def read_todo(spark: SparkSession, path: str) -> DataFrame:
     """To-do pairs, 18 columns; ``cohort`` and ``cancer`` come from the file name."""
     name = source_name()
-    rows = spark.read.schema(TODO_SCHEMA).csv(path)
+    rows = spark.read.schema(TODO_SCHEMA).csv(path).select(*TODO_COLUMNS, "_metadata")
     return _sizes(rows.withColumns({"cohort": F.regexp_extract(name, TODO_NAME, 1),
-                                    "cancer": F.regexp_extract(name, TODO_NAME, 2)}))
+                                    "cancer": F.regexp_extract(name, TODO_NAME, 2)}).drop("_metadata"))
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

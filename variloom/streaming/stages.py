@@ -94,11 +94,23 @@ def run_to_end(stream: DataFrame, mode: str, label: str, keys: list[str] | None
     return latest_batch(spark, path) if keys is None else latest_per_key(spark, path, keys)
 
 
-def live_node_view(nodes: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Per micro-batch: nodes with the jobs of that batch asking for them."""
-    return lambda jobs: node_status(nodes, jobs)
+def newest_jobs(spark: SparkSession, path: str) -> DataFrame:
+    """Each job as last written, over all micro-batches, however the input was split."""
+    return latest_per_key(spark, path, ["job_id"])
 
 
-def live_progress(processing: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Per micro-batch: samples in progress with the summary of that batch's jobs."""
-    return lambda jobs: progress(processing, jobs)
+def live_node_view(spark: SparkSession, path: str, nodes: DataFrame) -> DataFrame:
+    """Nodes with the jobs asking for them, from the jobs a stream has written to ``path`` so far."""
+    return node_status(nodes, newest_jobs(spark, path))
+
+
+def live_progress(spark: SparkSession, path: str, processing: DataFrame) -> DataFrame:
+    """Samples in progress with the summary of the jobs a stream has written to ``path`` so far."""
+    return progress(processing, newest_jobs(spark, path))
+
+
+def write_to_end(stream: DataFrame, label: str) -> str:
+    """Work off all input of a stream of rows; gives the folder written to."""
+    path = work_path(stream.sparkSession, label)
+    run_batches(stream, "append", path).awaitTermination()
+    return path
