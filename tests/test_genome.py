@@ -43,6 +43,22 @@ def test_cigar_expansion(spark, tmp_path):
         (7, None, "-2"), (10, "A", None), (11, "C", None)]
 
 
+def test_runs_of_no_length_and_many_runs(spark, tmp_path):
+    _, reads = sam(spark, tmp_path, [row("a", 0, 3, "0M2M", "AC"), row("b", 0, 1, "1M1I1M1D1M0D1S", "ACGTN"), row("c", 0, 9, "*", "*")])
+    got = sorted((r.pos, r.base or "", r.indel or "") for r in P.expand_alignment(G.reheader(reads)).collect())
+    assert got == sorted([(3, "A", ""), (4, "C", ""), (1, "A", ""), (1, "", "+C"), (2, "G", ""), (2, "", "-1"), (4, "T", "")])
+
+
+def test_small_shares_are_exact(spark):
+    import pytest
+
+    df = spark.createDataFrame([(0, 2000), (1, 2000), (1, 2500), (1, 2501), (0, 0)], "part int, whole int")
+    got = df.select(P.at_least(F.col("part"), F.col("whole"), 0.0004).alias("x"), P.at_most(F.col("part"), F.col("whole"), 0.0004).alias("y")).collect()
+    assert [(r.x, r.y) for r in got] == [(False, True), (True, False), (True, True), (False, True), (False, False)]
+    with pytest.raises(ValueError):
+        P.at_least(F.col("part"), F.col("whole"), 1 / 3)
+
+
 def called(spark, tmp_path, normal, tumor):
     rows = [row(f"{i}", 16 * (i % 2), 1, c, s) for i, (c, s) in enumerate(normal + tumor)]
     _, reads = sam(spark, tmp_path, rows)

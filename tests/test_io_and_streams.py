@@ -104,3 +104,18 @@ def test_manifest_file_to_work_units(spark, tmp_path):
         assert {r.cancer_type: r.n for r in C.count_by_cancer(pairs).where("n > 0").collect()} == {"GBM": 40}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_live_views_do_not_hang_on_file_count(spark, tmp_path):
+    rows = [(i, f"/h/u/t/c{i % 5}/x", "RUNNING", None, f"n{i % 3}", None) for i in range(1500)]
+    jobs = spark.createDataFrame(rows, "job_id bigint, command string, job_state string, submit_time string, req_nodes string, nodes string")
+    nodes = spark.createDataFrame([("n0", "IDLE"), ("n1", "IDLE"), ("n2", "DOWN")], "node string, state string")
+    work = spark.createDataFrame([("c0",), ("c4",)], "case_id string")
+    folder = str(tmp_path / "jobs")
+    jobs.repartition(5).write.parquet(folder)
+    want = {r.node: r.jobs_requested for r in R.node_status(nodes, jobs).collect()}
+    for files in (1, 2, 1000):
+        stream = X.read_events(spark, folder, jobs.schema, "*.parquet", files)
+        path = X.write_to_end(stream, "live")
+        assert {r.node: r.jobs_requested for r in X.live_node_view(spark, path, nodes).collect()} == want == {"n0": 500, "n1": 500, "n2": 500}
+        assert {r.case_id: r.progress for r in X.live_progress(spark, path, work).collect()} == {"c0": "300 | 0 | 0", "c4": "300 | 0 | 0"}

@@ -65,5 +65,9 @@ def test_is_sorted_over_many_ranges(spark):
     bad = spark.createDataFrame(swapped, "o bigint, chrom string, pos bigint")
     keys = [(int(c[3:]), p) for _, c, p in swapped]
     assert is_sorted(bad, "o", 25).first()["inversions"] == sum(a > b for a, b in zip(keys, keys[1:]))
+    # references outside the fixed ranks are told apart by name
+    contigs = lambda rows: spark.createDataFrame(rows, "o bigint, chrom string, pos bigint")
+    assert tuple(is_sorted(contigs([(1, "chrUn_a", 100), (2, "chrUn_b", 1)]), "o").first()) == (True, 0)
+    assert tuple(is_sorted(contigs([(1, "chrUn_b", 1), (2, "chrUn_a", 2)]), "o").first()) == (False, 1)
     ordered = [r.pos for r in sort_if_needed(bad, "o", ["o"]).collect()]
     assert ordered == [p for _, p in sorted(keys)]

@@ -57,6 +57,11 @@ def test_pairs_match_brute_force(spark, small_pieces):
     want = expected_pairs(expected_windows(rows, PARAMS), PARAMS)
     got = [(r.seq_id, r.left_start, r.right_start, r.score) for r in T.window_pairs(df, PARAMS).collect()]
     assert sorted(got) == sorted(want) and len(want) > 50
+    partners = {}
+    for s, left, right, score in want:
+        n, best, near = partners.get((s, left), (0, -1, 0))
+        partners[s, left] = (n + 1, max(best, score), right if score > best or score == best and right < near else near)
+    assert {(r.seq_id, r.left_start): (r.partners, r.score, r.right_start) for r in T.window_partners(df, PARAMS).collect()} == partners
     top = {}
     for s, *_, score in want:
         top[s] = max(score, top.get(s, 0))
