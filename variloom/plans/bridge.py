@@ -41,6 +41,21 @@ select l_orderkey, l_linenumber, 'TCGA-'||p_brand as sample, case when l_linesta
   or (p_size % 5 = 2 and (l_linestatus='O' or l_tax>0.045)) or p_size % 5 = 3 or (p_size % 5 = 4 and l_tax>0.075)
   then substr('ACGT', cast((l_partkey+1) % 4 as int)+1, 1) else substr('ACGT', cast(l_partkey % 4 as int)+1, 1) end as base
  from {lineitem} join {part} on l_partkey = p_partkey""",
+    # reference bases: 32 for each part, one after the other on its chromosome
+    "reference_lines": """
+select 'chr'||case p_partkey % 25 when 22 then 'X' when 23 then 'Y' when 24 then 'M' else ''||cast(p_partkey % 25 + 1 as string) end as chrom,
+ cast(floor(p_partkey / 25) as bigint) * 32 as start, p_partkey, p_size,
+ translate(md5(cast(p_partkey as string)), '0123456789abcdef', 'ACGTACGTACGTACGT') as bases from {part}""",
+    # reads of several bases on that reference: plain, with a deletion, an insertion, clipped ends
+    "long_reads": """
+select 'TCGA-'||cast(p_size % 7 as string) as sample, case when l_linestatus='F' then 'normal' else 'tumor' end as role, l_orderkey, l_linenumber, chrom,
+ start + 5 as pos, cast(l_quantity as int) - 1 as mapq, case when l_returnflag='A' then 16 else 0 end as flag, p_partkey, start, kind,
+ case kind when 'D' then '8M2D10M' when 'I' then '8M2I10M' when 'S' then '3S17M1H' else '12M0I8M' end as cigar,
+ case kind when 'D' then substr(bases, 5, 8)||substr(bases, 15, 10) when 'I' then substr(bases, 5, 8)||'GG'||substr(bases, 13, 10)
+  when 'S' then 'TTT'||substr(bases, 5, 17) else substr(bases, 5, 20) end as seq
+ from (select *, case when (p_size % 4 = 0 and l_linestatus='O' and l_tax>0.02) or (p_size % 4 = 1 and l_tax>0.04) then 'D'
+   when (p_size % 4 = 2 and l_linestatus='O') or (p_size % 4 = 3 and l_tax>0.06) then 'I' when l_linenumber = 1 then 'S' else 'P' end as kind
+  from {lineitem} join {reference_lines} on l_partkey = p_partkey)""",
     # scheduler snapshot
     "jobs": f"""
 select o_orderkey as job_id, '/home/u/tcga/'||{case_of('o_custkey')}||'/j'||cast(o_orderkey as string)||'.slurm' as command,

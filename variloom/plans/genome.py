@@ -9,6 +9,9 @@ from variloom.operators import reads as G
 from variloom.operators import somatic as P
 from variloom.operators import variants as V
 from variloom.plans.registry import CHECK_VIEWS, query
+from variloom.session import work_path
+from variloom.sinks.files import write_fasta
+from variloom.sources import genomics as B
 
 CHECK_VIEWS["named_reads"] = """
 select *, case when regexp_full_match(raw_chrom, '([1-9]|1[0-9]|2[0-2]|X|Y|M)') then 'chr'||raw_chrom else raw_chrom end as chrom from {reads}"""
@@ -237,3 +240,78 @@ def vcf_records(v):
     head = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("PASS"))
     return again.select("sample", "chrom", "pos", head.alias("head"), (F.col("n_depth") + F.col("t_depth")).alias("dp"),
                         "n_alt", "t_alt", "status", "hc")
+
+
+CHECK_VIEWS["usable_long"] = "select * from {long_reads} where mapq >= 1"
+# the change sits at the last base before it, the twelfth of the part's bases; every read covers that place
+CHECK_VIEWS["change_counts"] = """
+select sample, chrom, start + 12 as pos, any_value(p_partkey) as p_partkey, count(*) filter (where role = 'normal') as n_depth, count(*) filter (where role = 'tumor') as t_depth,
+ count(*) filter (where role = 'normal' and kind = 'D') as n_d, count(*) filter (where role = 'tumor' and kind = 'D') as t_d,
+ count(*) filter (where role = 'normal' and kind = 'I') as n_i, count(*) filter (where role = 'tumor' and kind = 'I') as t_i
+ from {usable_long} group by all"""
+CHECK_VIEWS["indel_sites"] = """
+select sample, chrom, pos, case when ins then substr(bases, 12, 1) else substr(bases, 12, 3) end as ref,
+ case when ins then substr(bases, 12, 1)||'GG' else substr(bases, 12, 1) end as alt,
+ n_depth - (case when ins then n_i else n_d end) as n_ref, t_depth - (case when ins then t_i else t_d end) as t_ref,
+ case when ins then n_i else n_d end as n_alt, case when ins then t_i else t_d end as t_alt, n_depth, t_depth
+ from (select c.*, bases, n_i + t_i >= n_d + t_d as ins from {change_counts} c join {reference_lines} r on r.p_partkey = c.p_partkey where n_i + t_i + n_d + t_d > 0)"""
+_CHAIN = ["site_counts", "typed_sites", "candidates", "p_tests", "called", "processed", "routed_calls"]
+for _name in _CHAIN[1:]:
+    _text = CHECK_VIEWS[_name].replace("{site_counts}", "{indel_sites}")
+    for _other in _CHAIN[1:]:
+        _text = _text.replace("{" + _other + "}", "{indel_" + _other + "}")
+    CHECK_VIEWS[f"indel_{_name}"] = _text
+
+BLOCK = 1000
+
+
+def _long(v):
+    """Bases, pileup and reference blocks: reads are alignment text, the reference is FASTA text."""
+    path = work_path(v.spark, "long-reads")
+    reads = v.long_reads
+    name = F.concat_ws(":", "sample", "role", F.col("l_orderkey").cast("string"))
+    quality = F.rpad(F.lit("I"), F.length("seq"), "I")
+    reads.select(F.concat_ws("\t", name, F.col("flag").cast("string"), "chrom", F.col("pos").cast("string"), F.col("mapq").cast("string"), "cigar",
+                             F.lit("*"), F.lit("0"), F.lit("0"), "seq", quality).alias("value")).write.text(path)
+    parts = F.split("qname", ":")
+    back = B.read_sam(v.spark, path)[1].withColumns({"sample": F.get(parts, F.lit(0)), "role": F.get(parts, F.lit(1))})
+    bases = P.expand_alignment(G.usable_reads(G.reheader(back)))
+    fasta = work_path(v.spark, "fasta")
+    write_fasta(v.reference_lines.select("chrom", "start", "bases"), fasta)
+    return bases, P.pileup(bases), B.reference_blocks(B.read_reference(v.spark, fasta), BLOCK, 200)
+
+
+def indels(v):
+    bases, pile, blocks = _long(v)
+    pile = P.with_reference(pile, blocks, BLOCK)
+    return P.route_variant_kind(P.process_somatic(P.call_somatic(P.indel_counts(bases, pile, blocks, BLOCK))))
+
+
+@query("pileup_reference", """
+select sample, chrom, start + i as pos, substr(bases, cast(i as int), 1) as ref, count(*) filter (where role = 'normal') as normal_depth, count(*) filter (where role = 'tumor') as tumor_depth
+ from (select u.*, bases, unnest(case kind when 'D' then list_concat(range(5, 13), range(15, 25)) when 'I' then range(5, 23) when 'S' then range(5, 22) else range(5, 25) end) as i
+  from {usable_long} u join {reference_lines} r on r.p_partkey = u.p_partkey) group by all""")
+def pileup_reference(v):
+    _, pile, blocks = _long(v)
+    depth = {side: sum((F.col(f"{side[0]}_{b.lower()}_{s}") for b in P.BASES for s in "fr"), F.lit(0)) for side in ("normal", "tumor")}
+    return P.with_reference(pile, blocks, BLOCK).select("sample", "chrom", "pos", "ref", *(d.cast("bigint").alias(f"{side}_depth") for side, d in depth.items()))
+
+
+@query("indel_calls", f"select {', '.join(CALL_OUT)}, kind, hc, {_P_SQL} from {{indel_routed_calls}}")
+def indel_calls(v):
+    return indels(v).select(*CALL_OUT, "kind", "hc", *_p_out())
+
+
+_BOTH = "(select sample, chrom, kind from {routed_calls} union all select sample, chrom, kind from {indel_routed_calls})"
+
+
+@query("variant_counts_both", f"select sample, substr(chrom, 4) as chrom, kind, count(*) as n from {_BOTH} group by 1, 2, 3")
+def variant_counts_both(v):
+    return V.variant_counts(V.concat_vcf(routed(v), indels(v)))
+
+
+@query("chrom_bars_both", f"""
+select sample, substr(chrom, 4) as chrom, count(*) filter (where kind = 'snp') as snv, count(*) filter (where kind = 'indel') as indel
+ from {_BOTH} group by 1, 2 order by 1, 2""")
+def chrom_bars_both(v):
+    return V.chrom_bars(V.variant_counts(V.concat_vcf(routed(v), indels(v))))

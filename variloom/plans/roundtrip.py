@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from variloom.operators import cohort as C
 from variloom.operators import quality as Q
@@ -122,6 +122,24 @@ def rt_vcf(v):
     return calls.select("sample", "kind", "chrom", "pos", "ref", "alt", "n_alt", "t_alt", "status", "hc")
 
 
+@query("rt_vcf_order", """
+select sample, kind, count(*) as records, cast(1 as bigint) as headers, cast(0 as bigint) as misplaced from {routed_calls} group by 1, 2""")
+def rt_vcf_order(v):
+    # lines in file order: the header first and once, then records in order of name and position
+    path = work_path(v.spark, "vcf")
+    K.publish_vcf(V.vcf_lines(genome.routed(v)), path)
+    lines = v.spark.read.text(path).select(
+        "sample", "kind", "value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"))
+    field = F.split("value", "\t")
+    place = F.when(F.col("value").startswith("#"), F.struct(F.lit(0).alias("body"), F.lit("").alias("chrom"), F.lit(0).cast("bigint").alias("pos"))).otherwise(
+        F.struct(F.lit(1).alias("body"), F.get(field, F.lit(0)).alias("chrom"), F.get(field, F.lit(1)).try_cast("bigint").alias("pos")))
+    before = F.lag("place").over(Window.partitionBy("sample", "kind").orderBy("file", "at"))
+    placed = lines.withColumn("place", place).withColumn("late", (before > F.col("place")).cast("int"))
+    return placed.groupBy("sample", "kind").agg(
+        F.count_if(F.col("place.body") == 1).alias("records"),
+        F.count_if(F.col("value").startswith("##fileformat")).alias("headers"), F.coalesce(F.sum("late"), F.lit(0)).alias("misplaced"))
+
+
 CHECK_VIEWS["fasta"] = """
 select 'chr'||(seq_id % 25 + 1) as chrom, seq_id, i, substr(seq, cast(60 * i + 1 as int), 60) as bases from (
  select seq_id, seq, unnest(range((length(seq) + 59) // 60)) as i from {sequences})"""

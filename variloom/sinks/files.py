@@ -38,13 +38,36 @@ def write_by_status(status: DataFrame, path: str, key: str = "sample") -> None:
         "status").text(path)
 
 
+# Header of variant text with a normal and a tumor column.
+VCF_HEADER = "\n".join([
+    "##fileformat=VCFv4.1", "##source=variloom",
+    '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth of both samples">',
+    '##INFO=<ID=SOMATIC,Number=0,Type=Flag,Description="Somatic">', '##INFO=<ID=SS,Number=1,Type=String,Description="Status code">',
+    '##INFO=<ID=GPV,Number=1,Type=Float,Description="Variant p value">', '##INFO=<ID=SPV,Number=1,Type=Float,Description="Somatic p value">',
+    "#" + "\t".join(["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "NORMAL", "TUMOR"])])
+
+
 def publish_vcf(lines: DataFrame, path: str) -> None:
-    """Variant lines as compressed text, one folder per sample and kind; each file is in order."""
-    ordered = _balanced(lines, "sample", "kind").sortWithinPartitions("sample", "kind", "chrom", "pos", "ref", "alt")
+    """Variant lines as compressed text, one folder per sample and kind.
+
+    The part files of a folder are in order by name and inside; the first begins with the header.
+    """
+    order = ["sample", "kind", "_body", "chrom", "pos", "ref", "alt"]
+    rows = lines.select("sample", "kind", F.lit(1).alias("_body"), "chrom", "pos", "ref", "alt", "line")
+    none = F.lit(None)
+    heads = lines.select("sample", "kind").distinct().select(
+        "sample", "kind", F.lit(0).alias("_body"), *(none.cast(rows.schema[c].dataType).alias(c) for c in order[3:]), F.lit(VCF_HEADER).alias("line"))
+    ordered = rows.unionByName(heads).repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.select("sample", "kind", "line").write.mode("overwrite").partitionBy("sample", "kind").option(
         "compression", "gzip").text(path)
 
 
+def write_fasta(lines: DataFrame, path: str) -> None:
+    """Reference lines (chrom, start, bases) as text with a folder per chromosome, part files in order of start."""
+    order = ["chrom", "start"]
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("chrom", "bases").write.mode("overwrite").partitionBy("chrom").text(path)
+
+
 def write_counts(counts: DataFrame, path: str) -> None:
     """Count report with a header."""
     counts.write.mode("overwrite").option("header", True).csv(path)

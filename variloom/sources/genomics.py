@@ -70,18 +70,26 @@ def parse_vcf_fields(lines: DataFrame, samples: tuple[str, str] = ("normal", "tu
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
     """Reference lines as (chrom, start, bases), start being 0-based.
 
-    The chromosome is a partition folder or the file name. Its lines may be spread over
-    several files in name order. Offsets are running sums inside file splits plus the
-    totals of earlier splits.
+    With a ``chrom`` partition folder its lines may be spread over several files in name order.
+    Otherwise each ``>`` line of a file begins the record it names, and lines before the first
+    one belong to the file's name. Offsets are running sums inside file splits plus the totals
+    of earlier splits; a compressed file is one split, so large references should be plain text.
     """
     raw = spark.read.text(path)
-    chrom = F.col("chrom") if "chrom" in raw.columns else F.regexp_replace(source_name(), r"\..*$", "").alias("chrom")
-    lines = raw.select(
-        chrom, F.upper(F.trim("value")).alias("bases"),
-        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_at"),
-        F.monotonically_increasing_id().alias("_seq")).where("bases <> '' and not startswith(bases, '>')")
-    placed = split_running(lines, {"_end": F.length("bases")}, ["chrom"])
-    return placed.select("chrom", (F.col("_end") - F.length("bases")).alias("start"), "bases")
+    head = F.col("bases").startswith(">")
+    marked = raw.select(
+        *([F.col("chrom")] if "chrom" in raw.columns else [F.regexp_replace(source_name(), r"\..*$", "").alias("chrom")]),
+        F.trim("value").alias("bases"), F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().alias("_seq")).where("bases <> ''")
+    if "chrom" in raw.columns:
+        placed = split_running(marked.where(~head), {"_end": F.length("bases")}, ["chrom"])
+        return placed.select("chrom", (F.col("_end") - F.length("bases")).alias("start"), F.upper("bases").alias("bases"))
+    placed = split_running(marked, {"_end": F.when(head, 0).otherwise(F.length("bases")), "_record": head.cast("int")}, ["_path"])
+    records = placed.where(head).select(
+        "_path", "_record", F.regexp_extract("bases", r"^>\s*(\S*)", 1).alias("_name"), F.col("_end").alias("_base"))
+    named = placed.where(~head).join(records, ["_path", "_record"], "left")
+    return named.select(F.coalesce("_name", "chrom").alias("chrom"),
+                        (F.col("_end") - F.length("bases") - F.coalesce("_base", F.lit(0))).alias("start"), F.upper("bases").alias("bases"))
 
 
 def reference_blocks(lines: DataFrame, width: int = 1000, overlap: int = 200) -> DataFrame:
