@@ -151,3 +151,28 @@ def test_completeness_needs_more_than_the_limit(spark):
     rows += [("b", "snp", "chrX", 100_000)] + [("a", "indel", f"chr{i}", 200_000) for i in range(21)]
     files = spark.createDataFrame(rows, "sample string, kind string, chrom string, size_bytes bigint")
     assert {(r.kind, r.samples, r.complete_samples) for r in V.chrom_completeness(files).collect()} == {("snp", 2, 1), ("indel", 1, 1)}
+
+
+def test_fasta_records_keep_their_names(spark, tmp_path):
+    folder = tmp_path / "fa"
+    folder.mkdir()
+    (folder / "all.fa").write_text(">chr1 first\nacgt\nAC\n>chrX\nGG\n\nTTT\n>empty\n")
+    (folder / "chr2.fa").write_text("AAAA\nC\n")
+    got = sorted((r.chrom, r.start, r.bases) for r in B.read_reference(spark, str(folder)).collect())
+    assert got == [("chr1", 0, "ACGT"), ("chr1", 4, "AC"), ("chr2", 0, "AAAA"), ("chr2", 4, "C"), ("chrX", 0, "GG"), ("chrX", 2, "TTT")]
+
+
+def test_published_vcf_has_one_header_and_global_order(spark, tmp_path):
+    from variloom.sinks import files as K
+
+    rows = [("s", "snp", f"chr{1 + i % 3}", i, "A", "C", f"chr{1 + i % 3}\t{i}\t.\tA\tC") for i in range(500)] + [("s", "indel", "chr1", 5, "A", "AC", "chr1\t5\t.\tA\tAC")]
+    lines = spark.createDataFrame(rows, "sample string, kind string, chrom string, pos bigint, ref string, alt string, line string").repartition(7)
+    K.publish_vcf(lines, str(tmp_path / "vcf"))
+    import gzip
+    for kind, want in (("snp", sorted((r[2], r[3]) for r in rows if r[1] == "snp")), ("indel", [("chr1", 5)])):
+        files = sorted((tmp_path / "vcf" / "sample=s" / f"kind={kind}").glob("part-*"))
+        text = "".join(gzip.open(f, "rt").read() for f in files).splitlines()
+        body = [x for x in text if not x.startswith("#")]
+        assert text[: len(text) - len(body)] == K.VCF_HEADER.split("\n")
+        assert [(x.split("\t")[0], int(x.split("\t")[1])) for x in body] == want
+    assert B.read_vcf(spark, str(tmp_path / "vcf")).count() == 501

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import rows_of
+from variloom.plans import RUNS
 from variloom.plans.bridge import TABLES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def con():
 UNWANTED = ["CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow"]
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(RUNS))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
