@@ -1,7 +1,7 @@
 """Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, connected groups.
 
 A line is normalised to its words (ASCII letters in lower case, digits, everything outside ASCII)
-joined by single spaces. Its SimHash has ``BLOCKS`` blocks of 32 bits over its words. Lines that
+joined by single spaces. Its SimHash has ``BLOCKS`` blocks of 32 bits over its distinct words. Lines that
 agree on a block and differ in at most ``NEAR`` bits are candidates (so all pairs that differ in
 fewer bits than there are blocks), and two candidates link if their edit similarity, 1 - distance /
 longer length in characters of the normalised lines, is at least ``similarity``. In blocks that very
@@ -33,6 +33,8 @@ from variloom.llm.textbytes import WORDLIKE, content_key, lower, mix, signed, sp
 BLOCKS = 6
 #: Bits of all in which candidates may differ.
 NEAR = 40
+#: Counters of runs of three characters, to rule out pairs before their edit distance is taken.
+BINS = 512
 #: Bytes of text hashed at once.
 RUN = 512 << 10
 
@@ -54,9 +56,14 @@ def _line_words(run) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def simhash(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """``BLOCKS`` 32-bit blocks for each part of ``words`` between ``bounds``: bits set in more than half of the words."""
-    full = np.flatnonzero(np.diff(bounds) > 0)
+    """``BLOCKS`` 32-bit blocks for each part of ``words`` between ``bounds``: bits set in more than half of its distinct words."""
     out = np.zeros((len(bounds) - 1, BLOCKS), np.uint32)
+    # distinct words of each part; repeated ones, above all stop words, would pull unlike lines together
+    part = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)).astype(_U)
+    marked = np.unique(part << _U(40) | words >> _U(24))
+    words = marked & _U((1 << 40) - 1)
+    bounds = np.searchsorted(marked, np.arange(len(bounds)).astype(_U) << _U(40))
+    full = np.flatnonzero(np.diff(bounds) > 0)
     if not len(full):
         return out
     width = BLOCKS // 2
@@ -67,7 +74,6 @@ def simhash(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     owner = np.repeat(np.arange(len(full)), pieces)
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     sums = np.add.reduceat(_LANES[codes.view(np.uint8).reshape(len(words), 8 * width)], begin[owner] + 255 * inner, axis=0)
-    # a part's words reach to the next part's first one, as parts without word hold none
     counts = np.add.reduceat(sums.view(np.uint8).reshape(len(owner), 64 * width).astype(np.int32), np.cumsum(pieces) - pieces, axis=0)
     bits = np.packbits(2 * counts > (end - begin)[:, None], axis=1)
     out[full] = bits.view(np.uint32)
@@ -179,16 +185,23 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return most + 1
 
 
+def _triples(line: str) -> np.ndarray:
+    """How often each of ``BINS`` hashed runs of three characters occurs."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.bincount((codes[:-2] * 961 + codes[1:-1] * 31 + codes[2:]) % BINS if len(codes) > 2 else codes[:0], minlength=BINS)
+
+
 def _within(tenths: int):
     def within(sides: list, ids: list, comps: list, lines: list) -> list[tuple[int, int]]:
         sizes = np.array([len(x) for x in lines])
-        letters = np.array([np.bincount(np.frombuffer(x.encode(), np.uint8), minlength=256) for x in lines]).astype(np.int32)
+        triples = np.array([_triples(x) for x in lines]).astype(np.int32)
         forest, out, two = Forest(), [], any(sides)
         for i in range(len(ids)):
             longer = np.maximum(sizes[i + 1:], sizes[i])
             most = longer * (1000 - tenths) // 1000
-            # an edit changes at most two counts of bytes of each character
-            near = np.flatnonzero((np.abs(sizes[i + 1:] - sizes[i]) <= most) & (np.abs(letters[i + 1:] - letters[i]).sum(axis=1) <= 8 * most))
+            near = np.flatnonzero(np.abs(sizes[i + 1:] - sizes[i]) <= most)
+            # an edit takes away at most three runs of three characters and adds at most three
+            near = near[np.abs(triples[i + 1 + near] - triples[i]).sum(axis=1) <= 6 * most[near]]
             for j in (near + i + 1).tolist():
                 if (not two or sides[i] != sides[j]) and forest.root(comps[i]) != forest.root(comps[j]):
                     k = int(most[j - i - 1])
