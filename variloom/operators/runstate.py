@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from variloom.functions.barcode import case_from_command
-from variloom.functions.labels import node_label, progress_label
+from variloom.functions.labels import format_epoch, node_label, progress_label
 from variloom.operators.ordering import last_per_key
 
 # Job states with a counter of their own, and those that count as failed.
@@ -28,15 +28,21 @@ METRIC_TABLES = ["MpileUp", "SamtoolsSort", "VarscanProcessIndels", "VarscanProc
 FINISHED_TABLE = "finished"
 FAILED_TABLE = "failed"
 
-#: Job fields kept in reports.
-JOB_FIELDS = ["submit_time", "nodes", "job_state", "command", "req_nodes"]
+# Job fields kept in reports, and those of them that are times.
+TIME_FIELDS = ["submit_time", "start_time", "suspend_time", "end_time", "eligible_time", "resize_time"]
+JOB_FIELDS = [*TIME_FIELDS, "run_time", "run_time_str", "comment", "nodes", "job_state", "command", "req_nodes"]
 
 
 def project_jobs(jobs: DataFrame) -> DataFrame:
-    """Jobs with their case, the reported fields and a list of requested nodes."""
-    wanted = [c for c in JOB_FIELDS if c in jobs.columns]
+    """Jobs with their case, the reported fields and a list of requested nodes.
+
+    Times given in epoch seconds are shown as text, 0 and NULL as ``NA``.
+    """
+    kinds = dict(jobs.dtypes)
+    wanted = [format_epoch(F.col(c)).alias(c) if c in TIME_FIELDS and kinds[c] in ("int", "bigint") else F.col(c)
+              for c in JOB_FIELDS if c in kinds]
     out = jobs.select("job_id", case_from_command(F.col("command")).alias("case_id"), *wanted)
-    if dict(jobs.dtypes)["req_nodes"] == "string":
+    if kinds["req_nodes"] == "string":
         out = out.withColumn("req_nodes", F.split("req_nodes", ","))
     return out
 

@@ -64,6 +64,13 @@ select o_orderkey as job_id, '/home/u/tcga/'||{case_of('o_custkey')}||'/j'||cast
  case when o_orderkey % 17 = 0 then null else o_orderdate end as submit_time,
  'node-'||cast(o_orderkey % 40 as string)||case when o_orderkey % 3 = 0 then ',node-'||cast((o_orderkey+1) % 40 as string) else '' end as req_nodes,
  case when o_orderkey % 4 = 0 then null else 'node-'||cast(o_orderkey % 40 as string) end as nodes from {{orders}}""",
+    # scheduler snapshot with all reported fields, times in epoch seconds
+    "full_jobs": f"""
+select o_orderkey as job_id, '/home/u/tcga/'||{case_of('o_custkey')}||'/j'||cast(o_orderkey as string)||'.slurm' as command, 'RUNNING' as job_state,
+ cast(o_orderkey * 86399 as bigint) as submit_time, cast(case when o_orderkey % 3 = 0 then 0 else o_orderkey * 86400 end as bigint) as start_time,
+ cast(case when o_orderkey % 7 = 0 then o_orderkey * 3 else 0 end as bigint) as suspend_time, cast(case when o_orderkey % 2 = 0 then null else o_orderkey * 90000 end as bigint) as end_time,
+ cast(o_orderkey * 86398 as bigint) as eligible_time, cast(0 as bigint) as resize_time, cast(o_orderkey % 9 as bigint) as run_time, cast(o_orderkey % 60 as string)||':00' as run_time_str,
+ o_orderpriority as comment, 'node-'||cast(o_orderkey % 40 as string) as req_nodes, cast(null as string) as nodes from {{orders}}""",
     # node snapshot
     "nodes": """
 select 'node-'||cast(s_suppkey as string) as node, case s_nationkey % 6 when 0 then 'DOWN' when 1 then 'IDLE' when 2 then 'MIXED' when 3 then 'ALLOCATED'

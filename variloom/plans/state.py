@@ -76,6 +76,16 @@ def jobs_by_case(v):
     return nested.select("case_id", "page", F.size("jobs").cast("bigint").alias("jobs"), F.array_join(shown, ";").alias("listing"))
 
 
+_TIMES = ", ".join(f"case when coalesce({c}, 0) = 0 then 'NA' else strftime(make_timestamp({c} * 1000000), '%a %b %d %H:%M:%S %Y') end as {c}" for c in R.TIME_FIELDS)
+
+
+@query("job_details", f"""
+select job_id, split_part(command, '/', 5) as case_id, {_TIMES}, run_time, run_time_str, comment, req_nodes from {{full_jobs}}""")
+def job_details(v):
+    return R.project_jobs(v.full_jobs).select(
+        "job_id", "case_id", *R.TIME_FIELDS, "run_time", "run_time_str", "comment", F.array_join("req_nodes", ",").alias("req_nodes"))
+
+
 @query("manager_counts", """
 select (select count(*) from {pairs} where case_id in (select case_id from {passed_ids})) as phase1_finished,
  (select count(*) from {state} where state = 'queued') as waiting_count,

@@ -35,7 +35,8 @@ def stream_counts(v):
 @query("stream_windowed", """
 select strftime(date_trunc('hour', ts), '%Y-%m-%d %H') as window_start, stage, count(*) as n from {stage_events} group by 1, 2""")
 def stream_windowed(v):
-    out = X.run_to_end(X.stage_windows(events(v)), "complete", "stage-windows")
+    # update mode: the watermark lets go of old windows, each window's last count stands
+    out = X.run_to_end(X.stage_windows(events(v)), "update", "stage-windows", ["window_start", "stage"])
     return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH"))
 
 
