@@ -47,8 +47,7 @@ def brute(rows):
     for a in range(len(forms)):
         for b in range(a):
             x, y = " ".join(forms[a]), " ".join(forms[b])
-            bits = sum(int(v).bit_count() for v in sims[a] ^ sims[b])
-            if (sims[a] == sims[b]).any() and bits <= linededup.NEAR and distance(x, y) <= max(len(x), len(y)) * 100 // 1000:
+            if (sims[a] == sims[b]).any() and distance(x, y) <= max(len(x), len(y)) * 100 // 1000:
                 forest.join(a, b)
     groups = {}
     for x in lines:
@@ -62,7 +61,8 @@ def rows():
     w = SEED.split()
     near = " ".join(w * 3)
     out = [(1, "Alpha beta!\n" + near + "\n\n--\nshared line"), (2, near.replace("fox", "fix", 1) + "\nSHARED   line."), (3, near.replace("stone", "stones", 1)),
-           (4, None), (5, ""), (6, "\n\n"), (7, "shared line\n"), (None, "shared line\nonly here äöü"), (None, None), (8, "x" * 70000 + "\nonly here ÄÖÜ")]
+           (4, None), (5, ""), (6, "\n\n"), (7, "shared line\n"), (None, "shared line\nonly here äöü"), (None, None), (8, "x" * 70000 + "\nonly here ÄÖÜ"),
+           (9, " ".join(f"{x}{k}" for k in range(9) for x in w) + " end"), (10, " ".join(f"{x}{k}" for k in range(9) for x in w) + " fin")]
     rng = np.random.default_rng(3)
     for i in range(20, 60):
         own = [str(rng.choice(w)) for _ in range(40)]
@@ -81,6 +81,23 @@ def test_edit_distance_agrees_with_the_table():
             assert linededup.edit_distance(a, b, most) == (d if d <= most else most + 1)
 
 
+@pytest.mark.parametrize("wide", [8192, 0])
+def test_edit_distance_of_longer_texts(monkeypatch, wide):
+    monkeypatch.setattr(linededup, "WIDE", wide)
+    rng = np.random.default_rng(7)
+    for n in (90, 150):
+        a = "".join(rng.choice(list("abcd"), n))
+        b = list(a)
+        for k in rng.choice(n, 40, replace=False):
+            b[int(k)] = str(rng.choice(["", "x", "ab"]))
+        b = "".join(b)
+        d = distance(a, b)
+        assert d > linededup.FEW
+        for most in (d - 1, d, d + 30):
+            assert linededup.edit_distance(a, b, most) == min(d, most + 1)
+    assert linededup.edit_distance("a" * 30, "b" * 40, 40) == 40
+
+
 def test_lines_agree_with_brute_force(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n_lines", "'s' as source").repartition(5)
     got = {(r.doc_id, r.text is None): r.text for r in linededup.drop_repeated_lines(docs).collect()}

@@ -2,10 +2,9 @@
 
 A line is normalised to its words (ASCII letters in lower case, digits, everything outside ASCII)
 joined by single spaces. Its SimHash has ``BLOCKS`` blocks of 32 bits over its distinct words. Lines that
-agree on a block and differ in at most ``NEAR`` bits are candidates (so all pairs that differ in
-fewer bits than there are blocks), and two candidates link if their edit similarity, 1 - distance /
-longer length in characters of the normalised lines, is at least ``similarity``. In blocks that very
-many lines share, pairs are compared without the test on bits. Of each connected group of lines the first
+agree on a block are candidates (so all pairs that differ in fewer bits than there are blocks), and
+two candidates link if their edit similarity, 1 - distance / longer length in characters of the
+normalised lines, is at least ``similarity``. Of each connected group of lines the first
 occurrence stays, by document id (nulls last), then content, then line number.
 
 Cases: a line without word is never a duplicate and stays; a null text stays null and has no
@@ -20,6 +19,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -31,8 +31,12 @@ from variloom.llm.tables import settle
 from variloom.llm.textbytes import WORDLIKE, content_key, lower, mix, signed, spans, text_runs, word_hashes
 
 BLOCKS = 6
-#: Bits of all in which candidates may differ.
-NEAR = 40
+#: Characters from which two lines are compared by diagonals.
+LONG = 64
+#: Edits up to which diagonals are followed one by one.
+FEW = 8
+#: Characters up to which the distance comes from the whole table, and beyond from all diagonals at once.
+WIDE = 8192
 #: Counters of runs of three characters, to rule out pairs before their edit distance is taken.
 BINS = 512
 #: Bytes of text hashed at once.
@@ -156,6 +160,8 @@ def edit_distance(a: str, b: str, most: int) -> int:
     if abs(len(a) - len(b)) > most:
         return most + 1
     n, m = len(a), len(b)
+    if not n or not m:
+        return n + m
 
     def slide(x: int, y: int) -> int:
         size = 16
@@ -171,7 +177,7 @@ def edit_distance(a: str, b: str, most: int) -> int:
     reach = {0: slide(0, 0)}
     if reach[0] == n and n == m:
         return 0
-    for e in range(1, most + 1):
+    for e in range(1, min(most, FEW) + 1):
         new = {}
         for k in range(-e, e + 1):  # k: place in b minus place in a
             x = max(reach.get(k, -2) + 1, reach.get(k + 1, -2) + 1, reach.get(k - 1, -1))
@@ -182,9 +188,49 @@ def edit_distance(a: str, b: str, most: int) -> int:
             if new[k] == n and n + k == m:
                 return e
         reach = new
+    if most <= FEW:
+        return most + 1
+    if max(n, m) <= WIDE:
+        return min(_bit_parallel(a, b), most + 1)
+    # many diagonals: all of them at once, only long slides one by one
+    left, right = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in (a, b))
+    at = np.array([reach.get(k, -2) for k in range(-FEW, FEW + 1)])
+    for e in range(FEW + 1, most + 1):
+        k = np.arange(-e, e + 1)
+        old = np.concatenate(([-2, -2], at, [-2, -2]))
+        at = np.maximum(np.maximum(old[1:-1], old[2:]) + 1, old[:-2])
+        at = np.minimum(np.minimum(at, n), m - k)
+        at[(at < 0) | (at + k < 0)] = -2
+        alive = np.flatnonzero((at >= 0) & (at < n) & (at + k < m))
+        for _ in range(4):
+            alive = alive[left[at[alive]] == right[at[alive] + k[alive]]]
+            at[alive] += 1
+            alive = alive[(at[alive] < n) & (at[alive] + k[alive] < m)]
+        for i in alive.tolist():
+            at[i] = slide(int(at[i]), int(at[i] + k[i]))
+        if abs(m - n) <= e and at[m - n + e] == n:
+            return e
     return most + 1
 
 
+def _bit_parallel(a: str, b: str) -> int:
+    """Levenshtein distance with a column of the table as bits of whole numbers."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full, top, distance = (1 << len(a)) - 1, 1 << len(a) - 1, len(a)
+    up, down = full, 0
+    for c in b:
+        same = places.get(c, 0)
+        flat = same | down
+        carry = (((same & up) + up) ^ up) | same
+        rise, fall = down | full & ~(carry | up), up & carry
+        distance += bool(rise & top) - bool(fall & top)
+        rise, fall = (rise << 1 | 1) & full, fall << 1 & full
+        up, down = fall | full & ~(flat | rise), rise & flat
+    return distance
+
+
 def _triples(line: str) -> np.ndarray:
     """How often each of ``BINS`` hashed runs of three characters occurs."""
     codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -220,23 +266,26 @@ def line_groups(docs: DataFrame, similarity: float = 0.9) -> DataFrame:
     node = lines.groupBy("line").agg(F.first("sim").alias("sim"), F.min(F.struct("doc", "no")).alias("one"))
     node = settle(node.select(F.col("line").alias("id"), "sim", "one.doc", "one.no"), "nodes")
     blocks = F.array(*[F.xxhash64(F.substring("sim", 4 * k + 1, 4), F.lit(k)) for k in range(BLOCKS)])
-    halves = [F.conv(F.hex(F.substring("sim", 8 * k + 1, 8)), 16, -10).cast("long") for k in range(BLOCKS // 2)]
     keys = node.select("id", F.explode(blocks).alias("key"))
 
-    def near(a: Column, b: Column) -> Column:
-        differ = [F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(BLOCKS // 2)]
-        return sum(differ[1:], differ[0]) <= NEAR
-
     def payloads(ids: DataFrame) -> DataFrame:
         rows = _bodies(docs, node.select("id", "doc", "no").join(ids, "id", "left_semi"))
         return rows.groupBy("id").agg(F.first("payload").alias("payload"), F.first("weight").alias("weight"))
 
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        mosts = [max(len(x), len(y)) * (1000 - tenths) // 1000 if x is not None and y is not None else -1 for x, y in zip(a, b)]
+        return pd.Series([m >= 0 and edit_distance(x, y, m) <= m for x, y, m in zip(a, b, mosts)], dtype=bool)
+
     def similar(a: Column, b: Column) -> Column:
+        """Spark's own distance costs length times bound, the one here only the square of the distance: better for long lines."""
         longer = F.greatest(F.length(a), F.length(b))
         most = F.floor(longer * (1000 - tenths) / 1000).cast("int")
-        return (F.abs(F.length(a) - F.length(b)) <= most) & (F.call_function("levenshtein", a, b, most) >= 0)
+        close = F.abs(F.length(a) - F.length(b)) <= most
+        short, long_ = close & (longer <= LONG), close & (longer > LONG)
+        return (short & (F.call_function("levenshtein", F.when(short, a), F.when(short, b), most) >= 0)) | alike(F.when(long_, a), F.when(long_, b))
 
-    groups = link(keys, payloads, similar, _within(tenths), 1 << 20, near, node.select("id", F.array(*halves).alias("sketch")))
+    groups = link(keys, payloads, similar, _within(tenths), 1 << 20)
     return lines.drop("sim").join(groups.select(F.col("node").alias("line"), F.col("component").alias("group")), "line", "left").withColumn(
         "group", F.coalesce("group", "line"))
 
