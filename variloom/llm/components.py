@@ -54,7 +54,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shrunk(edges: DataFrame, count: int) -> DataFrame:
     parts = max(1, -(-count // PART))
-    return edges.repartition(parts, "b").mapInArrow(_forest, "a long, b long")
+    return edges.coalesce(parts).mapInArrow(_forest, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def link(keys: DataFrame, payloads: Callable[[DataFrame], DataFrame], similar: C
     payload columns whether they link, ``within(sides, ids, comps, payloads)`` gives the links of a block
     between different components (of different sides if there are two); ``block_weight`` bounds a block.
     """
-    bucket = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
+    bucket = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     star = settle(keys.join(bucket.select("key", "pivot"), "key").where("id != pivot").select("id", "pivot").distinct(), "star")
     ids = star.select("id").union(star.select(F.col("pivot").alias("id"))).distinct()
     body = settle(payloads(ids), "payload")
