@@ -211,6 +211,20 @@ def test_surrogates_keep_format_and_identity(spark):
     assert pii.pseudonymise(docs.limit(0), "k").collect() == []
 
 
+def test_nothing_of_a_long_value_is_left(spark):
+    secret = "".join(np.random.default_rng(2).choice(list("abcXYZ0189._-"), 1000))
+    family = "Wolfe" + "schlegel" * 5
+    texts = [f"token={secret} end", "Frau Anna Maria Schmidt kam", f"Mr. J. R. Smith met Herr {family}, Frau Maria Schmidt", "Sir " + "Anna " * 2_000 + "left"]
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    new = re.fullmatch(r"token=(\S{1000}) end", got[0].text)[1]
+    assert not any(secret[k:k + 12] in new for k in range(989)) and got[0].n_entities == 1
+    three = re.fullmatch(r"Frau ([A-Z][a-z]+ina) ([A-Z][a-z]+ina) ([A-Z][a-z]+er) kam", got[1].text)
+    assert three and not {"Anna", "Maria", "Schmidt"} & set(three.groups()) and got[1].n_entities == 3
+    more = re.fullmatch(r"Mr\. ([A-Z][a-z]+on) ([A-Z][a-z]+on) ([A-Z][a-z]+er) met Herr ([A-Z][a-z]+er), Frau ([A-Z][a-z]+ina) ([A-Z][a-z]+er)", got[2].text)
+    assert more and "Smith" not in more.groups() and "schlegel" not in more[4] and (more[5], more[6]) == (three[2], three[3])
+    assert "Anna" not in got[3].text and got[3].text.endswith(" left") and got[3].n_entities == 2_000
+
+
 def test_surrogates_stay_distinct_in_a_small_space(spark, monkeypatch):
     values = spark.createDataFrame([("phone", f"{i:04d}") for i in range(0, 10_000, 4)], "kind string, canon string")
     rows = pii.surrogates(values, "k").collect()

@@ -1,8 +1,9 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
 Found are e-mail addresses, IPv4 addresses, payment cards (with a valid check digit), telephone
-numbers, US social security numbers, access keys, values after words like ``password =``, and the
-one or two names after a title. Every value has a canonical form (digits of a number, lower case of
+numbers, US social security numbers, access keys, values after words like ``password =`` to the end of
+their characters, and all capitalised words after a title, with initials between them; the last one is
+the family name. Every value has a canonical form (digits of a number, lower case of
 an address or name), and the surrogate depends on key, type and canonical form alone, so one value
 has one surrogate in all documents. It is written in the format found: digits for digits, letters of
 the same case, separators where they were, a card with a valid check digit, a name in its script with
@@ -27,7 +28,7 @@ from variloom.llm.tables import settle, spare
 #: Titles by gender.
 TITLES = {"m": ["Mr", "Herr", "Sr", "Señor", "Monsieur", "Sir", "г-н", "Кύριος", "κ"],
           "f": ["Mrs", "Ms", "Miss", "Frau", "Sra", "Señora", "Mme", "Madame", "г-жа", "κα"]}
-_WORD = r"\p{Lu}[\p{L}'’-]{1,30}"
+_WORD = r"(?:\p{Lu}\.? )*+\p{Lu}[\p{L}'’-]++"
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 #: One alternative for each type, tried in this order at every place; each begins with a cheap test.
 PATTERNS = {
@@ -37,8 +38,8 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9+(]|[0-9][ .-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{4}(?![ .-]?[0-9])|(?<![0-9])\+[0-9]{8,15}(?![0-9])",
     "key": r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": r"(?i:(?<![a-z])(?:password|passwd|token|secret|api_key|apikey))\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.-]{6,200}+",
-    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? {_WORD}(?: {_WORD})?",
+    "secret": r"(?i:(?<![a-z])(?:password|passwd|token|secret|api_key|apikey))\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.-]{6,}+",
+    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? {_WORD}(?: {_WORD})*+",
 }
 #: Syllables of made-up names by script, and endings by gender (s: family name).
 SYLLABLES = {"latin": ["bel", "car", "dor", "fen", "gal", "hol", "jor", "kal", "lin", "mar", "nel", "pol", "ros", "sel", "tam", "val"],
@@ -84,7 +85,7 @@ def _units(kind: Column, match: Column) -> Column:
     words = F.split(match, " ")
     gender = F.when(F.regexp_replace(words[0], r"\.$", "").isin(TITLES["m"]), F.lit("m")).otherwise(F.lit("f"))
     last = F.size(words) - 1
-    named = F.transform(F.slice(words, 2, 2), lambda w, i: F.struct(
+    named = F.transform(F.slice(words, F.lit(2), last), lambda w, i: F.struct(
         F.concat(F.lit("name-"), F.when(i + 1 < last, gender).otherwise("s"), F.lit("-"), _script(w)).alias("kind"), F.lower(w).alias("canon"),
         F.when(i == 0, F.concat(words[0], F.lit(" "))).otherwise(F.lit(" ")).alias("before"), w.alias("shown")))
     return F.when(kind == "name", named).otherwise(single)
@@ -144,7 +145,7 @@ def _render(kind: Column, shown: Column, drawn: Column) -> Column:
     step = F.aggregate(chars, F.struct(F.lit(0).alias("i"), F.lit("").alias("s")), lambda s, c: F.struct(
         (s["i"] + F.when(c.rlike("[0-9]"), 1).otherwise(0)).alias("i"),
         F.concat(s["s"], F.when(c.rlike("[0-9]"), F.substr(filled, s["i"] + 1, F.lit(1))).otherwise(c)).alias("s")))
-    upper = (shown == F.upper(shown)) & (F.length(shown) > 1)
+    upper = (shown == F.upper(shown)) & (F.length(F.regexp_replace(shown, r"\.$", "")) > 1)
     cased = F.when(upper, F.upper(drawn)).when(kind.startswith("name"), F.initcap(drawn)).when(F.substr(shown, F.lit(1), F.lit(1)).rlike("[A-Z]"), F.initcap(drawn)).otherwise(drawn)
     return F.when(kind.isin("phone", "ssn", "card"), step["s"]).when(kind.isin("email") | kind.startswith("name"), cased).otherwise(drawn)
 
