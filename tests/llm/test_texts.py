@@ -225,6 +225,27 @@ def test_nothing_of_a_long_value_is_left(spark):
     assert "Anna" not in got[3].text and got[3].text.endswith(" left") and got[3].n_entities == 2_000
 
 
+def test_cards_among_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 12/26", "4111111111111111 123", " ".join(card.replace(" ", "")), f"12 {card}", "4111111111111111 123@site.org", "4111111111111111 10.20.30.40",
+             "4111111111111111 123-45-6789", "1234567890123456 10.20.30.40", "number 1234567890123456 only", f"{card} {card[:-1]}2 5500005555555559"]
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    new = [got[i].text for i in range(len(texts))]
+    assert [got[i].n_entities for i in range(len(texts))] == [1, 1, 1, 1, 2, 2, 2, 1, 0, 2]
+    own = re.fullmatch(r"(4\d{3} \d{4} \d{4} \d{4}) 12/26", new[0])[1]
+    solid = own.replace(" ", "")
+    assert own != card and pii_luhn(solid) and new[1] == f"{solid} 123" and new[2] == " ".join(solid) and new[3] == f"12 {own}"
+    assert new[4].startswith(f"{solid} ") and re.fullmatch(r"\S+@\S+", new[4][17:]) and "site.org" not in new[4]
+    assert re.fullmatch(rf"{solid} 10\.\d+\.\d+\.\d+", new[5]) and new[5][17:] != "10.20.30.40" and re.fullmatch(rf"{solid} \d{{3}}-\d\d-\d{{4}}", new[6]) and "6789" not in new[6]
+    assert re.fullmatch(r"1234567890123456 10\.\d+\.\d+\.\d+", new[7]) and not new[7].endswith("10.20.30.40") and new[8] == texts[8]
+    assert new[9].startswith(f"{own} {card[:-1]}2 5") and pii_luhn(new[9][-16:]) and not new[9].endswith("5559")
+
+
+def pii_luhn(digits):
+    back = [int(x) for x in digits[::-1]]
+    return (sum(back[::2]) + sum(sum(divmod(2 * d, 10)) for d in back[1::2])) % 10 == 0
+
+
 def test_surrogates_stay_distinct_in_a_small_space(spark, monkeypatch):
     values = spark.createDataFrame([("phone", f"{i:04d}") for i in range(0, 10_000, 4)], "kind string, canon string")
     rows = pii.surrogates(values, "k").collect()

@@ -49,8 +49,10 @@ ENDINGS = {"latin": {"m": "on", "f": "ina", "s": "er"}, "cyrillic": {"m": "ан"
 ROUNDS = 24
 
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Groups of digits in which a card is written among other numbers.
+GROUPS = ["[0-9]{13,19}", "[0-9]{4}([ -]?)[0-9]{4}\\2[0-9]{4}\\2[0-9]{4}", "[0-9]{4}([ -]?)[0-9]{4}\\2[0-9]{4}\\2[0-9]{4}\\2[0-9]{3}", "[0-9]{4}([ -]?)[0-9]{6}\\2[0-9]{4,5}"]
 #: A text without any of these has no finding.
-_QUICK = rf"@|[0-9]{{3}}|[0-9]\.[0-9]|A[KS]IA|(?i:password|passwd|token|secret|api_?key)|(?:{_TITLE})\.? "
+_QUICK = rf"@|[0-9][ -]?[0-9][ -]?[0-9]|[0-9]\.[0-9]|A[KS]IA|(?i:password|passwd|token|secret|api_?key)|(?:{_TITLE})\.? "
 
 
 def _digits(c: Column) -> Column:
@@ -64,6 +66,27 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda s, x: s + x)
 
 
+def _cards(body: Column) -> Column:
+    """The valid cards of a text as written, longest first.
+
+    Each stretch of up to 19 digits is tried from its first digit, and from there up to each separator; the usual
+    groups are tried at every number. Only one of a few lengths that passes the check digit is taken for a card.
+    """
+    stretches = F.regexp_extract_all(body, F.lit(PATTERNS["card"]), F.lit(0))
+    starts = F.flatten(F.transform(stretches, lambda x: F.array(*[F.regexp_extract(x, rf"^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])", 0) for n in range(19, 12, -1)])))
+    grouped = [F.regexp_extract_all(body, F.lit(rf"(?<![0-9])(?=({g})(?![0-9]))"), F.lit(1)) for g in GROUPS]
+    valid = F.filter(F.array_distinct(F.concat(starts, *grouped)), lambda x: (x != "") & (_luhn(_digits(x)) % 10 == 0))
+    return F.transform(F.sort_array(F.transform(valid, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))), asc=False), lambda s: s["x"])
+
+
+def _pattern(body: Column) -> Column:
+    """All patterns, with the text's own valid cards in place of the one for cards: other digits are left to the other types."""
+    own = F.when(body.rlike(PATTERNS["card"]), F.array_join(_cards(body), "|"))
+    parts = [F.concat(F.lit("(?:(?<![0-9])(?:"), own, F.lit(")(?![0-9]))")) if name == "card" else F.lit(f"(?:{p})") for name, p in PATTERNS.items()]
+    some = F.concat(*[x for p in parts for x in (F.lit("|"), p)][1:])
+    return F.when(own != "", some).otherwise("|".join(f"(?:{p})" for name, p in PATTERNS.items() if name != "card"))
+
+
 def _type(match: Column) -> Column:
     """The type of a finding; null for a number like a card that is none."""
     kind = F.lit(None).cast("string")
@@ -172,12 +195,13 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with surrogates in ``text`` and ``n_entities``, the number of values replaced in it."""
     names = [c for c in docs.columns if c.lower() != "n_entities"]
     body = F.col(f"`{text}`")
-    found = F.regexp_extract_all(body, F.lit(_ANY), F.lit(0))
     mark, mine = spare(docs, "has_entities"), spare(docs, "entity_key")
     rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn(mark, F.coalesce(body.rlike(_QUICK) & body.rlike(_ANY), F.lit(False)))
     clean = rows.where(~F.col(mark)).drop(mark).withColumn("n_entities", F.lit(0).cast("long"))
     some = rows.where(mark).drop(mark).withColumn(mine, F.md5(body.cast("binary")))
-    matches = some.select(F.col(mine).alias("key"), F.posexplode(found).alias("pos", "match")).distinct().withColumn("kind", _type(F.col("match")))
+    matches = some.select(F.col(mine).alias("key"), body.alias("body"), _pattern(body).alias("finder"))
+    found = F.regexp_extract_all("body", "finder", F.lit(0))
+    matches = matches.select("key", F.posexplode(found).alias("pos", "match")).distinct().withColumn("kind", _type(F.col("match")))
     units = matches.select("key", "pos", "match", F.posexplode_outer(F.when(F.col("kind").isNotNull(), _units(F.col("kind"), F.col("match")))).alias("unit", "u"))
     units = settle(units.select("key", "pos", "match", "unit", "u.*"), "entities")
     drawn = surrogates(units.where("kind is not null"), key)
@@ -186,9 +210,10 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         F.col("drawn").isNotNull().cast("long").alias("one"))
     new = shown.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "unit", "new"))).alias("new"), F.sum("one").alias("n_entities"))
     # the text is what lies between the findings, with the new values in turn
-    between = F.split(body, _ANY, -1)
+    between, new_ = spare(docs, "between"), spare(docs, "new")
     per = F.transform(F.sequence(F.lit(0), F.size(between) - 1), lambda i: F.concat(
-        F.element_at(between, (i + 1).cast("int")), F.array_join(F.transform(F.filter("new", lambda x: x["pos"] == i), lambda x: x["new"]), "")))
-    done = some.join(new.withColumnRenamed("key", mine), mine)
-    changed = done.select(*[(F.array_join(per, "") if c == text else F.col(f"`{c}`")).alias(c) for c in names], "n_entities")
+        F.element_at(between, (i + 1).cast("int")), F.array_join(F.transform(F.filter(new_, lambda x: x["pos"] == i), lambda x: x["new"]), "")))
+    done = some.withColumn(between, F.split(body, _pattern(body), -1)).join(new.select(F.col("key").alias(mine), F.col("new").alias(new_), "n_entities"), mine, "left")
+    changed = done.select(*[(F.when(F.col(new_).isNull(), body).otherwise(F.array_join(per, "")) if c == text else F.col(f"`{c}`")).alias(c) for c in names],
+                          F.coalesce("n_entities", F.lit(0)).alias("n_entities"))
     return clean.unionByName(changed)
