@@ -253,6 +253,12 @@ def test_surrogates_stay_distinct_in_a_small_space(spark, monkeypatch):
     assert len({r.drawn for r in rows}) == len(rows) == 2500 and not real & {r.drawn for r in rows}
 
 
+def test_more_names_than_short_surrogates(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SYLLABLES", {script: [x[0], x[1]] * 8 for script, x in pii.SYLLABLES.items()})
+    values = spark.createDataFrame([("name-s-latin", f"name{i}") for i in range(100)], "kind string, canon string")
+    assert len({r.drawn for r in pii.surrogates(values, "k").collect()}) == 100
+
+
 def test_pipeline_stages_on_each_other(spark):
     import corpus_pipeline as p
     folder = "/root/testdata/sf0.001"

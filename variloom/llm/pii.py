@@ -10,7 +10,8 @@ the same case, separators where they were, a card with a valid check digit, a na
 an ending of its title's gender.
 
 Surrogates are held against each other and against all values found: a value whose surrogate is taken
-or is a real value is drawn anew, until all are distinct.
+or is a real value is drawn anew, until all are distinct; a made-up name gets one syllable more each
+time, so the number of names has no limit.
 
 Everything is DataFrame functions. Only documents with a finding are shuffled.
 
@@ -147,7 +148,8 @@ def _draw(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
            .when(kind == "secret", alike))
     for script, syllables in SYLLABLES.items():
         parts = F.array(*[F.lit(s) for s in syllables])
-        stem = F.concat(*[F.element_at(parts, F.conv(F.substr(more, F.lit(k), F.lit(1)), 16, 10).cast("int") + 1) for k in range(1, 5)])
+        # one syllable more at every redraw, so that any number of names finds room
+        stem = F.array_join(F.transform(F.sequence(F.lit(1), attempt + 4), lambda k: F.element_at(parts, F.conv(F.substr(more, k, F.lit(1)), 16, 10).cast("int") + 1)), "")
         for gender, ending in ENDINGS[script].items():
             out = F.when(kind == f"name-{gender}-{script}", F.concat(stem, F.lit(ending))).otherwise(out)
     return out
