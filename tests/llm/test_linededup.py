@@ -104,6 +104,27 @@ def test_lines_agree_with_brute_force(spark, rows):
     assert got == {(i, t is None): x for (i, t), x in zip(rows, brute(rows))}
 
 
+def test_recall_against_edit_similarity_alone(spark):
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(3, 10))))
+    lines = []
+    for n in (5, 8, 10, 15, 20, 30) * 12:
+        own = [word() for _ in range(n)]
+        own[int(rng.integers(n))] = "1234"
+        line = " ".join(own)
+        at = int(rng.integers(n))
+        other = " ".join([*own[:at], word(), *own[at + 1:]])
+        typo = line[:7] + "x" + line[7 + int(rng.integers(2)):]
+        lines += [line, line.replace("1234", "1299"), typo, other]
+    pairs = {(i, j) for i in range(len(lines)) for j in range(i) if i // 4 == j // 4
+             and 10 * distance(lines[i], lines[j]) <= max(len(lines[i]), len(lines[j]))}
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    group = {r.doc_id: r.group for r in linededup.line_groups(docs).collect()}
+    found = {(i, j) for i, j in pairs if group[i] == group[j]}
+    assert len(pairs) > 200 and len(found) >= 0.95 * len(pairs)
+    assert len(set(group.values())) >= len(lines) // 4
+
+
 def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "one line here\n..")] * 3, "doc_id long, text string")
     assert sorted(r.text for r in linededup.drop_repeated_lines(docs).collect()) == ["..", "..", "one line here\n.."]

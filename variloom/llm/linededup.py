@@ -1,9 +1,10 @@
-"""Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, connected groups.
+"""Fuzzy line deduplication: SimHash and MinHash blocks, edit similarity, connected groups.
 
 A line is normalised to its words (ASCII letters in lower case, digits, everything outside ASCII)
 joined by single spaces. Its SimHash has ``BLOCKS`` blocks of 32 bits over its distinct words. Lines that
-agree on a block are candidates (so all pairs that differ in fewer bits than there are blocks), and
-two candidates link if their edit similarity, 1 - distance / longer length in characters of the
+agree on a block are candidates (so all pairs that differ in fewer bits than there are blocks). As one
+changed word flips many bits, lines are candidates also if they agree on one of ``BANDS`` bands of minima
+over their word pairs or, up to ``SHORT`` bytes, over their runs of five bytes with a rough place. Two candidates link if their edit similarity, 1 - distance / longer length in characters of the
 normalised lines, is at least ``similarity``. Of each connected group of lines the first
 occurrence stays, by document id (nulls last), then content, then line number.
 
@@ -31,6 +32,12 @@ from variloom.llm.tables import settle
 from variloom.llm.textbytes import WORDLIKE, content_key, lower, mix, signed, spans, text_runs, word_hashes
 
 BLOCKS = 6
+#: Further candidates share a band of ``ROWS`` minima over a line's runs of five bytes, or its word pairs.
+BANDS, ROWS = 12, 4
+#: Bytes of a normalised line up to which runs are taken; below TINY no edit is allowed.
+TINY, SHORT = 10, 170
+#: Bytes over which a run's place counts as the same.
+PLACE = 32
 #: Characters from which two lines are compared by diagonals.
 LONG = 64
 #: Edits up to which diagonals are followed one by one.
@@ -59,7 +66,7 @@ def _line_words(run) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, bounds, np.searchsorted(owner[place], np.arange(len(run) + 1))
 
 
-def simhash(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def _simhash(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """``BLOCKS`` 32-bit blocks for each part of ``words`` between ``bounds``: bits set in more than half of its distinct words."""
     out = np.zeros((len(bounds) - 1, BLOCKS), np.uint32)
     # distinct words of each part; repeated ones, above all stop words, would pull unlike lines together
@@ -84,6 +91,61 @@ def simhash(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def bands(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``BANDS`` keys for each consecutive part of ``elements``; no part is empty."""
+    out = np.zeros((len(sizes), BANDS), _U)
+    if len(sizes):
+        begin = np.cumsum(sizes) - sizes
+        for b in range(BANDS):
+            for r in range(ROWS):
+                odd = _U((0x9E3779B97F4A7C15 * (2 * (b * ROWS + r) + 1) ^ (b * ROWS + r) << 33) & (1 << 64) - 1 | 1)
+                out[:, b] = mix(out[:, b] + np.minimum.reduceat(mix_light(elements, odd), begin))
+    return out
+
+
+def mix_light(x: np.ndarray, odd: np.uint64) -> np.ndarray:
+    x = x * odd
+    return (x ^ x >> _U(32)) * odd
+
+
+def _parts(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the given stretches, one after the other."""
+    return np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+
+
+def simhash(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The blocks of each part of ``words`` between ``bounds``: those of its SimHash, and 40 bits for each band over its word pairs."""
+    before = np.concatenate(([_U(0)], words[:-1]))[:len(words)]
+    before[bounds[:-1][np.diff(bounds) > 0]] = 0
+    full = np.flatnonzero(np.diff(bounds) > 0)
+    pairs = np.zeros((len(bounds) - 1, BANDS), _U)
+    pairs[full] = bands(mix(before * _U(3) + mix(words)), np.diff(bounds)[full]) & _U((1 << 40) - 1)
+    return np.concatenate((_simhash(words, bounds).astype(_U), pairs), axis=1)
+
+
+def _cut(keys: np.ndarray) -> np.ndarray:
+    """The lower five bytes of each key."""
+    return np.ascontiguousarray(keys).view(np.uint8).reshape(*keys.shape, 8)[..., :5]
+
+
+def run_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Five bytes for each band over the runs of each short line; nothing for the other lines."""
+    lengths = ends - starts
+    before = np.concatenate(([0], np.cumsum(lengths + 1)))
+    flat = np.full(before[-1] + 4, 0x20, np.uint8)
+    flat[_parts(before[:-1], lengths)] = data[_parts(starts, lengths)]
+    wide = flat.astype(_U)
+    runs = sum((wide[k:len(wide) - 4 + k] << _U(8 * k) for k in range(5)), np.zeros(len(wide) - 4, _U))
+    begin, sizes = before[bounds[:-1]], np.diff(before[bounds])
+    short = np.flatnonzero((sizes >= TINY) & (sizes <= SHORT))
+    at = _parts(begin[short], sizes[short] - 4)
+    place = (at - np.repeat(begin[short], sizes[short] - 4)) // PLACE
+    out = [b""] * len(sizes)
+    for i, x in zip(short.tolist(), _cut(bands(mix(runs[at] | place.astype(_U) << _U(40)), sizes[short] - 4))):
+        out[i] = x.tobytes()
+    return out
+
+
 def _key(run, i: int) -> int:
     return int.from_bytes(content_key(None if run.null[i] else run.text(i))[:8], "little", signed=True)
 
@@ -100,10 +162,11 @@ def _lines(docs: DataFrame) -> DataFrame:
                 starts, ends, bounds, first = _line_words(r)
                 words = word_hashes(r.data, starts, ends)
                 full = np.flatnonzero(np.diff(bounds) > 0)
+                sim, runs = simhash(words, bounds)[full], run_keys(r.data, starts, ends, bounds)
                 owner = np.searchsorted(first, full, "right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(owner + r.first)), pa.array(keys[owner]), pa.array((full - first[owner]).astype(np.int32)),
-                     pa.array(signed(_sequence(words, bounds)[full])), pa.array([x.tobytes() for x in simhash(words, bounds)[full]], pa.binary())],
+                     pa.array(signed(_sequence(words, bounds)[full])), pa.array([x.tobytes() + y.tobytes() + runs[i] for i, x, y in zip(full.tolist(), sim[:, :BLOCKS].astype(np.uint32), _cut(sim[:, BLOCKS:]))], pa.binary())],
                     ["doc_id", "doc", "no", "line", "sim"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, doc long, no int, line long, sim binary")
@@ -265,8 +328,11 @@ def line_groups(docs: DataFrame, similarity: float = 0.9) -> DataFrame:
     lines = settle(_lines(docs), "lines")
     node = lines.groupBy("line").agg(F.first("sim").alias("sim"), F.min(F.struct("doc", "no")).alias("one"))
     node = settle(node.select(F.col("line").alias("id"), "sim", "one.doc", "one.no"), "nodes")
-    blocks = F.array(*[F.xxhash64(F.substring("sim", 4 * k + 1, 4), F.lit(k)) for k in range(BLOCKS)])
-    keys = node.select("id", F.explode(blocks).alias("key"))
+    blocks = [F.xxhash64(F.substring("sim", 4 * k + 1, 4), F.lit(k)) for k in range(BLOCKS)]
+    for k in range(2 * BANDS):
+        band = F.substring("sim", 4 * BLOCKS + 5 * k + 1, 5)
+        blocks.append(F.when((F.length(band) == 5) & (band != F.lit(bytes(5))), F.xxhash64(band, F.lit(BLOCKS + k))))
+    keys = node.select("id", F.explode(F.filter(F.array(*blocks), lambda x: x.isNotNull())).alias("key"))
 
     def payloads(ids: DataFrame) -> DataFrame:
         rows = _bodies(docs, node.select("id", "doc", "no").join(ids, "id", "left_semi"))
