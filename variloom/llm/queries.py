@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import chat, decontam, embeddings, langid, linededup, minhash, mixing, pii, pst, suffixes
+from variloom.llm import chat, decontam, embeddings, langid, linededup, minhash, mixing, pii, pst, sharding, suffixes
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,18 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_pii_surrogates")
 def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), key="production-key")
+
+
+@query("op12_sharding", """
+with tab as (select list(list_reduce([n::bigint, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) order by n) as t from range(256) r(n)),
+ d as (select doc_id, coalesce(text, '') as x, coalesce(cast(doc_id as varchar), '') as i from documents),
+ k as (select doc_id, cast(length(hex(x)) // 2 + 1 as bigint) as size, cast('0x' || substr(md5(x), 1, 15) as bigint) as h, cast('0x' || substr(md5(i), 1, 15) as bigint) as g,
+   xor(list_reduce(list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(x), '..'), lambda b: cast('0x' || b as bigint))), lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) as text_crc32
+   from d, tab),
+ o as (select *, sum(size) over () as total, sum(size) over (order by h, g, doc_id rows unbounded preceding) - size as pos, row_number() over (order by h, g, doc_id) as rank from k),
+ m as (select *, min(pos) over (partition by h) as group_at, sum(size) over (partition by h) as group_size from o),
+ s as (select *, cast((case when group_size * 64 * 16 <= total then 2 * group_at + group_size else 2 * pos + size end) * 16 // (2 * total) as integer) as shard from m)
+select doc_id, size, cast(text_crc32 as bigint) as text_crc32, 'bytes' as law, shard, cast(rank - min(rank) over (partition by shard) as bigint) as slot, cast(null as integer) as grown_shard from s""")
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.place(table(spark, folder, "documents"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
