@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import chat, decontam, embeddings, langid, linededup, minhash, mixing, pii, pst, sharding, suffixes
+from variloom.llm import chat, decontam, embeddings, langid, linededup, minhash, mixing, pii, pst, sharding, suffixes, trie
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,23 @@ select doc_id, size, cast(text_crc32 as bigint) as text_crc32, 'bytes' as law, s
 def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.place(table(spark, folder, "documents"), shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op11_conversation_trie", """
+with tab as (select list(list_reduce([n::bigint, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) order by n) as t from range(256) r(n)),
+ t as (select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as k from conversations where conv_id is not null),
+ i as (select c, c - c % 100 as base, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(c as varchar), ''), lambda s: cast(ascii(s) as bigint))), lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) % 6 as h
+   from (select distinct c from t), tab),
+ m as (select i.c, 0 as own, k, r, x from i join t on t.c = i.base where k <= h union all select i.c, 1, k, r, x from i join t on t.c = i.c where k > h),
+ p as (select c, row_number() over w as depth, length(x) as len, string_agg(sha256(r) || sha256(x), '') over w as path from m window w as (partition by c order by own, k rows unbounded preceding)),
+ a as (select c, depth, len, path from p union all select c, 0, 0, '' from i),
+ n as (select path, any_value(depth) as depth, any_value(len) as len, min(c) as conv_id, count(*) as n_convs from a group by path),
+ f as (select c, max_by(path, depth) as path from a group by c),
+ e as (select path, string_agg(cast(c as varchar), ',' order by c) as ids from f group by path),
+ k as (select left(path, length(path) - 128) as path, count(*) as n from n where depth > 0 group by 1),
+ s as (select a.path, sum((n.n_convs - 1) * n.len) as saved, count(*) filter (k.n is null) as leaves
+   from n join a on a.c = n.conv_id and a.depth <= n.depth left join k on k.path = n.path group by 1)
+select n.conv_id, cast(n.depth as bigint) as depth, o.conv_id as parent_conv_id, n.n_convs, coalesce(k.n, 0) as n_children, s.leaves as n_leaves, cast(s.saved as bigint) as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from n join s on s.path = n.path left join k on k.path = n.path left join e on e.path = n.path left join n o on n.depth > 0 and o.path = left(n.path, length(n.path) - 128)""")
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(*trie.swap_openings(trie.numbered_turns(table(spark, folder, "conversations"))))
