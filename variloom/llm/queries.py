@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variloom.llm import chat, decontam, embeddings, langid, linededup, minhash, mixing, pii, pst, sharding, suffixes, trie
+from variloom.llm import chat, decontam, embeddings, langid, linededup, minhash, mixing, negatives, pii, pst, sharding, suffixes, trie
 from variloom.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,18 @@ select n.conv_id, cast(n.depth as bigint) as depth, o.conv_id as parent_conv_id,
 from n join s on s.path = n.path left join k on k.path = n.path left join e on e.path = n.path left join n o on n.depth > 0 and o.path = left(n.path, length(n.path) - 128)""")
 def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.prefix_trie(*trie.swap_openings(trie.numbered_turns(table(spark, folder, "conversations"))))
+
+
+@query("op13_hard_negatives", """
+with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+   from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+ s as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+ p as (select a, b, score from (select *, row_number() over (partition by a order by score desc, b) as k from s where same) where k <= 5),
+ n as (select p.a, p.b, p.score as p, s.b as n, s.score, row_number() over (partition by p.a, p.b order by s.score desc, s.b) as k
+   from p join s on s.a = p.a and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
+select a as anchor_id, b as positive_id, cast(k as integer) as rank, n as negative_id, p as positive_score, score as negative_score from n where k <= 10""")
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), negatives.scaled(F.col("embedding")).alias("v"))
+    return negatives.mine(rows, F.col("id") % 100 == 0)
