@@ -25,10 +25,10 @@ def test_query(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
-@pytest.mark.parametrize("name", ["op8_chat_formatting", "op9_pii_surrogates"])
+@pytest.mark.parametrize("name", ["op8_chat_formatting", "op9_pii_surrogates", "op12_sharding"])
 def test_native_plans(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not [n for n in ("Python", "Pandas", "InArrow") if n in plan]

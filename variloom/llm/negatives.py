@@ -135,9 +135,8 @@ def build_index(rows: DataFrame, size: int, count: int) -> tuple[DataFrame, Inde
     """``rows`` (``id``, ``label``, ``v`` of length ``size``) with ``i`` and ``j``, their cell, and the index."""
     spark = rows.sparkSession
     share = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30)) < int(min(1.0, SAMPLE / max(count, 1)) * (1 << 30))
-    sample = np.array([r["v"] for r in rows.where(share).select("v").collect()], np.int64).reshape(-1, size)
-    if not len(sample):
-        sample = np.array([r["v"] for r in rows.select("v").limit(1).collect()], np.int64).reshape(-1, size)
+    drawn = rows.where(share).select("v").collect() or rows.select("v").limit(1).collect()
+    sample = np.array([r["v"] for r in drawn], np.int64).reshape(len(drawn), size)
     words = max(1, min(MAX_WORDS, int(np.sqrt(count / ROWS_PER_CELL))))
     books = tuple(codebook(h, words) for h in _halves(sample))
     sent = spark.sparkContext.broadcast(books)
@@ -211,13 +210,13 @@ def _search(index: Index, placed: DataFrame, anchors: DataFrame, size: int, keep
         walk = settle(walker.repartition("anchor").mapInArrow(plan, "anchor long, i int, j int, seen int, bound double"), "visits")
         seek = goals.groupBy("anchor").agg(F.first("label").alias("label"), F.first("v").alias("v"),
                                            F.sort_array(F.collect_list(F.struct("slot", "low", "high", F.coalesce("least", F.col("low")).alias("least")))).alias("goals"))
-        seek = walk.select("anchor", "i", "j").join(seek, "anchor").withColumn("group", F.pmod(F.xxhash64("anchor", F.lit(SEED)), F.lit(1 << 20)))
+        seek = walk.select("anchor", "i", "j").join(seek.hint("merge"), "anchor").withColumn("group", F.pmod(F.xxhash64("anchor", F.lit(SEED)), F.lit(1 << 20)))
         load = walk.groupBy("i", "j").agg(F.ceil(F.count("*") / BLOCK_ANCHORS).cast("int").alias("groups"))
         # blocks: every group of a cell's anchors meets every chunk of its rows
-        seek = seek.join(load, ["i", "j"]).withColumn("group", F.pmod("group", F.col("groups")).cast("int"))
-        many = chunks.join(load, ["i", "j"])
-        left = seek.join(chunks, ["i", "j"]).withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
-        right = stored.drop("chunks").join(many.select("i", "j", "groups"), ["i", "j"]).withColumn("group", F.explode(F.expr("sequence(0, groups - 1)")))
+        seek = seek.join(F.broadcast(load), ["i", "j"]).withColumn("group", F.pmod("group", F.col("groups")).cast("int"))
+        many = chunks.join(F.broadcast(load), ["i", "j"])
+        left = seek.join(F.broadcast(chunks), ["i", "j"]).withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
+        right = stored.drop("chunks").join(F.broadcast(many.select("i", "j", "groups")), ["i", "j"]).withColumn("group", F.explode(F.expr("sequence(0, groups - 1)")))
         block = F.xxhash64("i", "j", "group", "chunk").alias("block")
         left = left.select(block, "anchor", "label", "v", "goals")
         right = right.select(block, "id", "label", "v")
@@ -279,7 +278,7 @@ def _mine(rows: DataFrame, size: int, count: int, is_anchor: Column, positives:
     # windows in whole numbers: low * score <= 100 * x <= high * score
     slot = F.row_number().over(Window.partitionBy("anchor").orderBy(F.desc("score"), "id")).cast("int")
     window = top.select("anchor", slot.alias("slot"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
-    window = settle(window.withColumns({"low": F.expr(f"-floor(-{low} * positive_score / 100.0BD)").cast("long"), "high": F.expr(f"floor({high} * positive_score / 100.0BD)").cast("long")}), "windows")
+    window = settle(window.withColumns({"low": F.expr(f"ceil(cast(positive_score as decimal(20, 0)) * {low} * 0.01BD)").cast("long"), "high": F.expr(f"floor(cast(positive_score as decimal(20, 0)) * {high} * 0.01BD)").cast("long")}), "windows")
     sought = window.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("slot", "low", "high"))).alias("windows"))
     found = _search(index, placed, anchors.join(sought, "anchor"), size, negatives, True)
     rank = F.row_number().over(Window.partitionBy("anchor", "slot").orderBy(F.desc("score"), "id")).cast("int")
