@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from variloom.functions.barcode import case_from_command
-from variloom.functions.labels import format_epoch, node_label, progress_label
+from variloom.functions.labels import format_epoch, human_size, node_label, progress_label
 from variloom.operators.ordering import last_per_key
+from variloom.session import work_path
 
 # Job states with a counter of their own, and those that count as failed.
 JOB_STATES = ["RUNNING", "PENDING", "SUSPENDED", "COMPLETING", "COMPLETED", "CANCELLED", "FAILED",
@@ -80,6 +81,42 @@ def progress(processing: DataFrame, jobs: DataFrame) -> DataFrame:
     })
 
 
+def listings(state: DataFrame, jobs: DataFrame, limit: int = 50) -> DataFrame:
+    """The dashboard's three listings and its counters, told apart by ``listing``.
+
+    ``state`` has one row per sample: ``row_id``, ``case_id``, ``cancer_type``, ``tumor_size``, ``normal_size``,
+    ``stage`` and ``state``. ``processing`` lists the samples with a job, ``queued`` the first ``limit`` by
+    ``row_id``, ``finished`` all; rows of ``counts`` carry a counter's name in ``case_id`` and its value in ``n``
+    (``running``, ``waiting_count``, ``finished``).
+
+    The state is evaluated once and put down by state, so each listing reads the rows of its own state.
+    """
+    spark = state.sparkSession
+    path = work_path(spark, "listings")
+    state.write.partitionBy("state").parquet(path)
+    parts = spark.read.schema(state.schema).parquet(path)
+    running = progress(parts.where("state = 'processing'").select("row_id", "case_id", "cancer_type"), jobs)
+    sized = [human_size(F.col(c)).alias(c) for c in ("tumor_size", "normal_size")]
+    first = parts.where("state = 'queued'").orderBy("row_id").limit(limit)
+    ended = parts.where("state = 'finished'")
+    text = ["submit_time", "requested", "node", "progress"]
+    shown = (_listing("processing", running.select("row_id", "case_id", "cancer_type", *text))
+             .unionByName(_listing("queued", first.select("row_id", "case_id", "cancer_type", *sized)))
+             .unionByName(_listing("finished", ended.select("row_id", "case_id", "cancer_type", "stage", *sized))))
+    # a listed sample is counted where it is listed, the queue as a whole
+    counted = running.agg(F.count("*").alias("running")).select(F.lit("running").alias("case_id"), F.col("running").alias("n"))
+    for name, kind in (("waiting_count", "queued"), ("finished", "finished")):
+        counted = counted.unionByName(parts.where(F.col("state") == kind).agg(F.count("*").alias("n")).select(F.lit(name).alias("case_id"), "n"))
+    return shown.unionByName(_listing("counts", counted))
+
+
+def _listing(name: str, rows: DataFrame) -> DataFrame:
+    """Rows in the columns that all listings share."""
+    kinds = {"row_id": "bigint", "case_id": "string", "cancer_type": "string", "tumor_size": "string", "normal_size": "string", "stage": "int",
+             "submit_time": "string", "requested": "string", "node": "string", "progress": "string", "n": "bigint"}
+    return rows.select(F.lit(name).alias("listing"), *((F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()))
+
+
 def filter_nodes(nodes: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Nodes asked for by name; ``None`` or ``["all"]`` keeps every node."""
     if names is None or [n.lower() for n in names] == ["all"]:

@@ -79,6 +79,12 @@ select 'node-'||cast(s_suppkey as string) as node, case s_nationkey % 6 when 0 t
     "stage_events": """
 select event_id, ts, 'n'||cast(user_id as string)||'.bam' as normal, 't'||cast(user_id as string)||'.bam' as tumor,
  cast(1 + event_id % 9 as int) as stage, event_type from {events}""",
+    # log of sample states: a sample's last record holds
+    "state_log": f"""
+select event_id as seq, user_id as row_id, {case_of('user_id')} as case_id, 'C'||cast(user_id % 7 as string) as cancer_type,
+ cast(user_id * 98765432 + 1000 as bigint) as tumor_size, cast(user_id * 1234567 as bigint) as normal_size, cast(1 + event_id % 9 as int) as stage,
+ case event_type when 'error' then 'queued' when 'signup' then 'queued' when 'view' then 'processing' when 'click' then 'processing' else 'finished' end as state
+ from {{events}}""",
     # raw metric records, every 50th cut off
     "metric_json": """
 select event_id, event_type, event_type as step, '{{"ID":"s'||cast(user_id as string)||'","ElapsedTime_s":"'||cast(event_id % 7 as string)||':'||lpad(cast(event_id % 60 as string),2,'0')||'.25","CPU_Percent":"'||cast(event_id % 400 as string)||'%","MaxResidentSetSize_KBs":"'||cast(event_id*13 as string)||'","ExitStatus":"'||(case when event_type='error' then '1' else '0' end)||'"'||(case when event_id % 50 = 0 then '' else '}}' end) as body from {events}""",

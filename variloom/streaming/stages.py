@@ -48,12 +48,23 @@ def stage_windows(events: DataFrame, width: str = "1 hour", delay: str = "1 day"
 
 
 def stage_sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 day") -> DataFrame:
-    """Event sessions per sample pair. An extension for bounded state."""
+    """Event sessions per sample pair, open ones included; in complete mode all of them stay in the state."""
     timed = with_event_time(events, delay)
     return timed.groupBy(F.session_window("ts", gap).alias("w"), "normal", "tumor").agg(
         F.count("*").alias("n")).select(F.col("w.start").alias("session_start"), "normal", "tumor", "n")
 
 
+def closed_sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 day") -> DataFrame:
+    """Sessions per sample pair that the watermark has passed, for append mode.
+
+    A session is given once, when no event can join it any more, and its state is dropped: state holds the
+    sessions of the last ``delay`` only.
+    """
+    timed = with_event_time(events, delay)
+    return timed.groupBy(F.session_window("ts", gap).alias("w"), "normal", "tumor").agg(F.count("*").alias("n")).select(
+        F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "normal", "tumor", "n")
+
+
 def run_batches(stream: DataFrame, mode: str, path: str, each: Callable[[DataFrame], DataFrame] | None = None,
                 trigger: dict | None = None):
     """Start a query that writes each micro-batch, after ``each``, to its own folder."""
