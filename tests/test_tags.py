@@ -71,6 +71,56 @@ def test_pairs_match_brute_force(spark, small_pieces):
     assert last == {max((w[0], w[1], w[2]) for w in want if w[0] == s) for s in top}
 
 
+def brute_parity(rows, params):
+    """The result list of a search whose score to beat stays 0, replayed pair by pair."""
+    windows, out = expected_windows(rows, params), {}
+    for s, i, j, score in sorted(expected_pairs(windows, params)):
+        listed = out.setdefault(s, [])
+        if score > 0:
+            listed.clear()
+        listed.append((i, j, score))
+    return out
+
+
+def test_ties_are_counted_without_listing(spark, small_pieces):
+    df, rows = sequences(spark, LENGTHS, seed=9)
+    want = expected_pairs(expected_windows(rows, PARAMS), PARAMS)
+    ties = {}
+    for s, i, j, score in sorted(want):
+        if score == max(w[3] for w in want if w[0] == s):
+            ties.setdefault(s, []).append((i, j, score))
+    got = {r.seq_id: (r.ties, r.score, r.first_left, r.first_right, r.left_start, r.right_start, r.min_distance) for r in T.pair_ties(df, PARAMS).collect()}
+    assert got == {s: (len(t), t[0][2], *t[0][:2], *t[-1][:2], min(3 * (j - i + 8) for i, j, _ in t)) for s, t in ties.items()}
+    assert max(len(t) for t in ties.values()) > 1
+    last = {r.seq_id: r.asDict() for r in T.last_pair(T.best_pairs(df, PARAMS)).collect()}
+    for r in T.pair_ties(df, PARAMS).collect():
+        assert last[r.seq_id] == {k: v for k, v in r.asDict().items() if k in last[r.seq_id]}
+
+
+def test_parity_tail_against_a_replay(spark, small_pieces):
+    params = T.TagParams(min_temp=0, max_temp=200, min_recoded=0, min_distance=40, max_distance=120)
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice(["ATGTGG", "ATG", "TGG", "GCA" if i % 3 else "ATG"]) for _ in range(60)) + "ATGTGG" * (i * 4)) for i in range(9)]
+    rows += [(20, "ATGTGG" * 40), (21, "GCA" * 70), (22, "ATG" * 9)]
+    df = spark.createDataFrame(rows, "seq_id bigint, seq string")
+    want = brute_parity(rows, params)
+    got = {r.seq_id: r for r in T.parity_tail(df, params).collect()}
+    assert sorted(got) == sorted(want)
+    for s, listed in want.items():
+        positive = [(i, j) for i, j, score in listed if score > 0]
+        r = got[s]
+        assert ((r.left_start, r.right_start) if positive else (None, None)) == (positive[0] if positive else (None, None))
+        assert r.tail == len(listed) - len(positive) and (r.last_left, r.last_right) == listed[-1][:2]
+    assert any(r.tail > 50 and r.left_start is not None for r in got.values()) and any(r.left_start is None for r in got.values())
+
+
+def test_sequences_of_one_id_or_none_stay_apart(spark):
+    rows = [(1, "ATGGCA" * 12), (1, "TGGGCACTT" * 9), (None, "ATGGCA" * 12), (None, "CTTCGA" * 10)]
+    df = spark.createDataFrame(rows, "seq_id bigint, seq string")
+    got = sorted((r.seq_id or 0, r.start, r.old) for r in T.recode_windows(df).collect())
+    assert got == sorted((i or 0, k, q[3 * k:3 * k + 24]) for i, q in rows for k in range(len(q) // 3 - 7))
+
+
 def test_tagged_sequence_keeps_its_protein(spark):
     df, rows = sequences(spark, [900])
     pairs = T.last_pair(T.design_tags(df, PARAMS))

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from variloom.functions import sequence as S
 from variloom.operators.base import computed
@@ -24,6 +26,8 @@ PARTITION_BYTES = 4 << 20
 
 #: Score and melting temperature of a codon or window share an integer: score * SHARE + temperature.
 SHARE = 1000
+#: What tells a piece; pieces are dealt by the first two.
+_PIECE = ("seq_id", "first", "_row")
 #: A partner is packed as score * FAR + (FAR - 1 - place), so the maximum is the nearest of the best.
 FAR = 1 << 20
 
@@ -50,25 +54,29 @@ class TagParams:
 
 
 def _pieces(seqs: DataFrame, need: int, overlap: int, spread: bool) -> DataFrame:
-    """(seq_id, first codon, piece) rows; neighbours share ``overlap`` codons.
+    """(seq_id, first codon, row, piece) rows; neighbours share ``overlap`` codons.
+
+    ``_row`` keeps sequences of one id, or of none, apart inside a task.
 
     ``need`` is the number of codons the smallest result takes. Cutting works on bytes,
     where a position needs no scan from the start. ``spread`` shuffles the pieces into a
-    number of partitions that follows the bytes of all sequences: results are many times larger
-    than pieces, so partitions must not be merged by the size of their input.
+    number of partitions that follows the planner's size of the input, without a job: results are many
+    times larger than pieces, so partitions must not be merged by the size of their input.
     """
     count = F.floor(F.length("_bytes") / 3) - (need - 1)
     numbers = F.when(count > 0, F.sequence(F.lit(0), F.ceil(count / PIECE_CODONS) - 1))
     cut = F.transform(F.coalesce(numbers, F.array().cast("array<bigint>")), lambda n: F.substring(
         F.col("_bytes"), (n * (3 * PIECE_CODONS) + 1).cast("int"), F.lit(3 * (PIECE_CODONS + overlap))))
-    rows = seqs.select("seq_id", F.col("seq").cast("binary").alias("_bytes")).select(
-        "seq_id", F.posexplode(cut).alias("_n", "piece"))
-    out = rows.select("seq_id", (F.col("_n").cast("bigint") * PIECE_CODONS).alias("first"), "piece")
+    rows = seqs.select("seq_id", F.monotonically_increasing_id().alias("_row"), F.col("seq").cast("binary").alias("_bytes")).select(
+        "seq_id", "_row", F.posexplode(cut).alias("_n", "piece"))
+    out = rows.select("seq_id", (F.col("_n").cast("bigint") * PIECE_CODONS).alias("first"), "_row", "piece")
     if not spread:
         return out
-    total = seqs.agg(F.coalesce(F.sum(F.octet_length("seq")), F.lit(0))).first()[0]
     least = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartition(max(least, math.ceil(total / PARTITION_BYTES)), "seq_id", "first")
+    planned = int(str(seqs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # an input of unknown size counts as the largest number there is
+    wanted = math.ceil(planned / PARTITION_BYTES) if planned < 1 << 60 else 0
+    return out.repartition(max(least, wanted), "seq_id", "first")
 
 
 def codon_table(seqs: DataFrame, organism: str = "human", spread: bool = True) -> DataFrame:
@@ -90,36 +98,44 @@ def codon_windows(seqs: DataFrame, spread: bool = True) -> DataFrame:
     return opened.select("seq_id", (F.col("first") + F.col("_k")).alias("start"), _bases("piece").alias("old"))
 
 
-def _recoded(pieces: DataFrame, organism: str, full_serine: bool, *keep: str) -> DataFrame:
-    """Pieces with their recoded bases ``new`` and ``vals``, score and temperature per window.
+def _codon_rows(pieces: DataFrame, organism: str, full_serine: bool) -> DataFrame:
+    """One row per codon of a piece: seq_id, first, ``_k``, codon, ``new`` and ``v``, its score and temperature.
 
-    Codons are looked up once per piece, not once per window.
+    Codons are looked up once, in a table of 64 rows; another one keeps itself.
     """
-    entries = {c: F.struct(F.lit(new).alias("new"), F.lit(n * SHARE + sum(2 if b in "AT" else 4 for b in new)).alias("v"))
-               for c, (new, n) in S.best_synonyms(organism, full_serine).items()}
-    table = F.create_map(*(x for c, entry in entries.items() for x in (F.lit(c), entry)))
-    best = F.transform(S.codons(F.col("piece").cast("string")), lambda c: F.coalesce(
-        F.try_element_at(table, c), F.struct(c.alias("new"), S.melting_temp(c).cast("int").alias("v"))))
-    kept = ["seq_id", "first", "piece", *keep]
-    looked = computed(computed(pieces, *kept, _best=best), *kept, _v=F.col("_best.v"),
-                      new=F.array_join("_best.new", "").cast("binary"))
-    window = " + ".join(f"get(_v, k + {i})" for i in range(WINDOW))
-    return computed(looked, *kept, "new", vals=F.expr(f"transform(sequence(0, size(_v) - {WINDOW}), k -> {window})"))
-
-
-def recode_windows(seqs: DataFrame, organism: str = "human", full_serine: bool = False,
-                   spread: bool = True) -> DataFrame:
+    known = [(c, new, n * SHARE + sum(2 if b in "AT" else 4 for b in new)) for c, (new, n) in S.best_synonyms(organism, full_serine).items()]
+    table = pieces.sparkSession.createDataFrame(known, "codon string, new string, v int")
+    opened = pieces.select(*_PIECE, F.posexplode(S.codons(F.col("piece").cast("string"))).alias("_k", "codon"))
+    return opened.join(F.broadcast(table), "codon", "left").select(
+        *_PIECE, "_k", "codon", F.coalesce("new", "codon").alias("new"), F.coalesce("v", S.melting_temp(F.col("codon")).cast("int")).alias("v"))
+
+
+def _whole() -> WindowSpec:
+    return Window.partitionBy(*_PIECE)
+
+
+def _along() -> WindowSpec:
+    """The codons of a piece in order. Pieces are dealt by its columns, so their rows are sorted, not shuffled."""
+    return _whole().orderBy("_k")
+
+
+def _ahead(name: str) -> list[Column]:
+    """The values of ``name`` at the codons of the window that starts here; NULL past the end."""
+    return [F.col(name), *(F.lead(name, i).over(_along()) for i in range(1, WINDOW))]
+
+
+def recode_windows(seqs: DataFrame, organism: str = "human", full_serine: bool = False) -> DataFrame:
     """Windows with every codon replaced by its most different synonym.
 
     Adds ``new``, ``score`` (changed bases), ``mt`` (melting temperature of ``new``) and
     ``pc`` (percent changed).
     """
-    recoded = _recoded(_pieces(seqs, WINDOW, WINDOW - 1, spread), organism, full_serine)
-    opened = recoded.select("seq_id", "first", "piece", "new", F.posexplode("vals").alias("_k", "_v"))
-    score = F.expr(f"cast(_v div {SHARE} as int)")
-    return opened.select(
-        "seq_id", (F.col("first") + F.col("_k")).alias("start"), _bases("piece").alias("old"), _bases("new").alias("new"),
-        score.alias("score"), (F.col("_v") % SHARE).cast("double").alias("mt"), (score / WINDOW_BASES * 100).alias("pc"))
+    codons = _codon_rows(_pieces(seqs, WINDOW, WINDOW - 1, True), organism, full_serine)
+    found = codons.select("seq_id", "first", "_k", F.concat(*_ahead("codon")).alias("old"), F.concat(*_ahead("new")).alias("new"),
+                          reduce(add, _ahead("v")).alias("v")).where("old is not null")
+    score = F.expr(f"cast(v div {SHARE} as int)")
+    return found.select("seq_id", (F.col("first") + F.col("_k")).alias("start"), "old", "new", score.alias("score"),
+                        (F.col("v") % SHARE).cast("double").alias("mt"), (score / WINDOW_BASES * 100).alias("pc"))
 
 
 def _temp_ok(params: TagParams) -> Column:
@@ -141,51 +157,40 @@ def window_rejects(windows: DataFrame, params: TagParams) -> DataFrame:
         F.count_if(_temp_ok(params) & changed_ok).alias("kept"))
 
 
-def _pair_pieces(seqs: DataFrame, params: TagParams, spread: bool = True) -> DataFrame:
-    """Pieces that hold every partner of the windows starting in them.
+def _scored(seqs: DataFrame, params: TagParams, organism: str, full_serine: bool) -> DataFrame:
+    """One row per codon of the pieces, with ``s``, the score of the kept window that starts there or NULL.
 
-    Sequences without id are left out here, as a join would do: with the same filter below
-    it, the shuffle of pieces is reused where pieces are read twice.
+    A piece holds every partner of its ``own`` windows, the first ``PIECE_CODONS``; the others are partners only.
     """
     low, high = params.steps
     if high < low:
         raise ValueError("no window pair fits the distance range")
-    return _pieces(seqs.where("seq_id is not null"), WINDOW, high + WINDOW - 1, spread)
-
-
-def _scored(pieces: DataFrame, params: TagParams, organism: str, full_serine: bool, *keep: str) -> DataFrame:
-    """Recoded pieces with ``s``, the score of each kept window and NULL for the others.
-
-    ``own`` is the number of windows that start in the piece; the others are partners only.
-    """
+    codons = _codon_rows(_pieces(seqs.where("seq_id is not null"), WINDOW, high + WINDOW - 1, True), organism, full_serine)
+    summed = codons.select(*_PIECE, "_k", "new", reduce(add, _ahead("v")).alias("v"))
     kept = (f"v % {SHARE} between {params.min_temp} and {params.max_temp} "
             f"and v div {SHARE} / {WINDOW_BASES} * 100 >= {params.min_recoded}")
-    return computed(
-        _recoded(pieces, organism, full_serine, *keep), "seq_id", "first", "new", *keep,
-        s=F.expr(f"transform(vals, v -> case when {kept} then cast(v div {SHARE} as int) end)"),
-        own=F.least(F.size("vals"), F.lit(PIECE_CODONS)))
+    return summed.select(*_PIECE, "_k", "new", F.expr(f"case when {kept} then cast(v div {SHARE} as int) end").alias("s"),
+                         (F.col("_k") < PIECE_CODONS).alias("own"))
 
 
-def _pairs(opened: DataFrame, partners: Column, *columns: Column | str) -> DataFrame:
-    """Pairs of window ``_k`` with each of ``partners``, both numbers within the piece."""
-    step = F.col("_j") - F.col("_k")
-    return opened.withColumn("_j", F.explode(partners)).select(
-        "seq_id", (F.col("first") + F.col("_k")).alias("left_start"), (F.col("first") + F.col("_j")).alias("right_start"),
-        ((step + WINDOW) * 3).alias("distance"), *columns)
+def _partnered(scored: DataFrame, low: int, high: int) -> DataFrame:
+    """Adds to each window the best score among its partners and where it is, first (``near``) and last (``far``), both packed.
 
+    Also ``upto``, the number of kept windows of the piece so far, and ``partners``: their number from
+    ``low`` to ``high`` windows ahead, the difference of two such prefix sums.
+    """
+    reach = _along().rowsBetween(low, high)
+    counted = scored.withColumns({"upto": F.count("s").over(_along().rowsBetween(Window.unboundedPreceding, 0)), "all": F.count("s").over(_whole())})
+    ends = [F.coalesce(F.lead("upto", at).over(_along()), F.col("all")) for at in (high, low - 1)]
+    packed = F.col("s") * F.lit(FAR).cast("bigint")
+    return counted.withColumns({
+        "partners": F.when(F.col("s").isNotNull(), ends[0] - ends[1]),
+        "near": F.max(packed + (FAR - 1) - F.col("_k")).over(reach), "far": F.max(packed + F.col("_k")).over(reach)})
 
-def _with_partner(scored: DataFrame, low: int, high: int) -> DataFrame:
-    """Adds ``p``: for each window of the piece, its nearest best partner, packed, or -1 or nothing without one.
 
-    The maximum over a sliding range comes from maxima over 1, 2, 4, ... windows.
-    """
-    keep = scored.columns
-    out = computed(scored, *keep, m=F.expr(f"transform(s, (x, i) -> if(x is null, -1L, x * {FAR}L + {FAR - 1}L - i))"))
-    power = (high - low + 1).bit_length() - 1
-    for k in range(power):
-        out = computed(out, *keep, m=F.expr(f"zip_with(m, slice(m, {2 ** k + 1}, size(m)), (a, b) -> greatest(a, coalesce(b, -1L)))"))
-    both = F.expr(f"zip_with(slice(m, {low + 1}, own), slice(m, {high - 2 ** power + 2}, own), (a, b) -> greatest(coalesce(a, -1L), coalesce(b, -1L)))")
-    return computed(out, *keep, p=both)
+def _place(name: str) -> Column:
+    """Codon number within the piece that ``near`` or ``far`` points to."""
+    return F.expr(f"cast({FAR - 1} - near % {FAR} as int)" if name == "near" else f"cast(far % {FAR} as int)")
 
 
 def window_partners(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
@@ -194,15 +199,16 @@ def window_partners(seqs: DataFrame, params: TagParams, organism: str = "human",
     Columns: seq_id, left_start, partners, score, right_start. Pairs are not listed, so the result is
     as long as the sequences whatever the distance range.
     """
-    low, high = params.steps
-    scored = _with_partner(_scored(_pair_pieces(seqs, params), params, organism, full_serine), low, high)
-    upto = F.expr("transform(s, x -> if(x is null, 0, 1))")
-    counted = computed(scored, "seq_id", "first", "s", "own", "p", _flags=upto)
-    span = counted.withColumn("_k", F.explode(F.expr("filter(sequence(0, own - 1), k -> get(s, k) is not null and get(p, k) >= 0)")))
-    partners = F.aggregate(F.slice("_flags", F.col("_k") + low + 1, F.lit(high - low + 1)), F.lit(0), lambda n, x: n + x)
-    return span.select("seq_id", (F.col("first") + F.col("_k")).alias("left_start"), partners.alias("partners"),
-                       F.expr(f"cast(get(s, _k) + get(p, _k) div {FAR} as int)").alias("score"),
-                       (F.col("first") + F.expr(f"{FAR - 1} - get(p, _k) % {FAR}")).alias("right_start"))
+    found = _partnered(_scored(seqs, params, organism, full_serine), *params.steps).where("own and partners > 0")
+    return found.select("seq_id", (F.col("first") + F.col("_k")).alias("left_start"), F.col("partners").cast("int").alias("partners"),
+                        F.expr(f"cast(s + near div {FAR} as int)").alias("score"), (F.col("first") + _place("near")).alias("right_start"))
+
+
+def _records(rows: DataFrame, *more: str) -> DataFrame:
+    """One row per piece: arrays by codon of ``s`` (-1 for none), ``more`` columns, and the recoded bases ``new``."""
+    each = F.struct("_k", F.coalesce("s", F.lit(-1)).cast("byte").alias("s"), "new", *(F.coalesce(c, F.lit(-1)).alias(c) for c in more))
+    listed = rows.groupBy(*_PIECE).agg(F.sort_array(F.collect_list(each)).alias("a"))
+    return computed(listed, "seq_id", "first", s=F.col("a.s"), new=F.array_join("a.new", ""), **{c: F.col(f"a.{c}") for c in more})
 
 
 def window_pairs(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
@@ -211,50 +217,110 @@ def window_pairs(seqs: DataFrame, params: TagParams, organism: str = "human", fu
     A window's partners lie a bounded way ahead in the same piece: no join, no window shuffle.
     """
     low, high = params.steps
-    scored = _scored(_pair_pieces(seqs, params), params, organism, full_serine)
-    lefts = scored.withColumn("_k", F.explode(F.expr("filter(sequence(0, own - 1), k -> get(s, k) is not null)")))
-    partners = F.expr(f"filter(sequence(_k + {low}, _k + {high}), j -> get(s, j) is not null)")
-    return _pairs(lefts, partners, F.expr("get(s, _k) + get(s, _j)").alias("score"))
+    lefts = _records(_scored(seqs, params, organism, full_serine)).withColumn(
+        "_k", F.explode(F.expr(f"filter(sequence(0, least(size(s), {PIECE_CODONS}) - 1), k -> s[k] >= 0)")))
+    return _pairs(lefts, F.expr(f"filter(sequence(_k + {low}, _k + {high}), j -> get(s, j) >= 0)"), (F.expr("s[_k] + s[_j]").cast("int")).alias("score"))
+
+
+def _pairs(opened: DataFrame, partners: Column, *columns: Column | str) -> DataFrame:
+    """Pairs of window ``_k`` with each of ``partners``, both numbers within the piece."""
+    step = F.col("_j") - F.col("_k")
+    return opened.withColumn("_j", F.explode(partners)).select(
+        "seq_id", (F.col("first") + F.col("_k")).alias("left_start"), (F.col("first") + F.col("_j")).alias("right_start"),
+        ((step + WINDOW) * 3).alias("distance"), *columns)
 
 
 def _pair_details() -> list[Column]:
     def bases(at: str) -> Column:
-        return F.expr(f"cast(substring(new, {at} * 3 + 1, {WINDOW_BASES}) as string)")
+        return F.expr(f"substring(new, {at} * 3 + 1, {WINDOW_BASES})")
+
+    return [F.expr("cast(s[_k] as int)").alias("left_score"), F.expr("cast(s[_j] as int)").alias("right_score"),
+            F.expr("cast(s[_k] + s[_j] as int)").alias("score"), bases("_k").alias("left_new"), bases("_j").alias("right_new")]
+
 
-    return [F.expr("get(s, _k)").alias("left_score"), F.expr("get(s, _j)").alias("right_score"),
-            F.expr("get(s, _k) + get(s, _j)").alias("score"), bases("_k").alias("left_new"), bases("_j").alias("right_new")]
+def _top_records(seqs: DataFrame, params: TagParams, organism: str, full_serine: bool) -> DataFrame:
+    """Records of the pieces that reach their sequence's highest sum ``_top``, with the windows ``_lefts`` that do.
+
+    Each piece is scored once; the sums per sequence read the exchange that the join with them reads.
+    """
+    same = Window.partitionBy(*_PIECE, "s").orderBy("_k")
+    rows = _partnered(_scored(seqs, params, organism, full_serine), *params.steps).withColumns(
+        {"like": F.row_number().over(same), "r": F.expr(f"if(own and partners > 0, s + near div {FAR}, null)")}).withColumns(
+        {"near": _place("near"), "far": _place("far")})
+    pieces = computed(_records(rows, "near", "far", "like", "r"), "seq_id", "first", "s", "new", "near", "far", "like", "r", _top=F.array_max("r"))
+    pieces = pieces.where("_top >= 0").repartition("seq_id")
+    best = pieces.groupBy("seq_id").agg(F.max("_top").alias("_top"))
+    return pieces.join(best, ["seq_id", "_top"]).withColumn("_lefts", F.expr("filter(sequence(0, size(r) - 1), k -> r[k] = _top)"))
+
+
+def pair_ties(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
+    """Per sequence, the pairs of kept windows in distance range with the highest summed score, without listing them.
+
+    ``score``, ``ties`` (their number), ``min_distance``, the first and the last of them by left, then right
+    window (``first_left``, ``first_right``, ``left_start``, ``right_start``) and the last one's details.
+    The partners of one window that reach the score have one score themselves, so their number is the
+    difference of the numbers that equal windows have along the piece, at the last and the first of them.
+    """
+    top = _top_records(seqs, params, organism, full_serine)
+    per = top.select("seq_id", "first", "_top", "s", "new", *[c.alias(n) for n, c in {
+        "ties": F.expr("aggregate(_lefts, 0L, (n, k) -> n + like[far[k]] - like[near[k]] + 1)"),
+        "closest": F.expr("array_min(transform(_lefts, k -> near[k] - k))"),
+        "k0": F.expr("_lefts[0]"), "j0": F.expr("near[_lefts[0]]"), "_k": F.element_at("_lefts", -1), "_j": F.expr("far[element_at(_lefts, -1)]")}.items()])
+    at = {n: (F.col("first") + F.col(c)).alias(n) for n, c in (("first_left", "k0"), ("first_right", "j0"), ("left_start", "_k"), ("right_start", "_j"))}
+    flat = per.select("seq_id", "ties", "closest", *at.values(), ((F.col("_j") - F.col("_k") + WINDOW) * 3).alias("distance"), *_pair_details())
+    one = flat.groupBy("seq_id").agg(
+        F.sum("ties").alias("ties"), F.min("closest").alias("closest"), F.min(F.struct("first_left", "first_right")).alias("_f"),
+        F.max(F.struct("left_start", "right_start", "distance", "left_score", "right_score", "score", "left_new", "right_new")).alias("_l"))
+    return one.select("seq_id", "ties", ((F.col("closest") + WINDOW) * 3).alias("min_distance"), "_f.*", "_l.*")
+
+
+def parity_tail(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
+    """What the search gives that never raises its score to beat: per sequence with pairs, counted, not listed.
+
+    Every pair with a positive sum replaces the result so far, and one with sum 0 joins it. So the result is the
+    last positive pair (``left_start``, ``right_start``; NULL without one) and the pairs after it, all of sum 0:
+    ``tail`` is their number. ``last_left`` and ``last_right`` are the last pair of all.
+    """
+    low, high = params.steps
+    rows = _partnered(_scored(seqs, params, organism, full_serine), low, high)
+    reach = _along().rowsBetween(low, high)
+    # the last partner, and the last with a score, each packed with the number of kept windows up to it
+    mark = F.col("_k").cast("bigint") * FAR + F.col("upto")
+    rows = rows.withColumns({"any_far": F.max(F.when(F.col("s").isNotNull(), mark)).over(reach), "pos_far": F.max(F.when(F.col("s") > 0, mark)).over(reach)})
+    rows = rows.where("own and partners > 0").withColumn("to", F.expr("if(s > 0, any_far, pos_far)"))
+    rows = rows.withColumn("last", F.max(F.when(F.col("to").isNotNull(), F.col("_k"))).over(_whole()))
+    after = F.expr(f"case when last is null or _k > last then partners when _k = last then any_far % {FAR} - to % {FAR} else 0 end")
+    at = {n: (F.col("first") + F.expr(e)) for n, e in (("left", "_k"), ("right", f"to div {FAR}"), ("end", f"any_far div {FAR}"))}
+    piece = rows.groupBy(*_PIECE).agg(
+        F.sum("partners").alias("pairs"), F.sum(after).alias("after"),
+        F.max(F.when(F.col("to").isNotNull(), F.struct(at["left"].alias("left_start"), at["right"].alias("right_start")))).alias("p"),
+        F.max(F.struct(at["left"].alias("last_left"), at["end"].alias("last_right"))).alias("e")).repartition("seq_id")
+    whole = piece.groupBy("seq_id").agg(F.max("p").alias("p"), F.max("e").alias("e"), F.max(F.when(F.col("p").isNotNull(), F.col("first"))).alias("upto"))
+    # pieces after the last positive pair's count in full, its own from there on
+    rest = piece.select("seq_id", "first", "pairs", "after").join(whole, "seq_id").where("upto is null or first >= upto")
+    return rest.groupBy("seq_id").agg(F.first("p").alias("p"), F.first("e").alias("e"), F.sum(F.expr("if(first = upto, after, pairs)")).alias("tail")).select(
+        "seq_id", "p.*", "tail", "e.*")
 
 
 def best_pairs(seqs: DataFrame, params: TagParams, mode: str = "intended", organism: str = "human",
                full_serine: bool = False) -> DataFrame:
     """Pairs of kept windows in distance range with the highest summed score of their sequence.
 
-    ``intended`` gives every tie: each piece finds its highest sum, the sums are reduced to
-    one per sequence, and only pieces that reach it list pairs. ``parity`` gives the last
-    pair with a positive score, by left, then right window.
+    ``intended`` gives every tie; :func:`pair_ties` counts them. ``parity`` gives the last pair with a positive score,
+    by left, then right window; :func:`parity_tail` counts what follows it.
     """
     low, high = params.steps
-    pieces = _pair_pieces(seqs, params)
     if mode == "intended":
-        # each piece is scored once to find its highest sum; pieces that reach their sequence's are scored again to list
-        reach = F.expr(f"array_max(transform(sequence(0, own - 1), k -> if(get(p, k) >= 0, get(s, k) + cast(get(p, k) div {FAR} as int), null)))")
-        reached = _with_partner(_scored(pieces, params, organism, full_serine, "piece"), low, high).select("seq_id", "first", "piece", reach.alias("_top"))
-        reached = reached.where("_top is not null").repartition("seq_id")
-        best = reached.groupBy("seq_id").agg(F.max("_top").alias("_top"))
-        scored = _with_partner(_scored(reached.join(best, ["seq_id", "_top"]), params, organism, full_serine, "_top"), low, high)
-        lefts = scored.withColumn("_k", F.explode(F.expr(
-            f"filter(sequence(0, own - 1), k -> get(p, k) >= 0 and get(s, k) + get(p, k) div {FAR} = _top)")))
-        partners = F.expr(f"filter(sequence(_k + {low}, _k + {high}), j -> get(s, j) = _top - get(s, _k))")
-        return _pairs(lefts, partners, *_pair_details())
+        lefts = _top_records(seqs, params, organism, full_serine).withColumn("_k", F.explode("_lefts"))
+        return _pairs(lefts, F.expr("filter(sequence(near[_k], far[_k]), j -> s[j] = _top - s[_k])"), *_pair_details())
     if mode != "parity":
         raise ValueError("mode must be 'intended' or 'parity'")
-
-    def positive(left: str) -> str:
-        return f"filter(sequence({left} + {low}, {left} + {high}), j -> get(s, j) + get(s, {left}) > 0)"
-
-    last = F.expr(f"array_max(filter(sequence(0, own - 1), k -> size({positive('k')}) > 0))")
-    lefts = _scored(pieces, params, organism, full_serine).withColumn("_k", last).where("_k is not null")
-    return last_pair(_pairs(lefts, F.array(F.expr(f"array_max({positive('_k')})")), *_pair_details()))
+    rows = _scored(seqs, params, organism, full_serine)
+    reach = _along().rowsBetween(low, high)
+    to = F.when(F.col("s") > 0, F.max(F.when(F.col("s").isNotNull(), F.col("_k"))).over(reach)).when(F.col("s") == 0, F.max(F.when(F.col("s") > 0, F.col("_k"))).over(reach))
+    rows = rows.withColumn("to", F.when(F.col("own"), to))
+    last = _records(rows, "to").withColumn("_k", F.expr("array_max(filter(sequence(0, size(to) - 1), k -> to[k] >= 0))")).where("_k is not null")
+    return last_pair(_pairs(last, F.array(F.expr("to[_k]")), *_pair_details()))
 
 
 def design_tags(seqs: DataFrame, params: TagParams = TagParams(), mode: str = "intended") -> DataFrame:

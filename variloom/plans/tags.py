@@ -52,11 +52,12 @@ select seq_id, start as left_start, cast(n as int) as partners, cast(score + top
  window w as (partition by seq_id order by start range between {_LOW} following and {_HIGH} following)) where n > 0"""
 CHECK_VIEWS["best_lefts"] = """
 select seq_id, left_start, score from {partners} qualify score = max(score) over (partition by seq_id)"""
+# only windows that reach the top meet the windows at each exact start in their range
 CHECK_VIEWS["best_of"] = f"""
 select a.seq_id, a.start as left_start, b.start as right_start, (b.start - a.start + 8) * 3 as distance,
  a.score as left_score, b.score as right_score, t.score as score, a.new as left_new, b.new as right_new
- from {{best_lefts}} t join {{kept_windows}} a on a.seq_id = t.seq_id and a.start = t.left_start
- join {{kept_windows}} b on b.seq_id = a.seq_id and a.score + b.score = t.score and b.start between a.start + {_LOW} and a.start + {_HIGH}"""
+ from (select *, left_start + unnest(range({_LOW}, {_HIGH} + 1)) as at_start from {{best_lefts}}) t join {{kept_windows}} a on a.seq_id = t.seq_id and a.start = t.left_start
+ join {{kept_windows}} b on b.seq_id = t.seq_id and b.start = t.at_start where a.score + b.score = t.score"""
 CHECK_VIEWS["last_of"] = "select * from {best_of} qualify row_number() over (partition by seq_id order by left_start desc, right_start desc) = 1"
 
 PAIR_OUT = ["seq_id", "left_start", "right_start", "distance", "left_score", "right_score", "score", "left_new", "right_new"]
@@ -190,11 +191,39 @@ def tag_pairs(v):
         F.count("*").alias("ties"), F.max("score").alias("score"), F.min("distance").alias("min_distance"))
 
 
+@query("pair_ties", """
+select o.*, n.ties, n.min_distance, n.first_left, n.first_right from {last_of} o join (
+ select seq_id, count(*) as ties, min(distance) as min_distance, min(left_start) as first_left, arg_min(right_start, left_start * 1048576 + right_start) as first_right from {best_of} group by 1) n on n.seq_id = o.seq_id""")
+def pair_ties(v):
+    return T.pair_ties(v.sequences, PARAMS)
+
+
+#: Windows of any change: some have no other synonym, so sums of 0 occur.
+ALL_PARAMS = T.TagParams(min_temp=60, max_temp=72, min_recoded=0, min_distance=100, max_distance=400)
+_TAILED = "select seq_id, seq||repeat('ATGTGG', cast(seq_id % 60 as int)) as seq from {sequences}"
+for _name in ("codon_rows", "best_rows", "recoded"):
+    CHECK_VIEWS[f"tailed_{_name}"] = CHECK_VIEWS[_name].replace("{codon_rows}", "{tailed_codon_rows}").replace("{best_rows}", "{tailed_best_rows}").replace("{sequences}", f"({_TAILED})")
+CHECK_VIEWS["tailed_pairs"] = f"""
+select *, case when score > 0 then any_far else pos_far end as last_to from (
+ select *, count(*) over w as n, max(start) over w as any_far, max(case when score > 0 then start end) over w as pos_far from (
+  select * from {{tailed_recoded}} where mt between 60 and 72) window w as (partition by seq_id order by start range between {_LOW} following and {_HIGH} following)) where n > 0"""
+CHECK_VIEWS["tailed_last"] = "select seq_id, max(start) filter (where last_to is not null) as l, max(start) as e, arg_max(any_far, start) as last_right, arg_max(last_to, start) filter (where last_to is not null) as r from {tailed_pairs} group by 1"
+
+
+@query("parity_tail", f"""
+select t.seq_id, t.l as left_start, t.r as right_start, t.e as last_left, t.last_right, cast(coalesce(sum(p.n) filter (where t.l is null or p.start > t.l), 0)
+ + (select count(*) from {{tailed_recoded}} k where k.seq_id = t.seq_id and k.mt between 60 and 72 and k.start > t.r and k.start <= t.l + {_HIGH}) as bigint) as tail
+ from {{tailed_last}} t join {{tailed_pairs}} p on p.seq_id = t.seq_id group by t.seq_id, t.l, t.r, t.e, t.last_right""")
+def parity_tail(v):
+    tailed = v.spark.sql(_TAILED, sequences=v.sequences)
+    return T.parity_tail(tailed, ALL_PARAMS)
+
+
 @query("apply_tags", """
 select s.seq_id, md5(substr(seq, 1, cast(3 * left_start as int))||left_new||substr(seq, cast(3 * left_start + 25 as int), cast(3 * (right_start - left_start) - 24 as int))
  ||right_new||substr(seq, cast(3 * right_start + 25 as int))) as digest, length(seq) as size from {sequences} s join {last_of} p on s.seq_id = p.seq_id""")
 def apply_tags(v):
-    tagged = T.apply_tags(v.sequences, T.last_pair(T.best_pairs(v.sequences, PARAMS)))
+    tagged = T.apply_tags(v.sequences, T.pair_ties(v.sequences, PARAMS))
     return tagged.select("seq_id", F.md5("tagged").alias("digest"), F.length("tagged").cast("bigint").alias("size"))
 
 
