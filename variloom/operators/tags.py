@@ -174,7 +174,7 @@ def _scored(seqs: DataFrame, params: TagParams, organism: str, full_serine: bool
 
 
 def _partnered(scored: DataFrame, low: int, high: int) -> DataFrame:
-    """Adds to each window the best score among its partners and where it is, first (``near``) and last (``far``), both packed.
+    """Adds to each window its nearest best partner, packed, as ``near``.
 
     Also ``upto``, the number of kept windows of the piece so far, and ``partners``: their number from
     ``low`` to ``high`` windows ahead, the difference of two such prefix sums.
@@ -185,12 +185,11 @@ def _partnered(scored: DataFrame, low: int, high: int) -> DataFrame:
     packed = F.col("s") * F.lit(FAR).cast("bigint")
     return counted.withColumns({
         "partners": F.when(F.col("s").isNotNull(), ends[0] - ends[1]),
-        "near": F.max(packed + (FAR - 1) - F.col("_k")).over(reach), "far": F.max(packed + F.col("_k")).over(reach)})
+        "near": F.max(packed + (FAR - 1) - F.col("_k")).over(reach)})
 
 
-def _place(name: str) -> Column:
-    """Codon number within the piece that ``near`` or ``far`` points to."""
-    return F.expr(f"cast({FAR - 1} - near % {FAR} as int)" if name == "near" else f"cast(far % {FAR} as int)")
+#: The highest sum of an own window and one of its partners.
+_REACHED_SQL = f"if(own and partners > 0, s + cast(near div {FAR} as int), null)"
 
 
 def window_partners(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
@@ -201,7 +200,7 @@ def window_partners(seqs: DataFrame, params: TagParams, organism: str = "human",
     """
     found = _partnered(_scored(seqs, params, organism, full_serine), *params.steps).where("own and partners > 0")
     return found.select("seq_id", (F.col("first") + F.col("_k")).alias("left_start"), F.col("partners").cast("int").alias("partners"),
-                        F.expr(f"cast(s + near div {FAR} as int)").alias("score"), (F.col("first") + _place("near")).alias("right_start"))
+                        F.expr(f"cast(s + near div {FAR} as int)").alias("score"), (F.col("first") + F.expr(f"{FAR - 1} - near % {FAR}")).alias("right_start"))
 
 
 def _records(rows: DataFrame, *more: str) -> DataFrame:
@@ -243,35 +242,53 @@ def _top_records(seqs: DataFrame, params: TagParams, organism: str, full_serine:
 
     Each piece is scored once; the sums per sequence read the exchange that the join with them reads.
     """
-    same = Window.partitionBy(*_PIECE, "s").orderBy("_k")
-    rows = _partnered(_scored(seqs, params, organism, full_serine), *params.steps).withColumns(
-        {"like": F.row_number().over(same), "r": F.expr(f"if(own and partners > 0, s + near div {FAR}, null)")}).withColumns(
-        {"near": _place("near"), "far": _place("far")})
-    pieces = computed(_records(rows, "near", "far", "like", "r"), "seq_id", "first", "s", "new", "near", "far", "like", "r", _top=F.array_max("r"))
+    rows = _partnered(_scored(seqs, params, organism, full_serine), *params.steps).withColumn("r", F.expr(_REACHED_SQL))
+    pieces = computed(_records(rows, "r"), "seq_id", "first", "s", "new", "r", _top=F.array_max("r"))
     pieces = pieces.where("_top >= 0").repartition("seq_id")
     best = pieces.groupBy("seq_id").agg(F.max("_top").alias("_top"))
     return pieces.join(best, ["seq_id", "_top"]).withColumn("_lefts", F.expr("filter(sequence(0, size(r) - 1), k -> r[k] = _top)"))
 
 
+def _recoded_bases(old: Column, organism: str, full_serine: bool) -> Column:
+    """A few bases with every codon replaced."""
+    return F.array_join(F.transform(S.codons(old), lambda c: F.coalesce(S.best_synonym(c, organism, full_serine), c)), "")
+
+
 def pair_ties(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
     """Per sequence, the pairs of kept windows in distance range with the highest summed score, without listing them.
 
     ``score``, ``ties`` (their number), ``min_distance``, the first and the last of them by left, then right
     window (``first_left``, ``first_right``, ``left_start``, ``right_start``) and the last one's details.
     The partners of one window that reach the score have one score themselves, so their number is the
-    difference of the numbers that equal windows have along the piece, at the last and the first of them.
+    difference of the numbers of equal windows along the piece, up to the last and up to the first of them.
     """
-    top = _top_records(seqs, params, organism, full_serine)
-    per = top.select("seq_id", "first", "_top", "s", "new", *[c.alias(n) for n, c in {
-        "ties": F.expr("aggregate(_lefts, 0L, (n, k) -> n + like[far[k]] - like[near[k]] + 1)"),
-        "closest": F.expr("array_min(transform(_lefts, k -> near[k] - k))"),
-        "k0": F.expr("_lefts[0]"), "j0": F.expr("near[_lefts[0]]"), "_k": F.element_at("_lefts", -1), "_j": F.expr("far[element_at(_lefts, -1)]")}.items()])
-    at = {n: (F.col("first") + F.col(c)).alias(n) for n, c in (("first_left", "k0"), ("first_right", "j0"), ("left_start", "_k"), ("right_start", "_j"))}
-    flat = per.select("seq_id", "ties", "closest", *at.values(), ((F.col("_j") - F.col("_k") + WINDOW) * 3).alias("distance"), *_pair_details())
-    one = flat.groupBy("seq_id").agg(
-        F.sum("ties").alias("ties"), F.min("closest").alias("closest"), F.min(F.struct("first_left", "first_right")).alias("_f"),
-        F.max(F.struct("left_start", "right_start", "distance", "left_score", "right_score", "score", "left_new", "right_new")).alias("_l"))
-    return one.select("seq_id", "ties", ((F.col("closest") + WINDOW) * 3).alias("min_distance"), "_f.*", "_l.*")
+    low, high = params.steps
+    rows = _scored(seqs, params, organism, full_serine).withColumn(
+        "like", F.row_number().over(Window.partitionBy(*_PIECE, "s").orderBy("_k")).cast("bigint"))
+    reach = _along().rowsBetween(low, high)
+
+    def packed(place: Column) -> Column:
+        return (F.col("s") * F.lit(FAR).cast("bigint") + place) * FAR + F.col("like")
+
+    rows = rows.withColumns({"near": F.max(packed(FAR - 1 - F.col("_k"))).over(reach), "far": F.max(packed(F.col("_k"))).over(reach)})
+    rows = rows.where("own and s is not null and near is not null").withColumn("r", F.expr(f"s + cast(near div {FAR * FAR} as int)"))
+    # most windows fall here, before the only shuffle after the pieces'
+    reached = rows.withColumn("most", F.max("r").over(_whole())).where("r = most").select(
+        "seq_id", "r", "s", (F.col("first") + F.col("_k")).alias("left_start"),
+        *((F.col("first") + F.expr(e)).alias(n) for n, e in (("near_start", f"{FAR - 1} - near div {FAR} % {FAR}"), ("right_start", f"far div {FAR} % {FAR}"))),
+        F.expr(f"far % {FAR} - near % {FAR} + 1").alias("n"))
+    sums = reached.groupBy("seq_id", "r").agg(
+        F.sum("n").alias("ties"), F.min(F.col("near_start") - F.col("left_start")).alias("closest"),
+        F.min(F.struct(F.col("left_start").alias("first_left"), F.col("near_start").alias("first_right"))).alias("_f"),
+        F.max(F.struct("left_start", "right_start", "s")).alias("_l"))
+    top = sums.groupBy("seq_id").agg(F.max(F.struct("r", "ties", "closest", "_f", "_l")).alias("_t")).select("seq_id", "_t.*")
+    bases = seqs.where("seq_id is not null").join(top, "seq_id")
+    new = {f"{side}_new": _recoded_bases(F.substring("seq", (F.col(f"_l.{side}_start") * 3 + 1).cast("int"), F.lit(WINDOW_BASES)), organism, full_serine)
+           for side in ("left", "right")}
+    return bases.select(
+        "seq_id", "ties", ((F.col("closest") + WINDOW) * 3).alias("min_distance"), "_f.*", "_l.left_start", "_l.right_start",
+        ((F.col("_l.right_start") - F.col("_l.left_start") + WINDOW) * 3).alias("distance"), F.col("_l.s").alias("left_score"),
+        (F.col("r") - F.col("_l.s")).alias("right_score"), F.col("r").alias("score"), *(c.alias(n) for n, c in new.items()))
 
 
 def parity_tail(seqs: DataFrame, params: TagParams, organism: str = "human", full_serine: bool = False) -> DataFrame:
@@ -312,7 +329,7 @@ def best_pairs(seqs: DataFrame, params: TagParams, mode: str = "intended", organ
     low, high = params.steps
     if mode == "intended":
         lefts = _top_records(seqs, params, organism, full_serine).withColumn("_k", F.explode("_lefts"))
-        return _pairs(lefts, F.expr("filter(sequence(near[_k], far[_k]), j -> s[j] = _top - s[_k])"), *_pair_details())
+        return _pairs(lefts, F.expr(f"filter(sequence(_k + {low}, _k + {high}), j -> get(s, j) = _top - s[_k])"), *_pair_details())
     if mode != "parity":
         raise ValueError("mode must be 'intended' or 'parity'")
     rows = _scored(seqs, params, organism, full_serine)
