@@ -71,3 +71,32 @@ def test_is_sorted_over_many_ranges(spark):
     assert tuple(is_sorted(contigs([(1, "chrUn_b", 1), (2, "chrUn_a", 2)]), "o").first()) == (False, 1)
     ordered = [r.pos for r in sort_if_needed(bad, "o", ["o"]).collect()]
     assert ordered == [p for _, p in sorted(keys)]
+
+
+def test_next_rows_over_many_ranges(spark, monkeypatch):
+    df, keys = shuffled(spark, 400)
+    for least in (O.SAMPLE_KEYS, 90):
+        # with a small sample the number of rows is read off its hashes
+        monkeypatch.setattr(O, "SAMPLE_KEYS", least)
+        rows = O.with_next(df, "k", rows_per_range=20).orderBy("row_no").collect()
+        assert [(r.k, r.row_no, r.following and r.following.k) for r in rows] == [(k, i + 1, n) for i, (k, n) in enumerate(zip(keys, [*keys[1:], None]))]
+        assert 8 <= len(O.range_cuts(df, "k", 20)) <= 60
+    assert O.with_next(df.limit(0), "k").count() == 0 and O.range_cuts(df.limit(0), "k") == []
+
+
+def test_pairs_read_one_exchange(spark):
+    from variloom.operators import cohort as C
+
+    rows = [(i, f"g{i}", "TCGA", "TCGA-GBM", f"T-02-{i // 2:04d}-{code}-01D", f"f{i}", 5, "H", "u") for i, code in enumerate(["01A", "10A", "10A", "10A", "01A"] * 9)]
+    names = ["file_gdc_id", "program_name", "project_short_name", "barcode", "file_name", "file_size", "platform", "file_gcs_url"]
+    pairs = C.pair_adjacent(spark.createDataFrame(rows, ["row_no_in", *names]), "row_no_in")
+    got = {r["index"]: (r.tumor_file, r.normal_file, r.last_barcode) for r in pairs.collect()}
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and plan.split("== Initial Plan ==")[0].count("REPARTITION_BY_NUM") <= 2
+    want = {}
+    for k in range(0, len(rows), 2):
+        side = {}
+        for r in rows[k:k + 2]:
+            side["tumor" if "-01A-" in r[4] else "normal"] = r[5]
+        want[k // 2] = (side.get("tumor"), side.get("normal"), rows[min(k + 1, len(rows) - 1)][4])
+    assert got == want

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from variloom.functions.barcode import bucket_of, cancer_type, parse_barcode, sample_key
 from variloom.functions.chrom import CHROMOSOMES, REFERENCE_SUFFIX, ref_file
-from variloom.operators.ordering import row_index
+from variloom.operators.ordering import with_next
 
 # Cancer codes reported even when nothing was counted for them.
 CANCER_CODES = ["BLCA", "BRCA", "CESC", "COAD", "DLBC", "ESCA", "GBM", "HNSC", "KICH", "KIRC",
@@ -40,18 +40,15 @@ def pair_adjacent(manifest: DataFrame, order: str) -> DataFrame:
     The first row sets case and cancer type; each row fills the side of its role, a second
     row of the same role replacing the first. A side without a row is NULL.
     """
-    role_rows = row_index(parse_barcode(manifest), order)
-    placed = role_rows.withColumn("index", F.floor((F.col("row_no") - 1) / 2))
-    odd = F.col("row_no") % 2 == 1
-    first = F.when(odd, F.struct("case_id", cancer_type(F.col("project_short_name")).alias("cancer_type")))
-    grouped = placed.groupBy("index").agg(
-        F.max_by(first, F.when(odd, F.col("row_no"))).alias("_first"),
-        F.max_by("barcode", "row_no").alias("last_barcode"),
-        *(F.max_by(_side(F.col("role"), side), F.when(F.col("role") == side, F.col("row_no"))).alias(f"_{side}")
-          for side in SIDES),
-    )
-    return grouped.select("index", "_first.*", "_tumor.*", "_normal.*", "last_barcode").withColumn(
-        "total_size", _total_size())
+    # a pair's second row is the next one: rows are exchanged once, by ranges of the order
+    numbered = with_next(parse_barcode(manifest), order)
+    second = F.col("following")
+    own, other = F.struct(*(F.col(c) for c in ("role", *SIDE_FIELDS.values()))), F.struct(*(second[c].alias(c) for c in ("role", *SIDE_FIELDS.values())))
+    firsts = numbered.where("row_no % 2 = 1")
+    return firsts.select(
+        F.floor((F.col("row_no") - 1) / 2).alias("index"), "case_id", cancer_type(F.col("project_short_name")).alias("cancer_type"),
+        *(F.when(second["role"] == side, other).when(F.col("role") == side, own)[src].alias(f"{side}_{dst}") for side in SIDES for dst, src in SIDE_FIELDS.items()),
+        F.when(second.isNull(), F.col("barcode")).otherwise(second["barcode"]).alias("last_barcode")).withColumn("total_size", _total_size())
 
 
 def pair_by_case(manifest: DataFrame, order: str, pick: str = "first") -> DataFrame:

@@ -2,8 +2,8 @@
 
 A running number or sum over a whole table is split in two: rows are put into ranges of
 the order key, each range is numbered on its own, and the ranges' totals (at most
-``MAX_RANGES`` rows) are added up to give every range its start. The cut points are
-fetched once and become literals, so every later scan puts a row into the same range.
+``MAX_RANGES`` rows) are added up to give every range its start. The cut points come from a sample of the
+keys and become literals; rows are exchanged once, on their range.
 """
 
 from __future__ import annotations
@@ -14,19 +14,41 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4096
+#: Keys of the sample that cut points are taken from, and its seed.
+SAMPLE_KEYS, SEED = 4 * MAX_RANGES, 17
+
+
+def _sample(df: DataFrame, order: str) -> list[tuple]:
+    """Keys with the smallest hashes, at most ``SAMPLE_KEYS``, with their hash as a number from 0 to 1.
+
+    Rows are thinned out by the planner's size of the input first, far less than the sample allows; if that
+    was too much the pass is run again without.
+    """
+    planned = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), order), 11) / float(1 << 53)
+    hashed = df.where(F.col(order).isNotNull()).select(F.col(order).alias("k"), chance.alias("h"))
+    # a key of an order takes 8 bytes, so there are no more rows than this unless files are packed very tightly
+    least = min(1.0, 256 * SAMPLE_KEYS / max(planned / 8, 1)) if planned < 1 << 60 else 1.0
+    drawn = hashed.where(F.col("h") < least).orderBy("h").limit(SAMPLE_KEYS).collect()
+    if len(drawn) < SAMPLE_KEYS and least < 1:
+        drawn = hashed.orderBy("h").limit(SAMPLE_KEYS).collect()
+    return [tuple(r) for r in drawn]
 
 
 def range_cuts(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> list:
     """Cut points that split ``df`` into ranges of at most about ``rows_per_range`` rows by ``order``.
 
-    There are at least as many ranges as shuffle partitions. ``order`` is a numeric column.
-    At most ``MAX_RANGES - 1`` numbers reach the driver.
+    There are at least as many ranges as shuffle partitions. ``order`` is a numeric column without many ties.
+    The sample that reaches the driver has at most ``SAMPLE_KEYS`` keys; how densely it covers the hashes tells the number of rows.
     """
+    drawn = _sample(df, order)
+    if not drawn:
+        return []
+    rows = len(drawn) if len(drawn) < SAMPLE_KEYS else SAMPLE_KEYS / max(h for _, h in drawn)
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(MAX_RANGES, max(partitions, math.ceil(df.count() / rows_per_range)))
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(order, shares, 20 * ranges).alias("cuts")).first()["cuts"]
-    return sorted(set(cuts or []))
+    ranges = min(MAX_RANGES, max(partitions, math.ceil(rows / rows_per_range)))
+    keys = sorted(k for k, _ in drawn)
+    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)})
 
 
 def range_of(key: Column, cuts: list) -> Column:
@@ -40,30 +62,29 @@ def range_of(key: Column, cuts: list) -> Column:
         lambda low, step: F.when(F.get(bounds, low + step - 1) <= key, low + step).otherwise(low))
 
 
-def _running(df: DataFrame, group: str, order: Column, sums: dict[str, Column]) -> DataFrame:
-    """Running sums over ``group`` then ``order``; there must be few distinct groups."""
-    flagged = df.withColumns({f"_v_{name}": value.cast("bigint") for name, value in sums.items()})
-    before = Window.partitionBy().orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        flagged.groupBy(group)
-        .agg(*(F.sum(f"_v_{name}").alias(f"_t_{name}") for name in sums))
-        .select(group, *(F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_s_{name}")
-                         for name in sums))
-    )
-    upto = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = flagged.withColumns({name: F.sum(f"_v_{name}").over(upto) for name in sums})
-    # one row per group: at most MAX_RANGES of them, or one per file split
-    joined = local.join(starts, group)
-    return joined.withColumns({name: F.col(name) + F.col(f"_s_{name}") for name in sums}).drop(
-        group, *(f"_v_{n}" for n in sums), *(f"_s_{n}" for n in sums))
+def _with_range(df: DataFrame, order: str, rows_per_range: int) -> tuple[DataFrame, int]:
+    """``df`` with its ``_range`` by ``order``, never null, and the number of partitions to deal ranges to."""
+    cuts = range_cuts(df, order, rows_per_range)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn("_range", F.coalesce(range_of(F.col(order), cuts), F.lit(0))), max(len(cuts) + 1, partitions)
 
 
 def running_totals(df: DataFrame, order: str, sums: dict[str, Column],
                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Add running sums in ``order`` (a numeric column without ties) over the whole table."""
-    cuts = range_cuts(df.select(order), order, rows_per_range)
-    ranged = df.withColumn("_range", range_of(F.col(order), cuts))
-    return _running(ranged, "_range", F.col(order), sums)
+    """Add running sums in ``order`` (a numeric column without ties) over the whole table.
+
+    Rows are exchanged once; the ranges' totals read the summed columns only and add up before their exchange.
+    """
+    values = {f"_v_{name}": value.cast("bigint") for name, value in sums.items()}
+    ranged, partitions = _with_range(df.withColumns(values), order, rows_per_range)
+    before = Window.partitionBy().orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_range").agg(*(F.sum(v).alias(v) for v in values))
+    # numbers only, one row per range, at most MAX_RANGES
+    starts = totals.select("_range", *(F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_s{v}") for v in values))
+    upto = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.repartition(partitions, "_range").withColumns({f"_u{v}": F.sum(v).over(upto) for v in values})
+    joined = local.join(F.broadcast(starts), "_range")
+    return joined.select(*(c for c in df.columns if c not in sums), *((F.col(f"_u_v_{n}") + F.col(f"_s_v_{n}")).alias(n) for n in sums))
 
 
 def row_index(df: DataFrame, order: str, name: str = "row_no",
@@ -72,6 +93,23 @@ def row_index(df: DataFrame, order: str, name: str = "row_no",
     return running_totals(df, order, {name: F.lit(1)}, rows_per_range)
 
 
+def with_next(df: DataFrame, order: str, name: str = "row_no", following: str = "following", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Add each row's position ``name`` and the row after it as a struct, NULL at the end; ``order`` as in :func:`row_index`.
+
+    The next row lies in the same range, or is the first one of the next range: an edge table of one row per range.
+    Rows and edges both need the rows whole, as structs, and share one exchange.
+    """
+    ranged, partitions = _with_range(df, order, rows_per_range)
+    ranged = ranged.select("_range", F.struct(*df.columns).alias("_row")).repartition(partitions, "_range")
+    inside = Window.partitionBy("_range").orderBy(f"_row.{order}")
+    local = ranged.withColumns({"_at": F.row_number().over(inside), "_next": F.lead("_row").over(inside)})
+    edges = ranged.groupBy("_range").agg(F.count("*").alias("_n"), F.min_by("_row", f"_row.{order}").alias("_first"))
+    along = Window.partitionBy().orderBy("_range")
+    edges = edges.select("_range", F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                         F.lead("_first").over(along).alias("_edge"))
+    return local.join(edges, "_range").select("_row.*", (F.col("_at") + F.col("_before")).alias(name), F.coalesce("_next", "_edge").alias(following))
+
+
 def file_row_index(df: DataFrame, name: str = "row_no", per_file: bool = False) -> DataFrame:
     """Add the 1-based line position of rows just read from text files.
 

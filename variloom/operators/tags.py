@@ -240,7 +240,8 @@ def _pair_details() -> list[Column]:
 def _top_records(seqs: DataFrame, params: TagParams, organism: str, full_serine: bool) -> DataFrame:
     """Records of the pieces that reach their sequence's highest sum ``_top``, with the windows ``_lefts`` that do.
 
-    Each piece is scored once; the sums per sequence read the exchange that the join with them reads.
+    Each piece is scored once; the sums per sequence read the exchange that the join with them reads. ``_lefts`` is
+    never empty: open it with an outer explode, another one would filter below the exchange, which is then not shared.
     """
     rows = _partnered(_scored(seqs, params, organism, full_serine), *params.steps).withColumn("r", F.expr(_REACHED_SQL))
     pieces = computed(_records(rows, "r"), "seq_id", "first", "s", "new", "r", _top=F.array_max("r"))
@@ -328,7 +329,7 @@ def best_pairs(seqs: DataFrame, params: TagParams, mode: str = "intended", organ
     """
     low, high = params.steps
     if mode == "intended":
-        lefts = _top_records(seqs, params, organism, full_serine).withColumn("_k", F.explode("_lefts"))
+        lefts = _top_records(seqs, params, organism, full_serine).withColumn("_k", F.explode_outer("_lefts"))
         return _pairs(lefts, F.expr(f"filter(sequence(_k + {low}, _k + {high}), j -> get(s, j) = _top - s[_k])"), *_pair_details())
     if mode != "parity":
         raise ValueError("mode must be 'intended' or 'parity'")
