@@ -64,20 +64,32 @@ def at_most(part: Column, whole: Column, share: float) -> Column:
 # ---- from alignments to bases ------------------------------------------------------------
 
 
+def _placed_runs() -> Column:
+    """Runs of column ``cigar`` with where each begins on the reference (``at``) and in the read (``from``), in one pass."""
+    letters = F.regexp_extract_all("cigar", F.lit("[0-9]+([MIDNSHP=X])"), F.lit(1))
+    sizes = F.transform(F.regexp_extract_all("cigar", F.lit("([0-9]+)[MIDNSHP=X]"), F.lit(1)), lambda n: n.cast("int"))
+    runs = F.filter(F.arrays_zip(letters.alias("op"), sizes.alias("size")), lambda run: run["size"] > 0)
+    place = F.struct(F.lit("").alias("op"), F.lit(0).alias("size"), F.col("pos").cast("bigint").alias("at"), F.lit(0).alias("from"))
+    on_reference, on_read = ["M", "D", "N", "=", "X"], ["M", "I", "S", "=", "X"]
+    return F.aggregate(runs, F.struct(place.alias("last"), F.array(place).alias("all")), lambda state, run: _step(state, run, on_reference, on_read),
+                       lambda state: F.slice(state["all"], 2, F.size(state["all"])))
+
+
+def aligned_runs(reads: DataFrame) -> DataFrame:
+    """Reference runs that SAM reads cover: ``chrom``, ``start``, ``size``, one row per run of matched bases."""
+    covered = F.filter(_placed_runs(), lambda run: run["op"].isin("M", "=", "X"))
+    keep = [c for c in ("sample", "role", "chrom") if c in reads.columns]
+    opened = reads.select(*keep, F.explode(F.transform(covered, lambda run: F.struct(run["at"].alias("start"), run["size"].alias("size")))).alias("_r"))
+    return opened.select(*keep, "_r.start", "_r.size")
+
+
 def expand_alignment(reads: DataFrame) -> DataFrame:
     """Aligned bases of SAM reads: one row per matched base, insertion and deletion.
 
     ``base`` is the read's base at a matched position. ``indel`` is ``+<bases>`` or
     ``-<length>`` and sits at the position before the change.
     """
-    letters = F.regexp_extract_all("cigar", F.lit("[0-9]+([MIDNSHP=X])"), F.lit(1))
-    sizes = F.transform(F.regexp_extract_all("cigar", F.lit("([0-9]+)[MIDNSHP=X]"), F.lit(1)), lambda n: n.cast("int"))
-    runs = F.filter(F.arrays_zip(letters.alias("op"), sizes.alias("size")), lambda run: run["size"] > 0)
-    place = F.struct(F.lit("").alias("op"), F.lit(0).alias("size"), F.col("pos").cast("bigint").alias("at"), F.lit(0).alias("from"))
-    on_reference, on_read = ["M", "D", "N", "=", "X"], ["M", "I", "S", "=", "X"]
-    # every run with where it begins on the reference and in the read, in one pass
-    placed = F.aggregate(runs, F.struct(place.alias("last"), F.array(place).alias("all")), lambda state, run: _step(state, run, on_reference, on_read),
-                         lambda state: F.slice(state["all"], 2, F.size(state["all"])))
+    placed = _placed_runs()
     none = F.lit(None).cast("string")
     no_quality = F.lit(None).cast("int")
 

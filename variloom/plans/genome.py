@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from variloom.functions.chrom import chrom_rank
+from variloom.operators import ordering as O
 from variloom.operators import reads as G
 from variloom.operators import somatic as P
 from variloom.operators import variants as V
@@ -125,6 +126,15 @@ def coverage_stats(v):
     return G.coverage_stats(named(v))
 
 
+@query("coverage_long", """
+select chrom, count(*) as positions, sum(depth) / count(*) as mean_depth, quantile_cont(depth, 0.5) as median_depth, max(depth) as max_depth
+ from (select chrom, place, count(*) as depth from (
+  select chrom, start + unnest(case kind when 'D' then list_concat(range(5, 13), range(15, 25)) when 'I' then range(5, 23) when 'S' then range(5, 22) else range(5, 25) end) as place
+  from {long_reads}) group by 1, 2) group by 1""")
+def coverage_long(v):
+    return G.coverage_runs(P.aligned_runs(v.long_reads))
+
+
 @query("usable_reads", "select role, chrom, count(*) as n, cast(sum(mapq) as bigint) as mapq_sum from {usable} group by 1, 2")
 def usable_reads(v):
     return G.usable_reads(named(v)).groupBy("role", "chrom").agg(
@@ -154,6 +164,38 @@ def is_sorted(v):
     return G.is_sorted(numbered.groupBy("read_no").agg(first).select("read_no", "r.chrom", "r.pos"), "read_no")
 
 
+@query("is_sorted_files", """
+select count(*) filter (where prev > place) = 0 as is_sorted, count(*) filter (where prev > place) as inversions from (
+ select place, lag(place) over (order by read_no) as prev from {placed_reads})""")
+def is_sorted_files(v):
+    numbered = named(v).withColumn("read_no", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    first = F.min(F.struct(chrom_rank(F.col("chrom")).alias("rank"), "pos", "chrom")).alias("r")
+    path = work_path(v.spark, "numbered-reads")
+    numbered.groupBy("read_no").agg(first).orderBy("read_no").select("r.chrom", "r.pos").write.parquet(path)
+    return G.is_sorted_files(v.spark.read.parquet(path))
+
+
+@query("header_sorted", """
+select l_orderkey, l_linenumber, chrom, pos, row_number() over (order by case when part < 20 then (part * 7) % 25 else 100 end, chrom, pos, l_orderkey, l_linenumber) as place
+ from (select *, case substr(chrom, 4) when 'X' then 22 when 'Y' then 23 when 'M' then 24 else cast(substr(chrom, 4) as int) - 1 end as part from {named_reads})""")
+def header_sorted(v):
+    # a header in another order than the genome's, without five of the references
+    path = work_path(v.spark, "header")
+    part = F.col("p_partkey") % 25
+    raw = F.when(part == 22, "X").when(part == 23, "Y").when(part == 24, "M").otherwise((part + 1).cast("string"))
+    named_parts = v.part.where(part < 20).select(((part * 7) % 25).alias("k"), F.concat(F.lit("@SQ\tSN:"), raw, F.lit("\tLN:1000")).alias("value")).distinct()
+    named_parts.repartitionByRange(3, "k").sortWithinPartitions("k").select("value").write.text(path)
+    reads = named(v).select("l_orderkey", "l_linenumber", "chrom", "pos")
+    ordered = G.coordinate_sort(reads, ["l_orderkey", "l_linenumber"], G.header_order(B.read_sam(v.spark, path)[0]))
+    return O.file_row_index(_written(v, ordered), "place")
+
+
+def _written(v, rows):
+    path = work_path(v.spark, "ordered")
+    rows.write.parquet(path)
+    return v.spark.read.parquet(path)
+
+
 @query("locus_join", """
 select chrom, pos, count(*) filter (where role = 'normal') as normal_depth, count(*) filter (where role = 'tumor') as tumor_depth
  from {usable} group by 1, 2""")

@@ -29,7 +29,9 @@ def read_sam(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         F.expr("substring(split_part(value, '\t', 1), 2)").alias("tag"),
         F.regexp_extract("value", "\tSN:([^\t]*)", 1).alias("raw_chrom"),
         F.regexp_extract("value", "\tLN:([0-9]+)", 1).try_cast("bigint").alias("length"),
-        F.col("value").alias("line"))
+        F.col("value").alias("line"),
+        F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+                 F.monotonically_increasing_id().alias("n")).alias("line_no"))
     parts = lines.where(~is_header & (F.col("value") != "")).select(_fields(F.col("value"), len(SAM_COLUMNS)).alias("f"))
     reads = parts.select(*(F.get("f", F.lit(i)).try_cast(kind).alias(name)
                            for i, (name, kind) in enumerate(SAM_COLUMNS.items())))
