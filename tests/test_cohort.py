@@ -153,3 +153,16 @@ def test_preview_marks_hidden_rows(spark):
     queue = spark.createDataFrame([(i,) for i in range(60)], "o int")
     assert R.queue_preview(queue, "o").where("more_hidden").count() == 50
     assert R.queue_preview(queue.limit(50), "o").where("more_hidden").count() == 0
+
+
+def test_contains_join_by_anchors_against_brute_force(spark):
+    import random
+
+    rng = random.Random(6)
+    names = sorted({"TCGA-" + "".join(rng.choice("AB-1") for _ in range(rng.randrange(0, 9))) for _ in range(60)} | {"A", "B1", "-é-", "TCGA"})
+    texts = ["".join(rng.choice(["TCGA-", "A", "B", "-", "1", "é", " "]) for _ in range(rng.randrange(0, 30))) for _ in range(400)] * 2
+    lines = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, line string")
+    wanted = spark.createDataFrame([(n, "s") for n in names], "case_id string, status string")
+    found = C.contains_join(lines, wanted)
+    assert sorted((r.n, r.case_id) for r in found.collect()) == sorted((i, n) for i, t in enumerate(texts) for n in names if n in t)
+    assert C.contains_join(lines, wanted.limit(0)).count() == 0

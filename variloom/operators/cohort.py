@@ -21,6 +21,8 @@ SIDE_FIELDS = {
     "file_size": "file_size", "platform": "platform",
 }
 SIDES = ("tumor", "normal")
+#: Characters of the grams by which ids are found in lines.
+GRAM = 8
 PAIR_COLUMNS = (["index", "case_id"] + [f"{side}_{field}" for side in SIDES for field in SIDE_FIELDS]
                 + ["cancer_type", "total_size"])
 
@@ -201,25 +203,38 @@ def count_by_cancer(df: DataFrame, codes: list[str] | None = CANCER_CODES) -> Da
     return listed.join(counts, "cancer_type", "full").fillna(0, ["n"])
 
 
-def contains_join(lines: DataFrame, ids: DataFrame, line: str = "line", key: str = "case_id") -> DataFrame:
-    """Lines that hold an id anywhere, one row per line and id row.
+def _grams(text: Column, width: Column) -> Column:
+    """All substrings of ``width`` characters, in order."""
+    starts = F.when(F.length(text) >= width, F.sequence(F.lit(1), F.length(text) - width + 1))
+    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda at: F.substring(text, at, width))
+
 
-    Instead of testing every line against every id, each line yields its distinct
-    substrings of the lengths ids have, and those are joined by equality. The distinct
-    lengths (a handful) are fetched first.
+def _anchors(ids: DataFrame, key: str) -> DataFrame:
+    """One ``gram`` for each distinct id: of its substrings of ``GRAM`` characters the one that fewest ids hold.
+
+    A shorter id is its own gram. An id without characters has none.
     """
-    lengths = sorted(r[0] for r in ids.select(F.length(key)).distinct().collect() if r[0])
-    text = F.col(line)
+    own = ids.select(F.col(key).alias("_id")).where(F.length("_id") > 0).distinct()
+    grams = own.select("_id", F.explode(F.array_distinct(_grams(F.col("_id"), F.least(F.length("_id"), F.lit(GRAM))))).alias("gram"))
+    shared = grams.groupBy("gram").agg(F.count("*").alias("_n"))
+    return grams.join(shared, "gram").groupBy("_id").agg(F.min_by("gram", F.struct("_n", "gram")).alias("gram"))
 
-    def pieces(width: int) -> Column:
-        starts = F.when(F.length(text) >= width, F.sequence(F.lit(1), F.length(text) - width + 1))
-        return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
-                           lambda at: F.substring(text, at, F.lit(width)))
 
-    if not lengths:
-        return lines.join(ids, F.lit(False))
-    found = F.array_distinct(F.flatten(F.array(*(pieces(w) for w in lengths))))
-    return lines.withColumn(key, F.explode(found)).join(ids, key)
+def contains_join(lines: DataFrame, ids: DataFrame, line: str = "line", key: str = "case_id") -> DataFrame:
+    """Lines that hold an id anywhere, one row per line and id row; an empty id is in no line.
+
+    Each id waits at an anchor, its rarest gram. A line's distinct grams meet the anchors as a hash of the line only;
+    the few pairs found are then joined with the lines, and only those whose line does contain the id
+    stay, so neither equal hashes nor common grams can add a row.
+    """
+    text = F.col(line)
+    # at most GRAM different widths, fetched by the same query
+    widths = ids.where(F.length(key) > 0).agg(F.collect_set(F.least(F.length(key), F.lit(GRAM)))).scalar()
+    marked = lines.select(F.xxhash64(line).alias("_line"), widths.alias("_widths"), text.alias("_text"))
+    grams = marked.select("_line", F.explode(F.array_distinct(F.flatten(F.transform("_widths", lambda w: _grams(F.col("_text"), w))))).alias("gram"))
+    met = grams.join(_anchors(ids, key), "gram").select("_line", "_id").distinct()
+    held = lines.drop(key).withColumn("_line", F.xxhash64(line)).join(met, "_line").where(F.contains(text, F.col("_id")))
+    return held.drop("_line").withColumnRenamed("_id", key).join(ids, key)
 
 
 def expand_units(pairs: DataFrame, references: list[str] | None = None) -> DataFrame:
