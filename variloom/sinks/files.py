@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from variloom.operators.cohort import write_ready
 from variloom.operators.runstate import reset_plan
+from variloom.session import work_path
 
 
 def _balanced(df: DataFrame, *keys: str) -> DataFrame:
@@ -50,9 +51,13 @@ VCF_HEADER = "\n".join([
 def publish_vcf(lines: DataFrame, path: str) -> None:
     """Variant lines as compressed text, one folder per sample and kind.
 
-    The part files of a folder are in order by name and inside; the first begins with the header.
+    The part files of a folder are in order by name and inside; the first begins with the header. The lines are put
+    down once, so headers, their sample of the sort and the sort itself do not make the calls again.
     """
     order = ["sample", "kind", "_body", "chrom", "pos", "ref", "alt"]
+    made = work_path(lines.sparkSession, "vcf-lines")
+    lines.write.parquet(made)
+    lines = lines.sparkSession.read.schema(lines.schema).parquet(made)
     rows = lines.select("sample", "kind", F.lit(1).alias("_body"), "chrom", "pos", "ref", "alt", "line")
     none = F.lit(None)
     heads = lines.select("sample", "kind").distinct().select(
