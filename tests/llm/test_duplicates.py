@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from variloom.llm import embeddings, minhash, suffixes
 from variloom.llm.components import Forest, components
@@ -164,3 +165,14 @@ def test_two_stage_order_is_the_suffix_order():
         assert sorted(got.tolist()) == wanted.tolist()
         keys = [raw[i:i + 40] for i in got.tolist()]
         assert keys == sorted(keys)
+
+
+def test_one_row_of_each_group_stays_and_no_other_text_goes(spark):
+    words = [f"w{i}" for i in range(60)]
+    copy, near, unique = " ".join(words), " ".join([*words[:-1], "end"]), "a text of its own that shares nothing with any other one here"
+    rows = [(7, unique), (7, copy), (3, near), (3, near), (None, copy), (None, "x " + unique[::-1]), (None, "x " + unique[::-1]), (5, None), (5, ""), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("row", "node", "gone", "_gone", "bands", "component_id", "kept", "size")})
+    out = minhash.distinct_documents(df)
+    assert out.columns == df.columns
+    got = sorted(map(repr, ((r.doc_id, r.text) for r in out.collect())))
+    assert got == sorted(map(repr, [(7, unique), (3, near), (None, "x " + unique[::-1]), (5, None), (5, ""), (9, None)]))

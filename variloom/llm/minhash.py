@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from variloom.llm.components import Forest
 from variloom.llm.linking import link
-from variloom.llm.tables import pick, settle
+from variloom.llm.tables import pick, settle, spare
 from variloom.llm.textbytes import NOT_SPACE, gram_hashes, lower, mix, signed, spans, text_runs, word_hashes
 
 BANDS, ROWS = 28, 6
@@ -172,8 +172,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, doc_
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def distinct_documents(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The documents kept by ``near_duplicates``, with all their columns; rows of one id stay or go together."""
-    groups = near_duplicates(docs, size, threshold)
-    gone = groups.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+def distinct_documents(docs: DataFrame, size: int = 5, threshold: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group of near copies, with all its columns: the row of the smallest id, null ids last.
+
+    Rows are told apart by a number of their own, so a text stays whatever else its id stands for, and of equal rows,
+    of null ids too, one stays. Texts without words link with nothing: all of them stay.
+    """
+    row = spare(docs, "row")
+    rows = settle(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows, size, threshold, doc_id=row, text=text).select(F.col("doc_id").alias("row"), "component_id")
+    own = pick(rows, row=row, doc_id=doc_id).join(groups, "row")
+    first = own.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    return rows.join(first.select(F.col("first.row").alias(row)), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
