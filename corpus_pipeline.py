@@ -6,6 +6,8 @@ Each stage takes the documents that the one before kept. All but the last give t
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +18,32 @@ from variloom.llm.tables import settle, table
 LEAST_COSINE = 0.03
 
 
+#: Columns of ``documents``; a stage carries any others through as one struct, so no name of theirs meets an operator's.
+COLUMNS, REST = ("doc_id", "text", "lang", "source", "n_chars"), "rest_of_row"
+
+
+def carried(stage):
+    """The stage on the columns of ``documents``, further columns unchanged beside them."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        more = [c for c in docs.columns if c not in COLUMNS]
+        own = [c for c in docs.columns if c in COLUMNS]
+        if not more:
+            return stage(spark, docs, sf_dir)
+        out = stage(spark, docs.select(*own, F.struct(*[F.col(f"`{c}`") for c in more]).alias(REST)), sf_dir)
+        return out.select(*[F.col(c) if c in own else F.col(f"`{REST}`.`{c}`") for c in docs.columns])
+
+    return run_stage
+
+
+@carried
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; a missing label is filled in. Others, and those without a letter, go."""
     found = langid.predict(docs, *langid.learn(docs)).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_COSINE))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
+@carried
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; those that lost all their words go."""
     cut = linededup.drop_repeated_lines(docs)
@@ -29,11 +51,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@carried
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8."""
     return minhash.distinct_documents(docs)
 
 
+@carried
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with benchmark passages."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
