@@ -30,8 +30,8 @@ def carried(stage):
         own = [c for c in docs.columns if c in COLUMNS]
         if not more:
             return stage(spark, docs, sf_dir)
-        out = stage(spark, docs.select(*own, F.struct(*[F.col(f"`{c}`") for c in more]).alias(REST)), sf_dir)
-        return out.select(*[F.col(c) if c in own else F.col(f"`{REST}`.`{c}`") for c in docs.columns])
+        out = stage(spark, docs.select(*own, F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(more)]).alias(REST)), sf_dir)
+        return out.select(*[F.col(c) if c in own else F.col(f"{REST}.c{more.index(c)}").alias(c) for c in docs.columns])
 
     return run_stage
 
