@@ -43,12 +43,12 @@ def pair_adjacent(manifest: DataFrame, order: str) -> DataFrame:
     row of the same role replacing the first. A side without a row is NULL.
     """
     # a pair's second row is the next one: rows are exchanged once, by ranges of the order
-    numbered = with_next(parse_barcode(manifest), order)
-    second = F.col("following")
+    numbered = with_next(parse_barcode(manifest), order, "_place", "_following")
+    second = F.col("_following")
     own, other = F.struct(*(F.col(c) for c in ("role", *SIDE_FIELDS.values()))), F.struct(*(second[c].alias(c) for c in ("role", *SIDE_FIELDS.values())))
-    firsts = numbered.where("row_no % 2 = 1")
+    firsts = numbered.where("_place % 2 = 1")
     return firsts.select(
-        F.floor((F.col("row_no") - 1) / 2).alias("index"), "case_id", cancer_type(F.col("project_short_name")).alias("cancer_type"),
+        F.floor((F.col("_place") - 1) / 2).alias("index"), "case_id", cancer_type(F.col("project_short_name")).alias("cancer_type"),
         *(F.when(second["role"] == side, other).when(F.col("role") == side, own)[src].alias(f"{side}_{dst}") for side in SIDES for dst, src in SIDE_FIELDS.items()),
         F.when(second.isNull(), F.col("barcode")).otherwise(second["barcode"]).alias("last_barcode")).withColumn("total_size", _total_size())
 

@@ -164,17 +164,6 @@ def is_sorted(v):
     return G.is_sorted(numbered.groupBy("read_no").agg(first).select("read_no", "r.chrom", "r.pos"), "read_no")
 
 
-@query("is_sorted_files", """
-select count(*) filter (where prev > place) = 0 as is_sorted, count(*) filter (where prev > place) as inversions from (
- select place, lag(place) over (order by read_no) as prev from {placed_reads})""")
-def is_sorted_files(v):
-    numbered = named(v).withColumn("read_no", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-    first = F.min(F.struct(chrom_rank(F.col("chrom")).alias("rank"), "pos", "chrom")).alias("r")
-    path = work_path(v.spark, "numbered-reads")
-    numbered.groupBy("read_no").agg(first).orderBy("read_no").select("r.chrom", "r.pos").write.parquet(path)
-    return G.is_sorted_files(v.spark.read.parquet(path))
-
-
 @query("header_sorted", """
 select l_orderkey, l_linenumber, chrom, pos, row_number() over (order by case when part < 20 then (part * 7) % 25 else 100 end, chrom, pos, l_orderkey, l_linenumber) as place
  from (select *, case substr(chrom, 4) when 'X' then 22 when 'Y' then 23 when 'M' then 24 else cast(substr(chrom, 4) as int) - 1 end as part from {named_reads})""")
