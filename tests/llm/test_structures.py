@@ -209,3 +209,22 @@ def test_visits_fall_and_bound_every_score():
     rng = np.random.default_rng(4)
     order = list(negatives.visits(rng.normal(size=7), rng.normal(size=5)))
     assert len({(i, j) for _, i, j in order}) == 35 and all(a[0] >= b[0] for a, b in zip(order, order[1:]))
+
+
+# ---------------------------------------------------------------- preference pairs
+
+
+def test_repeated_pairs_and_negative_ids(spark):
+    from variloom.llm import chat
+
+    turns = [(c, t, role, f"{c}:{t if c < 5 else 0}") for c in (-2, -1, 0, 1) for t, role in enumerate(("user", "assistant", "user", "assistant"))]
+    frame = spark.createDataFrame([*turns, (None, 0, "user", "lost")], "conv_id long, turn long, role string, text string")
+    made, pairs = chat.swapped_endings(frame)
+    rows = {r.pair_id: r for r in chat.preference_pairs(made, pairs.unionByName(pairs)).collect()}
+    assert sorted(rows) == [-2, -1, 0, 1]
+    for c, r in rows.items():
+        own = [f"<|im_start|>{role}\n{text}<|im_end|>\n" for conv, _, role, text in turns if conv == c]
+        assert (r.prompt_turns, r.prompt, r.chosen) == (3, "".join(own[:3]), own[3])
+        assert r.rejected == f"<|im_start|>assistant\n{c ^ 1}:3<|im_end|>\n" and len(r.chosen_mask) == len(r.rejected_mask) == 1
+    two = spark.createDataFrame([(1, 0, 1), (1, -2, 1)], "pair_id long, chosen long, rejected long")
+    assert [r.chosen.count("-2:") for r in chat.preference_pairs(frame, two).collect()] == [4]

@@ -11,7 +11,7 @@ Everything is DataFrame functions. Turns stay single rows until a pair's three s
 Cases: turns are numbered in the order of turn, role and text, nulls first, so gaps, ties and
 repeated rows are turns like others; a null role or text is rendered as empty and equals only a null;
 a pair with a null or unknown conversation on a side has no turns there; pairs without any turn still
-give a row of empty strings; repeated pair ids are an error of the caller and are merged; empty tables
+give a row of empty strings; of rows that share a pair id the least by chosen and rejected counts; empty tables
 give an empty result; further columns are not read.
 """
 
@@ -39,7 +39,7 @@ def preference_pairs(turns: DataFrame, pairs: DataFrame, conv_id: str = "conv_id
     rows = pick(turns, conv=conv_id, turn=turn, role=role, text=text)
     order = Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
     rows = rows.where("conv is not null").withColumn("k", F.row_number().over(order))
-    asked = pick(pairs, pair_id="pair_id", chosen="chosen", rejected="rejected")
+    asked = pick(pairs, pair_id="pair_id", chosen="chosen", rejected="rejected").groupBy("pair_id").agg(F.min(F.struct("chosen", "rejected")).alias("p")).select("pair_id", "p.*")
     sides = asked.select("pair_id", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("chosen").alias("conv")),
                                                       F.struct(F.lit(1).alias("side"), F.col("rejected").alias("conv")))).alias("s")).select("pair_id", "s.*")
     placed = sides.join(rows, "conv").select("pair_id", "side", "k", "role", "text")
@@ -64,7 +64,7 @@ def preference_pairs(turns: DataFrame, pairs: DataFrame, conv_id: str = "conv_id
     done = parts.groupBy("pair_id").agg(F.first("shared").alias("prompt_turns"), joined(0, False).alias("prompt"), joined(0, True).alias("chosen"),
                                         joined(1, True).alias("rejected"), mask(0).alias("chosen_mask"), mask(1).alias("rejected_mask"))
     empty = F.lit("")
-    return asked.select("pair_id").distinct().join(done, "pair_id", "left").select(
+    return asked.select("pair_id").join(done, "pair_id", "left").select(
         "pair_id", F.coalesce("prompt_turns", F.lit(0)).alias("prompt_turns"), *[F.coalesce(c, empty).alias(c) for c in ("prompt", "chosen", "rejected")],
         *[F.coalesce(c, F.expr("cast(array() as array<struct<begin:bigint,end:bigint>>)")).alias(c) for c in ("chosen_mask", "rejected_mask")])
 
@@ -72,13 +72,18 @@ def preference_pairs(turns: DataFrame, pairs: DataFrame, conv_id: str = "conv_id
 def swapped_endings(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Turns and pairs from plain conversations: the rejected one ends like the neighbouring conversation.
 
-    A conversation c with an assistant turn is chosen; its rejected copy (id -1 - c) has c's turns before
-    c's last assistant turn and from there on the turns of conversation c xor 1.
+    A conversation c with an assistant turn is chosen; its rejected copy has c's turns before
+    c's last assistant turn and from there on the turns of conversation c xor 1. Ids are (``copy``, ``id``), so a
+    copy's never meets a conversation's own, negative ones included.
     """
-    rows = turns.select("conv_id", "turn", "role", "text")
-    last = rows.where("role = 'assistant' and conv_id is not null").groupBy("conv_id").agg(F.max("turn").alias("cut"))
-    front = rows.join(last, "conv_id").where("turn < cut").select((-1 - F.col("conv_id")).alias("conv_id"), "turn", "role", "text")
+    rows = turns.select("conv_id", "turn", "role", "text").where("conv_id is not null")
+    last = rows.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("cut"))
+    front = rows.join(last, "conv_id").where("turn < cut")
     back = last.select(F.col("conv_id").alias("own"), F.expr("conv_id ^ 1L").alias("conv_id"), "cut").join(rows, "conv_id").where("turn >= cut")
-    back = back.select((-1 - F.col("own")).alias("conv_id"), "turn", "role", "text")
-    pairs = last.select(F.col("conv_id").alias("pair_id"), F.col("conv_id").alias("chosen"), (-1 - F.col("conv_id")).alias("rejected"))
-    return rows.unionByName(front).unionByName(back), pairs
+
+    def named(copy: int, conv: str = "conv_id") -> Column:
+        return F.struct(F.lit(copy).alias("copy"), F.col(conv).cast("long").alias("id"))
+
+    parts = [part.select(named(copy, conv).alias("conv_id"), "turn", "role", "text") for part, copy, conv in ((rows, 0, "conv_id"), (front, 1, "conv_id"), (back, 1, "own"))]
+    pairs = last.select(F.col("conv_id").alias("pair_id"), named(0).alias("chosen"), named(1).alias("rejected"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]), pairs
