@@ -1,6 +1,7 @@
 """Connected components of a table of edges, by alternating large and small stars.
 
-Edges first shrink to a spanning forest inside each partition of about ``PART`` edges; then every
+Edges are dealt by their larger node and shrink to a spanning forest inside each partition of about
+``PART`` edges, so a node that is never the smaller one leaves one partition, once; then every
 round hangs neighbours on the smallest one they know, until each node hangs directly on its root.
 Each round is written to the shared folder. Nothing but counts reaches the driver.
 """
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from variloom.llm.tables import settle
 
-PART = 50_000
+PART = 200_000
 
 
 class Forest:
@@ -48,13 +49,13 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             forest.join(a, b)
-    nodes = list(forest.up)
+    nodes = [x for x in forest.up if forest.root(x) != x]
     yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([forest.root(x) for x in nodes], pa.int64())], ["a", "b"])
 
 
 def _shrunk(edges: DataFrame, count: int) -> DataFrame:
     parts = max(1, -(-count // PART))
-    return edges.coalesce(parts).mapInArrow(_forest, "a long, b long")
+    return edges.repartition(parts, "a").mapInArrow(_forest, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def components(edges: DataFrame) -> DataFrame:
     Loops, nulls and repeated edges are no harm; an empty table gives an empty one.
     """
     x, y = edges.columns[:2]
-    own = edges.where(F.col(x) != F.col(y)).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
+    own = edges.where(F.col(x) != F.col(y)).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
     own = settle(own, "edges")
     own = settle(_shrunk(own, own.count()), "forest")
     while not _stars(own):
