@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +47,12 @@ FEW = 8
 WIDE = 8192
 #: Counters of runs of three characters, to rule out pairs before their edit distance is taken.
 BINS = 512
+#: Lines of a chunk at most, and keys that a part of all keys should have.
+CHUNK, PART_KEYS = 1 << 14, 1 << 21
+#: States of a key's entry: to be judged by its part, already known to be shared, standing for those of its chunk.
+OPEN, PASSED, MET = 0, 1, 2
+#: Lines of a task, as bits.
+TASK_BITS = 39
 #: Bytes of text hashed at once.
 RUN = 512 << 10
 
@@ -123,13 +130,8 @@ def simhash(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.concatenate((_simhash(words, bounds).astype(_U), pairs), axis=1)
 
 
-def _cut(keys: np.ndarray) -> np.ndarray:
-    """The lower five bytes of each key."""
-    return np.ascontiguousarray(keys).view(np.uint8).reshape(*keys.shape, 8)[..., :5]
-
-
-def run_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Five bytes for each band over the runs of each short line; nothing for the other lines."""
+def run_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines are short, and the bands over the runs of each of them."""
     lengths = ends - starts
     before = np.concatenate(([0], np.cumsum(lengths + 1)))
     flat = np.full(before[-1] + 4, 0x20, np.uint8)
@@ -140,10 +142,18 @@ def run_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.
     short = np.flatnonzero((sizes >= TINY) & (sizes <= SHORT))
     at = _parts(begin[short], sizes[short] - 4)
     place = (at - np.repeat(begin[short], sizes[short] - 4)) // PLACE
-    out = [b""] * len(sizes)
-    for i, x in zip(short.tolist(), _cut(bands(mix(runs[at] | place.astype(_U) << _U(40)), sizes[short] - 4))):
-        out[i] = x.tobytes()
-    return out
+    return short, bands(mix(runs[at] | place.astype(_U) << _U(40)), sizes[short] - 4)
+
+
+def _entries(words: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """All keys of the lines between ``bounds``: the key in the upper 48 bits, the line's place in the lower 14; sorted."""
+    sim = simhash(words, bounds)
+    short, runs = run_keys(data, starts, ends, bounds)
+    column = lambda k, n: mix(np.arange(k + 1, k + n + 1, dtype=_U))
+    place = np.arange(len(sim), dtype=_U)[:, None]
+    low = _U((1 << 16) - 1)
+    both = (mix(sim + column(0, sim.shape[1])) & ~low | place, mix(runs + column(sim.shape[1], BANDS)) & ~low | place[short])
+    return np.sort(np.concatenate([x.ravel() for x in both]))
 
 
 def _key(run, i: int) -> int:
@@ -151,7 +161,7 @@ def _key(run, i: int) -> int:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``doc`` (content key), ``no``, ``line`` (64 bits of its words) and its SimHash for lines with words."""
+    """``doc_id``, ``doc`` (content key), ``no`` and ``line`` (64 bits of its words) for lines with words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,14 +172,12 @@ def _lines(docs: DataFrame) -> DataFrame:
                 starts, ends, bounds, first = _line_words(r)
                 words = word_hashes(r.data, starts, ends)
                 full = np.flatnonzero(np.diff(bounds) > 0)
-                sim, runs = simhash(words, bounds)[full], run_keys(r.data, starts, ends, bounds)
                 owner = np.searchsorted(first, full, "right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(owner + r.first)), pa.array(keys[owner]), pa.array((full - first[owner]).astype(np.int32)),
-                     pa.array(signed(_sequence(words, bounds)[full])), pa.array([x.tobytes() + y.tobytes() + runs[i] for i, x, y in zip(full.tolist(), sim[:, :BLOCKS].astype(np.uint32), _cut(sim[:, BLOCKS:]))], pa.binary())],
-                    ["doc_id", "doc", "no", "line", "sim"])
+                     pa.array(signed(_sequence(words, bounds)[full]))], ["doc_id", "doc", "no", "line"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, doc long, no int, line long, sim binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, doc long, no int, line long")
 
 
 def _sequence(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -202,20 +210,79 @@ def normalised(line: bytes) -> str:
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id``, ``payload`` (normalised line) and ``weight`` for the lines at (``doc``, ``no``) of ``wanted``."""
-    places = wanted.groupBy("doc").agg(F.collect_list(F.struct("no", "id")).alias("w"))
+    """``id`` (consecutive in a task), ``line``, ``payload`` (normalised line) and ``weight`` for the lines at (``doc``, ``no``) of ``wanted``."""
+    places = wanted.groupBy("doc").agg(F.collect_list(F.struct("no", "line")).alias("w"))
+    # copies of a text go before they are sent
+    texts = _packed(docs).groupBy("doc").agg(F.first("packed").alias("packed"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << TASK_BITS
         for batch in batches:
-            ids, lines = [], []
-            for packed, places in zip(*[batch.column(i).to_pylist() for i in range(2)]):
-                raw = zstandard.decompress(packed).split(b"\n") if packed else [b""]
-                ids += [p["id"] for p in places]
-                lines += [normalised(raw[p["no"]]) for p in places]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.string()), pa.array([len(x) for x in lines], pa.int64())],
-                                             ["id", "payload", "weight"])
+            for begin in range(0, batch.num_rows, 256):
+                ids, lines = [], []
+                for packed, places in zip(*[batch.column(i).slice(begin, 256).to_pylist() for i in range(2)]):
+                    raw = zstandard.decompress(packed).split(b"\n") if packed else [b""]
+                    ids += [p["line"] for p in places]
+                    lines += [normalised(raw[p["no"]]) for p in places]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + len(ids))), pa.array(ids, pa.int64()), pa.array(lines, pa.string()),
+                                                  pa.array([len(x) for x in lines], pa.int64())], ["id", "line", "payload", "weight"])
+                at += len(ids)
 
-    return _packed(docs).join(places, "doc").select("packed", "w").mapInArrow(run, "id long, payload string, weight long")
+    return texts.join(places, "doc").select("packed", "w").mapInArrow(run, "id long, line long, payload string, weight long")
+
+
+def shared_keys(body: DataFrame, parts: int) -> DataFrame:
+    """``key`` and ``id`` of the keys that at least two lines of ``body`` (``id``, ``payload``) have.
+
+    Keys are hashed into ``parts``; a part gets, for each chunk of lines, a blob of eight bytes a key. Keys that
+    several lines of a chunk share are known to be shared: all but one go to parts by key and chunk, to be passed on only.
+    """
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            breaks = np.flatnonzero(np.diff(ids) != 1) + 1
+            for a, b in zip([0, *breaks.tolist()], [*breaks.tolist(), len(ids)]):
+                for c in range(a, b, CHUNK):
+                    for r in text_runs(batch.column(1).slice(c, min(b - c, CHUNK)), RUN):
+                        base = int(ids[c + r.first])
+                        starts, ends, bounds = spans(r, WORDLIKE)
+                        yield _dealt(_entries(word_hashes(r.data, starts, ends), r.data, starts, ends, bounds), base, parts)
+
+    def gather(part: pa.Table) -> pa.Table:
+        blobs = [np.frombuffer(x, _U) for x in part.column("entries").to_pylist()]
+        base = np.repeat(part.column("base").to_numpy(), [len(x) for x in blobs])
+        entries = np.concatenate(blobs)
+        key, state, ids = entries >> _U(16), entries >> _U(14) & _U(3), base + (entries & _U((1 << 14) - 1)).astype(np.int64)
+        passed = state == PASSED
+        judged = np.flatnonzero(~passed)
+        judged = judged[np.argsort(key[judged], kind="stable")]
+        same = key[judged][1:] == key[judged][:-1]
+        twice = np.append(same, False) | np.insert(same, 0, False) if len(judged) else np.zeros(0, bool)
+        found = judged[twice & (state[judged] == OPEN)]
+        out = np.concatenate((np.flatnonzero(passed), found))
+        return pa.table({"key": pa.array(signed(key[out])), "id": pa.array(ids[out])})
+
+    dealt = body.select("id", "payload").mapInArrow(deal, "part int, base long, entries binary")
+    return dealt.groupBy("part").applyInArrow(gather, "key long, id long")
+
+
+def _dealt(entries: np.ndarray, base: int, parts: int) -> pa.RecordBatch:
+    """A chunk's sorted entries by part, those of keys shared inside the chunk passed on and one of each left to be met."""
+    key = entries >> _U(16)
+    same = np.append(key[1:] == key[:-1], False)[:len(key)]
+    again = np.insert(same[:-1], 0, False)[:len(key)]
+    shared = same | again
+    part = (mix(key) % _U(parts)).astype(np.int32)
+    salted = (mix(key[shared] + mix(np.array([base], np.int64).view(_U))) % _U(parts)).astype(np.int32)
+    lead = same & ~again
+    part = np.concatenate((part[~shared], salted, part[lead]))
+    entries = np.concatenate((entries[~shared], entries[shared] | _U(PASSED << 14), entries[lead] | _U(MET << 14)))
+    order = np.argsort(part, kind="stable")
+    part, entries = part[order], entries[order]
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(part)])) if len(part) else np.zeros(1, np.int64)
+    blobs = [entries[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]) if blobs else pa.array([], pa.int32()), pa.array([base] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())],
+                                      ["part", "base", "entries"])
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -326,17 +393,13 @@ def line_groups(docs: DataFrame, similarity: float = 0.9) -> DataFrame:
     """``doc_id``, ``doc``, ``no``, ``line`` and ``group`` of every line with words, from ``doc_id`` and ``text``."""
     tenths = round(similarity * 1000)
     lines = settle(_lines(docs), "lines")
-    node = lines.groupBy("line").agg(F.first("sim").alias("sim"), F.min(F.struct("doc", "no")).alias("one"))
-    node = settle(node.select(F.col("line").alias("id"), "sim", "one.doc", "one.no"), "nodes")
-    blocks = [F.xxhash64(F.substring("sim", 4 * k + 1, 4), F.lit(k)) for k in range(BLOCKS)]
-    for k in range(2 * BANDS):
-        band = F.substring("sim", 4 * BLOCKS + 5 * k + 1, 5)
-        blocks.append(F.when((F.length(band) == 5) & (band != F.lit(bytes(5))), F.xxhash64(band, F.lit(BLOCKS + k))))
-    keys = node.select("id", F.explode(F.filter(F.array(*blocks), lambda x: x.isNotNull())).alias("key"))
+    node = lines.groupBy("line").agg(F.min(F.struct("doc", "no")).alias("one"))
+    body = settle(_bodies(docs, node.select("line", "one.doc", "one.no")), "bodies")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), body.count() * (BLOCKS + 2 * BANDS) // PART_KEYS + 1)
+    keys = settle(shared_keys(body, parts), "keys")
 
     def payloads(ids: DataFrame) -> DataFrame:
-        rows = _bodies(docs, node.select("id", "doc", "no").join(ids, "id", "left_semi"))
-        return rows.groupBy("id").agg(F.first("payload").alias("payload"), F.first("weight").alias("weight"))
+        return body.select("id", "payload", "weight").join(ids, "id", "left_semi")
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -352,8 +415,10 @@ def line_groups(docs: DataFrame, similarity: float = 0.9) -> DataFrame:
         return (short & (F.call_function("levenshtein", F.when(short, a), F.when(short, b), most) >= 0)) | alike(F.when(long_, a), F.when(long_, b))
 
     groups = link(keys, payloads, similar, _within(tenths), 1 << 20)
-    return lines.drop("sim").join(groups.select(F.col("node").alias("line"), F.col("component").alias("group")), "line", "left").withColumn(
-        "group", F.coalesce("group", "line"))
+    # a group is known by the line of its smallest id
+    named = groups.join(body.select(F.col("id").alias("node"), "line"), "node").select("component", "line")
+    name = groups.select("component").distinct().join(body.select(F.col("id").alias("component"), F.col("line").alias("group")), "component")
+    return lines.join(named.join(name, "component").select("line", "group"), "line", "left").withColumn("group", F.coalesce("group", "line"))
 
 
 def drop_repeated_lines(docs: DataFrame, similarity: float = 0.9) -> DataFrame:
