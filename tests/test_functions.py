@@ -54,6 +54,13 @@ def test_times(spark):
         "NA", "Fri Jul 14 02:40:00 2017", "NA"]
 
 
+def test_times_of_late_years_have_no_sign(spark):
+    seconds = [253402300799, 253402300800, 3110400000000, 19440000000000, 1, -86400]
+    assert values(spark, [(s,) for s in seconds], "t bigint", L.format_epoch(F.col("t"))) == [
+        "Fri Dec 31 23:59:59 9999", "Sat Jan 01 00:00:00 10000", "Fri Aug 27 00:00:00 100534", "Fri Jan 29 00:00:00 617999",
+        "Thu Jan 01 00:00:01 1970", "Wed Dec 31 00:00:00 1969"]
+
+
 def test_node_labels(spark):
     states = [("DRAINED",), ("MAINT",), ("MIXED",), ("IDLE",), ("BOOT_FAIL",)]
     assert values(spark, states, "s string", L.node_label(F.col("s"))) == ["alert", "warning", "success", "primary", "secondary"]

@@ -17,9 +17,11 @@ NODE_LABELS = {
     "primary": ["IDLE"],
 }
 
-# Text for a missing time, and the time layout.
+# Text for a missing time, the time layout before the year, and the seconds after which the calendar
+# repeats with its weekdays (400 years).
 NO_TIME = "NA"
-TIME_LAYOUT = "EEE MMM dd HH:mm:ss yyyy"
+TIME_LAYOUT = "EEE MMM dd HH:mm:ss"
+CYCLE_SECONDS, CYCLE_YEARS = 146_097 * 86_400, 400
 
 
 def human_size(size: Column) -> Column:
@@ -41,8 +43,17 @@ def size_unit(size: Column) -> Column:
 
 
 def format_epoch(seconds: Column) -> Column:
-    """UTC time text of epoch seconds; 0 or NULL gives ``NA``. Needs session time zone UTC."""
-    shown = F.date_format(F.timestamp_seconds(seconds), TIME_LAYOUT)
+    """UTC time text of epoch seconds; 0 or NULL gives ``NA``. Needs session time zone UTC.
+
+    The year has four digits, or more when it is later than 9999, without a sign. The time is formatted within one cycle
+    of the calendar, so no number of seconds is beyond the range of timestamps.
+    """
+    whole = seconds.cast("bigint")
+    inside = F.pmod(whole, F.lit(CYCLE_SECONDS))
+    cycles = F.call_function("div", whole - inside, F.lit(CYCLE_SECONDS))
+    at = F.timestamp_seconds(inside)
+    year = F.year(at) + cycles * CYCLE_YEARS
+    shown = F.concat(F.date_format(at, TIME_LAYOUT), F.format_string(" %04d", year))
     return F.when(F.coalesce(seconds, F.lit(0)) == 0, NO_TIME).otherwise(shown)
 
 
