@@ -93,6 +93,24 @@ def test_germline_insertion(spark, tmp_path):
     assert [(r.pos, r.ref, r.alt, r.status, r.hc) for r in indels.collect()] == [(4, "T", "TGG", "Germline", True)]
 
 
+def test_changes_alone_and_reads_dealt_by_place(spark, tmp_path):
+    rows = [row(f"{i}", 16 * (i % 2), 1 + i % 7, c, s) for i, (c, s) in enumerate(
+        [("12M", REF[:12]), ("4M2I6M", "ACGTGGACGTAC"), ("7M2D3M", REF[:10]), ("0I3M0D", "ACG"), ("*", "*")] * 8)]
+    told = G.reheader(sam(spark, tmp_path, rows)[1]).withColumns({"sample": F.lit("S"), "role": F.lit("tumor")})
+    bases, changes = P.expand_alignment(told), P.expand_changes(told)
+    assert sorted(map(str, changes.collect())) == sorted(map(str, bases.where("indel is not null").collect()))
+    # reads without a change are left out before they are opened
+    assert ", [ID])" in changes._jdf.queryExecution().optimizedPlan().toString()
+    near = P.pileup(P.expand_alignment(P.near_reads(told), P.MATCHED))
+    assert "RebalancePartitions" in near._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(near.collect()) == sorted(P.pileup(bases).collect())
+    # depths come from a pileup without reference bases
+    blocks = spark.createDataFrame([("chr1", 0, REF)], "chrom string, block bigint, bases string")
+    plain = P.indel_counts(changes, near, blocks, 1000)
+    assert sorted(plain.collect()) == sorted(P.indel_counts(bases, P.with_reference(near, blocks, 1000), blocks, 1000).collect())
+    assert plain.count() > 0
+
+
 def counts(spark, *rows):
     named = [("S", "chr1", i, "A", "C", *r, r[0] + r[1], r[2] + r[3]) for i, r in enumerate(rows)]
     return spark.createDataFrame(named, "sample string, chrom string, pos bigint, ref string, alt string, n_ref bigint, "

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from variloom.functions.stats import fisher_one_tailed, hypergeometric_tail
-from variloom.operators.base import computed
+from variloom.operators.base import computed, partitions_for
 from variloom.operators.reads import REVERSE
 
 BASES = ["A", "C", "G", "T"]
 ROLES = {"n": "normal", "t": "tumor"}
 LOCUS = ["sample", "chrom", "pos"]
+#: Matched bases of a CIGAR text.
+MATCHED = ("M", "=", "X")
+#: Bases of a genome bin that reads are dealt by.
+BIN_BASES = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -64,56 +70,72 @@ def at_most(part: Column, whole: Column, share: float) -> Column:
 # ---- from alignments to bases ------------------------------------------------------------
 
 
-def _placed_runs() -> Column:
-    """Runs of column ``cigar`` with where each begins on the reference (``at``) and in the read (``from``), in one pass."""
-    letters = F.regexp_extract_all("cigar", F.lit("[0-9]+([MIDNSHP=X])"), F.lit(1))
-    sizes = F.transform(F.regexp_extract_all("cigar", F.lit("([0-9]+)[MIDNSHP=X]"), F.lit(1)), lambda n: n.cast("int"))
-    runs = F.filter(F.arrays_zip(letters.alias("op"), sizes.alias("size")), lambda run: run["size"] > 0)
-    place = F.struct(F.lit("").alias("op"), F.lit(0).alias("size"), F.col("pos").cast("bigint").alias("at"), F.lit(0).alias("from"))
-    on_reference, on_read = ["M", "D", "N", "=", "X"], ["M", "I", "S", "=", "X"]
-    return F.aggregate(runs, F.struct(place.alias("last"), F.array(place).alias("all")), lambda state, run: _step(state, run, on_reference, on_read),
-                       lambda state: F.slice(state["all"], 2, F.size(state["all"])))
+def _placed_runs(ops: tuple[str, ...]) -> Column:
+    """Runs of column ``cigar``, of the ``ops`` asked for, with where each begins: ``at`` bases after the read's place, ``from`` in the read.
+
+    Each different text of a batch is taken apart once.
+    """
+    kind = pa.list_(pa.struct([("op", pa.string()), ("size", pa.int32()), ("at", pa.int64()), ("from", pa.int32())]))
+    pattern = re.compile("([0-9]+)([MIDNSHP=X])")
+
+    @F.arrow_udf("array<struct<op string, size int, at bigint, from int>>")
+    def place(cigars: pa.Array) -> pa.Array:
+        coded = cigars.dictionary_encode()
+        placed = []
+        for text in coded.dictionary.to_pylist():
+            runs, at, begin = [], 0, 0
+            for size, op in ((int(n), op) for n, op in pattern.findall(text)):
+                if size and op in ops:
+                    runs.append({"op": op, "size": size, "at": at, "from": begin})
+                at += size if op in "MDN=X" else 0
+                begin += size if op in "MIS=X" else 0
+            placed.append(runs)
+        return pa.array(placed, kind).take(coded.indices)
+
+    return place("cigar")
 
 
 def aligned_runs(reads: DataFrame) -> DataFrame:
     """Reference runs that SAM reads cover: ``chrom``, ``start``, ``size``, one row per run of matched bases."""
-    covered = F.filter(_placed_runs(), lambda run: run["op"].isin("M", "=", "X"))
     keep = [c for c in ("sample", "role", "chrom") if c in reads.columns]
-    opened = reads.select(*keep, F.explode(F.transform(covered, lambda run: F.struct(run["at"].alias("start"), run["size"].alias("size")))).alias("_r"))
-    return opened.select(*keep, "_r.start", "_r.size")
+    opened = reads.select(*keep, "pos", F.inline(_placed_runs(MATCHED)))
+    return opened.select(*keep, (F.col("pos").cast("bigint") + F.col("at")).alias("start"), "size")
 
 
-def expand_alignment(reads: DataFrame) -> DataFrame:
-    """Aligned bases of SAM reads: one row per matched base, insertion and deletion.
+def near_reads(reads: DataFrame) -> DataFrame:
+    """The same reads, dealt by genome bin, so that the bases of a task fall on few loci.
+
+    Counting by locus then shrinks them before its shuffle, and a task holds the loci of some bins instead of most of
+    the genome's. The number of partitions follows the size of the input; a bin with very many reads is split.
+    """
+    keyed = reads.withColumn("_bin", F.floor(F.col("pos") / BIN_BASES))
+    return keyed.hint("rebalance", partitions_for(reads), "chrom", "_bin").drop("_bin")
+
+
+def expand_alignment(reads: DataFrame, ops: tuple[str, ...] = (*MATCHED, "I", "D")) -> DataFrame:
+    """Aligned bases of SAM reads: one row per matched base, insertion and deletion, of the ``ops`` asked for.
 
     ``base`` is the read's base at a matched position. ``indel`` is ``+<bases>`` or
     ``-<length>`` and sits at the position before the change.
     """
-    placed = _placed_runs()
-    none = F.lit(None).cast("string")
-    no_quality = F.lit(None).cast("int")
-
-    def events(run: Column) -> Column:
-        matched = F.transform(F.sequence(F.lit(0), run["size"] - 1), lambda j: F.struct(
-            (run["at"] + j).alias("pos"), F.substring("seq", run["from"] + j + 1, F.lit(1)).alias("base"),
-            (F.ascii(F.substring("qual", run["from"] + j + 1, F.lit(1))) - 33).alias("baseq"), none.alias("indel")))
-        text = F.when(run["op"] == "I", F.concat(F.lit("+"), F.substring("seq", run["from"] + 1, run["size"]))).otherwise(
-            F.concat(F.lit("-"), run["size"].cast("string")))
-        change = F.array(F.struct((run["at"] - 1).alias("pos"), none.alias("base"), no_quality.alias("baseq"), text.alias("indel")))
-        return F.when(run["op"].isin("M", "=", "X"), matched).when(run["op"].isin("I", "D"), change)
-
     keep = [c for c in ("sample", "role", "chrom", "flag", "mapq") if c in reads.columns]
-    shown = F.filter(placed, lambda run: run["op"].isin("M", "=", "X", "I", "D"))
-    return computed(reads, _runs=shown).select(*keep, F.inline(F.flatten(F.transform("_runs", events))))
+    # bytes, where a base is found without reading those before it
+    text = [F.col(c).cast("binary").alias(c) for c in ("seq", "qual")]
+    runs = reads.select(*keep, F.col("pos").cast("bigint").alias("pos"), *text, F.inline(_placed_runs(ops)))
+    matched = F.col("op").isin(*MATCHED)
+    opened = runs.select("*", F.explode(F.when(matched, F.sequence(F.lit(0), F.col("size") - 1)).otherwise(F.array(F.lit(0)))).alias("_j"))
+    at = F.col("from") + F.col("_j") + 1
+    inserted = F.concat(F.lit("+"), F.substring("seq", F.col("from") + 1, F.col("size")).cast("string"))
+    return opened.select(
+        *keep, (F.col("pos") + F.col("at") + F.when(matched, F.col("_j")).otherwise(-1)).alias("pos"),
+        F.when(matched, F.substring("seq", at, F.lit(1)).cast("string")).alias("base"),
+        F.when(matched, F.ascii(F.substring("qual", at, F.lit(1)).cast("string")) - 33).alias("baseq"),
+        F.when(F.col("op") == "I", inserted).when(F.col("op") == "D", F.concat(F.lit("-"), F.col("size").cast("string"))).alias("indel"))
 
 
-def _step(state: Column, run: Column, on_reference: list[str], on_read: list[str]) -> Column:
-    last = state["last"]
-    here = F.struct(
-        run["op"].alias("op"), run["size"].alias("size"),
-        (last["at"] + F.when(last["op"].isin(on_reference), last["size"]).otherwise(0)).alias("at"),
-        (last["from"] + F.when(last["op"].isin(on_read), last["size"]).otherwise(0)).alias("from"))
-    return F.struct(here.alias("last"), F.concat(state["all"], F.array(here)).alias("all"))
+def expand_changes(reads: DataFrame) -> DataFrame:
+    """The insertions and deletions of :func:`expand_alignment` only; reads without one are not opened."""
+    return expand_alignment(reads.where(F.col("cigar").rlike("[ID]")), ("I", "D"))
 
 
 def _count(side: str, base: str, strand: str) -> str:
@@ -175,7 +197,7 @@ def indel_counts(bases: DataFrame, pile: DataFrame, blocks: DataFrame, width: in
                  keys: list[str] = LOCUS) -> DataFrame:
     """Most frequent insertion or deletion per locus with its counts, VCF style.
 
-    Reads at the locus without that change count as reference.
+    Reads at the locus without that change count as reference. ``pile`` gives the depths and needs no ``ref``.
     """
     seen = bases.where("indel is not null").groupBy(*keys, "indel").agg(
         *(F.count_if(F.col("role") == role).alias(f"{side}_alt") for side, role in ROLES.items()))
@@ -183,7 +205,8 @@ def indel_counts(bases: DataFrame, pile: DataFrame, blocks: DataFrame, width: in
     best = seen.groupBy(*keys).agg(
         F.min(F.struct((-(F.col("n_alt") + F.col("t_alt"))).alias("_by"), "indel", "n_alt", "t_alt")).alias("_b"))
     sites = best.select(*keys, "_b.indel", "_b.n_alt", "_b.t_alt")
-    depths = allele_counts(pile, keys).select(*keys, "n_depth", "t_depth")
+    depth = {side: " + ".join(_count(side, b, s) for b in BASES for s in "fr") for side in ROLES}
+    depths = pile.select(*keys, *(F.expr(e).cast("bigint").alias(f"{side}_depth") for side, e in depth.items()))
     at = F.col("pos") - 1
     joined = sites.join(depths, keys).withColumn("block", F.floor(at / width)).join(
         blocks.select("chrom", "block", "bases"), ["chrom", "block"])

@@ -297,7 +297,7 @@ BLOCK = 1000
 
 
 def _long(v):
-    """Bases, pileup and reference blocks: reads are alignment text, the reference is FASTA text."""
+    """Insertions and deletions, pileup and reference blocks: reads are alignment text, the reference is FASTA text."""
     path = work_path(v.spark, "long-reads")
     reads = v.long_reads
     name = F.concat_ws(":", "sample", "role", F.col("l_orderkey").cast("string"))
@@ -306,16 +306,15 @@ def _long(v):
                              F.lit("*"), F.lit("0"), F.lit("0"), "seq", quality).alias("value")).write.text(path)
     parts = F.split("qname", ":")
     back = B.read_sam(v.spark, path)[1].withColumns({"sample": F.get(parts, F.lit(0)), "role": F.get(parts, F.lit(1))})
-    bases = P.expand_alignment(G.usable_reads(G.reheader(back)))
+    usable = G.usable_reads(G.reheader(back))
     fasta = work_path(v.spark, "fasta")
     write_fasta(v.reference_lines.select("chrom", "start", "bases"), fasta)
-    return bases, P.pileup(bases), B.reference_blocks(B.read_reference(v.spark, fasta), BLOCK, 200)
+    return P.expand_changes(usable), P.pileup(P.expand_alignment(P.near_reads(usable), P.MATCHED)), B.reference_blocks(B.read_reference(v.spark, fasta), BLOCK, 200)
 
 
 def indels(v):
-    bases, pile, blocks = _long(v)
-    pile = P.with_reference(pile, blocks, BLOCK)
-    return P.route_variant_kind(P.process_somatic(P.call_somatic(P.indel_counts(bases, pile, blocks, BLOCK))))
+    changes, pile, blocks = _long(v)
+    return P.route_variant_kind(P.process_somatic(P.call_somatic(P.indel_counts(changes, pile, blocks, BLOCK))))
 
 
 @query("pileup_reference", """
