@@ -23,6 +23,15 @@ def test_segments_against_depth_by_base(spark, monkeypatch):
         assert (r.positions, r.mean_depth, r.median_depth, r.max_depth) == (len(own), sum(own) / len(own), median(own), max(own))
 
 
+def test_a_sweep_counts_its_events_once(spark):
+    runs = spark.range(1000).selectExpr("concat('chr', id % 3) as chrom", "id * 7 as start", "5 as size").union(
+        spark.sql("select cast(null as string), 1L, 5"))
+    segments = G.depth_segments(runs)
+    assert segments.agg({"depth": "sum"}).first()[0] == 1000
+    segments.collect()
+    assert "ReusedExchange" in segments._jdf.queryExecution().executedPlan().toString()
+
+
 def test_runs_of_alignments(spark):
     df = spark.createDataFrame([("chr1", 10, "3S4M2D3M1I2M5N1M2H"), ("chr1", 5, "*")], "chrom string, pos bigint, cigar string")
     assert [(r.start, r.size) for r in P.aligned_runs(df).collect()] == [(10, 4), (16, 3), (19, 2), (26, 1)]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -97,7 +99,9 @@ def depth_segments(runs: DataFrame, by: list[str] | None = None) -> DataFrame:
     ends = F.array(F.struct(F.col("start").cast("bigint").alias("at"), F.lit(1).alias("d")),
                    F.struct((F.col("start") + F.col("size")).cast("bigint").alias("at"), F.lit(-1).alias("d")))
     events = runs.where("size > 0").select(*group, F.inline(ends)).groupBy(*group, "at").agg(F.sum("d").alias("d"))
-    events = events.withColumn("bin", F.floor(F.col("at") / BIN)).repartition(*group, "bin")
+    # the join below takes nulls out of each side in its own way; taken out here, both sides read one exchange
+    placed = reduce(and_, (F.col(c).isNotNull() for c in [*group, "at"]))
+    events = events.where(placed).withColumn("bin", F.coalesce(F.floor(F.col("at") / BIN), F.lit(0))).repartition(*group, "bin")
     bins = events.groupBy(*group, "bin").agg(F.sum("d").alias("sum"), F.min("at").alias("first"))
     along = Window.partitionBy(*group).orderBy("bin")
     # one row per bin that has an event
