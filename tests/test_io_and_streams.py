@@ -1,8 +1,11 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from variloom.operators import runstate as R
 from variloom.session import work_path
+from variloom.sinks import files as K
 from variloom.sources import files as S
 from variloom.sources import metrics as M
 from variloom.streaming import stages as X
@@ -119,3 +122,35 @@ def test_live_views_do_not_hang_on_file_count(spark, tmp_path):
         path = X.write_to_end(stream, "live")
         assert {r.node: r.jobs_requested for r in X.live_node_view(spark, path, nodes).collect()} == want == {"n0": 500, "n1": 500, "n2": 500}
         assert {r.case_id: r.progress for r in X.live_progress(spark, path, work).collect()} == {"c0": "300 | 0 | 0", "c4": "300 | 0 | 0"}
+
+
+def test_json_records_share_files(spark, tmp_path):
+    path = tmp_path / "records"
+    rows = spark.range(2500, numPartitions=3).selectExpr("id", "concat('a\"', id) as name", "if(id % 7 = 0, null, id) as odd")
+    K.write_json_records(rows, str(path), 400)
+    # 834 rows at most in a partition, whose first and last files may be short
+    files = list(path.glob("part-*"))
+    assert len(files) <= 12 and max(f.read_text().count('"name"') for f in files) == 400
+    (path / "part-alone.txt").write_text('{"id": -1,\n "name": "alone"}')
+    back = S.read_json_records(spark, str(path), "id bigint, name string, odd bigint")
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == [
+        (-1, "alone", None), *((i, f'a"{i}', None if i % 7 == 0 else i) for i in range(2500))]
+
+
+def test_reads_are_counted_without_sorting_them(spark, tmp_path):
+    from variloom.plans import bridge
+    from variloom.plans.registry import RUNS
+
+    spark.range(50).selectExpr("id as p_partkey", "concat('Brand#', id % 5) as p_brand", "cast(id % 9 as int) as p_size").write.parquet(
+        str(tmp_path / "part.parquet"))
+    spark.range(400).selectExpr(
+        "id as l_orderkey", "id % 50 as l_partkey", "id % 3 as l_suppkey", "cast(id % 7 as int) as l_linenumber", "cast(id % 50 + 1 as double) as l_quantity",
+        "0.05 as l_tax", "'A' as l_returnflag", "if(id % 2 = 0, 'F', 'O') as l_linestatus").write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = RUNS["rt_sam"](spark, str(tmp_path))
+    reads = bridge.Views(spark, str(tmp_path)).reads.collect()
+    for r in found.collect():
+        raw = r.chrom.removeprefix("chr")
+        own = [x for x in reads if x.raw_chrom == raw and x.role == r.role]
+        assert (r.n, r.pos_sum, r.flag_sum, r.min_base) == (len(own), sum(x.pos for x in own), sum(x.flag for x in own), min(x.base for x in own))
+    # the sorting aggregate for the least text meets groups that a hash aggregate has counted
+    assert re.search(r"HashAggregate\(keys=\[[^]]*seq#", found._jdf.queryExecution().executedPlan().toString())

@@ -66,7 +66,7 @@ def rt_status(v):
 @query("rt_json", "select node, state, cores from {nodes}")
 def rt_json(v):
     path = work_path(v.spark, "json")
-    v.nodes.select("node", "state", "cores").write.option("maxRecordsPerFile", 1).json(path)
+    K.write_json_records(v.nodes.select("node", "state", "cores"), path)
     return S.read_json_records(v.spark, path, "node string, state string, cores int")
 
 
@@ -94,8 +94,11 @@ def rt_sam(v):
     head.unionByName(reads.select(line.alias("value"))).write.text(path)
     header, back = B.read_sam(v.spark, path)
     known = G.reheader(header.where("tag = 'SQ'")).select("raw_chrom", "chrom")
-    return back.join(known, "raw_chrom").groupBy("chrom", F.split_part("qname", F.lit(":"), F.lit(1)).alias("role")).agg(
-        F.count("*").alias("n"), F.sum("pos").alias("pos_sum"), F.sum("flag").cast("bigint").alias("flag_sum"), F.min("seq").alias("min_base"))
+    # counted by bases first: the least text of a group needs all its rows sorted, of few different ones it does not
+    by_seq = back.join(known, "raw_chrom").groupBy("chrom", F.split_part("qname", F.lit(":"), F.lit(1)).alias("role"), "seq").agg(
+        F.count("*").alias("n"), F.sum("pos").alias("pos_sum"), F.sum("flag").alias("flag_sum"))
+    return by_seq.groupBy("chrom", "role").agg(
+        F.sum("n").alias("n"), F.sum("pos_sum").alias("pos_sum"), F.sum("flag_sum").cast("bigint").alias("flag_sum"), F.min("seq").alias("min_base"))
 
 
 @query("rt_sam_pileup", "select * exclude (ref) from {piled}")

@@ -13,6 +13,10 @@ from variloom.operators.runstate import reset_plan
 from variloom.session import work_path
 
 
+#: JSON objects for each file.
+JSON_RECORDS = 1000
+
+
 def _balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *keys)
 
@@ -88,6 +92,14 @@ def to_json_rows(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("json"))
 
 
+def write_json_records(df: DataFrame, path: str, per_file: int = JSON_RECORDS) -> None:
+    """Rows as files of an array of at most ``per_file`` JSON objects each."""
+    # consecutive rows of a partition; the numbers of another one are far away
+    numbered = df.select(F.struct("*").alias("_r")).withColumn("_file", F.floor(F.monotonically_increasing_id() / per_file))
+    packed = numbered.groupBy("_file").agg(F.collect_list("_r").alias("_r"))
+    packed.select(F.to_json("_r").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
 def reset_tables(spark: SparkSession, root: str, schemas: dict[str, str], **flags: bool) -> list[str]:
     """Empty the state tables a reset covers; gives their names."""
     names = [n for n in reset_plan(**flags) if n in schemas]

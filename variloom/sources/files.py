@@ -79,7 +79,7 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One JSON object per file."""
+    """One JSON object, or an array of them, per file."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
