@@ -100,3 +100,15 @@ def test_pairs_read_one_exchange(spark):
             side["tumor" if "-01A-" in r[4] else "normal"] = r[5]
         want[k // 2] = (side.get("tumor"), side.get("normal"), rows[min(k + 1, len(rows) - 1)][4])
     assert got == want
+
+
+def test_file_row_index_neither_sorts_nor_exchanges_rows(spark, tmp_path):
+    spark.range(1000, numPartitions=5).selectExpr("id", "id * 3 as x").write.parquet(str(tmp_path / "t"))
+    rows = O.file_row_index(spark.read.parquet(str(tmp_path / "t")), "place", per_file=False)
+    got = rows.collect()
+    assert [(r.place, r.x) for r in sorted(got)] == [(i + 1, 3 * i) for i in range(1000)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    # the rows are the join's streamed side; only the table of splits is exchanged and sorted, below the broadcast
+    assert "BroadcastHashJoin" in plan and "Exchange" not in plan[:plan.index("BroadcastHashJoin")]
+    assert all("id#" not in line for line in plan.splitlines() if "Sort [" in line or "Window [" in line)

@@ -114,14 +114,21 @@ def file_row_index(df: DataFrame, name: str = "row_no", per_file: bool = False)
     """Add the 1-based line position of rows just read from text files.
 
     File splits serve as ranges: a split's rows come in file order, and splits are ordered
-    by path and start offset. ``per_file`` starts over in every file.
+    by path and start offset. ``per_file`` starts over in every file. Rows of a split have consecutive ids, so a split's
+    first id and the rows before it place its rows: rows are neither sorted nor exchanged.
     """
-    marked = df.withColumns({
-        "_path": F.col("_metadata.file_path"),
-        "_at": F.col("_metadata.file_block_start"),
-        "_seq": F.monotonically_increasing_id(),
-    })
-    return split_running(marked, {name: F.lit(1)}, ["_path"] if per_file else []).drop("_path", "_at", "_seq")
+    marked = _marked(df)
+    before = Window.partitionBy(*(["_path"] if per_file else [])).orderBy("_path", "_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = marked.groupBy("_path", "_at").agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
+    # one row per file split, fewer than the driver's list of files and splits takes
+    starts = splits.select("_path", "_at", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    placed = marked.join(F.broadcast(starts), ["_path", "_at"])
+    return placed.select(*df.columns, (F.col("_seq") + F.col("_shift")).alias(name))
+
+
+def _marked(df: DataFrame) -> DataFrame:
+    """Rows just read from files with their split, ``_path`` and ``_at``, and ``_seq``, rising inside it."""
+    return df.withColumns({"_path": F.col("_metadata.file_path"), "_at": F.col("_metadata.file_block_start"), "_seq": F.monotonically_increasing_id()})
 
 
 def split_running(marked: DataFrame, sums: dict[str, Column], scope: list[str]) -> DataFrame:
