@@ -153,3 +153,20 @@ def test_design_checks(spark):
     rows = [("9", "10", "50", "100", "1000"), ("60", "50", "101", "99", "1001"), ("x", "10", "0", "500", "400")]
     got = [r.errors for r in T.validate_design(spark.createDataFrame(rows, names)).collect()]
     assert got == [[], ["temp_range", "min_recoded", "min_amp", "max_amp"], ["min_temp", "amp_range"]]
+
+
+def test_pieces_are_scored_once(spark):
+    df = spark.createDataFrame([(i, "".join(random.Random(i).choices("ACGT", k=3 * 300))) for i in range(4)], "seq_id bigint, seq string")
+    for run in (T.best_pairs, T.parity_tail):
+        plan = run(df, PARAMS)._jdf.queryExecution().executedPlan().toString()
+        # one table of codons is joined, below the only pass over the pieces
+        assert plan.count("BroadcastHashJoin") == 1, run.__name__
+
+
+def test_pairs_keep_letters_outside_ascii(spark):
+    text = "é" + "".join(random.Random(5).choices("ACGT", k=3 * 200))
+    records = spark.createDataFrame([("ACGT" * 20,), (text,)], "new string")
+    at = T._with_bytes(records).selectExpr("new", "_bytes", "1 as _k", "4 as _j", "array(1Y, 2Y, 3Y, 4Y, 5Y) as s").select("new", "_bytes", *T._pair_details())
+    for r in at.collect():
+        assert (r.left_new, r.right_new) == (r.new[3:27], r.new[12:36])
+        assert (r["_bytes"] is None) == (r.new == text)
