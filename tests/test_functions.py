@@ -97,6 +97,13 @@ def test_percent_changed(spark):
     assert values(spark, rows, "a string, b string", S.percent_changed(F.col("a"), F.col("b"))) == [50.0, 0.0]
 
 
+def test_percent_changed_of_a_width_needs_no_lambda(spark):
+    rows = [("ACGT", "AGGA"), ("ACGTA", "ACGTC"), ("AC", "ACG"), ("", ""), ("ACGT", None)]
+    plain, wide = (S.percent_changed(F.col("a"), F.col("b"), w) for w in (None, 4))
+    assert values(spark, rows, "a string, b string", wide) == values(spark, rows, "a string, b string", plain) == [50.0, 20.0, 0.0, None, 0.0]
+
+
+
 def exact_tail(x, d, k, n):
     hits = sum(comb(k, i) * comb(n - k, d - i) for i in range(x, min(k, d) + 1))
     return float(Fraction(hits, comb(n, d)))
