@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from variloom.llm import linededup
-from variloom.llm.components import Forest
+from variloom.llm.components import Forest, components
 from variloom.llm.textbytes import word_hashes
 
 SEED = "the quick brown fox jumps over a lazy dog while seven wizards quietly mix potions under pale winter moons near old stone bridges"
@@ -129,3 +129,46 @@ def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "one line here\n..")] * 3, "doc_id long, text string")
     assert sorted(r.text for r in linededup.drop_repeated_lines(docs).collect()) == ["..", "..", "one line here\n.."]
     assert linededup.drop_repeated_lines(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("letters", ["ab ", "abcdef\xe9", "ab\u0436\U0001F600"])
+def test_pairs_at_once_agree_with_the_table(letters):
+    rng = np.random.default_rng(5)
+    text = lambda n: "".join(rng.choice(list(letters), n))
+    a, b = [], []
+    for n in (0, 1, 9, 40, 90, 130) * 30:
+        one = text(n)
+        other = list(one)
+        for _ in range(int(rng.integers(0, 2 + n // 5))):
+            at = int(rng.integers(0, len(other) + 1))
+            other[at:at + int(rng.integers(0, 2))] = text(int(rng.integers(0, 2)))
+        a, b = [*a, one, text(n)], [*b, "".join(other), text(max(0, n - 3))]
+    exact = np.array([distance(x, y) for x, y in zip(a, b)])
+    longest = np.array([max(len(x), len(y)) for x, y in zip(a, b)])
+    for mosts in (longest // 10, longest // 3, exact, exact - 1, longest):
+        assert linededup.within_bound(a, b, mosts).tolist() == (exact <= mosts).tolist()
+        assert [linededup.within_bound([x], [y], np.array([m]))[0] for x, y, m in zip(a, b, mosts)] == (exact <= mosts).tolist()
+    # hundreds of edits: more diagonals than one number has bits
+    a = [text(700) for _ in range(40)]
+    b = [x[100:600] if k % 2 else x[:350] + text(70) + x[350:] for k, x in enumerate(a)]
+    assert linededup.within_bound(a, b, np.full(40, 200)).tolist() == [True] * 40
+    assert linededup.within_bound(a, b, np.full(40, 69)).tolist() == [False] * 40
+
+
+def test_documents_take_one_exchange(spark):
+    docs = spark.createDataFrame([(i, f"line {i}\nshared words here") for i in range(9)], "doc_id long, text string")
+    # a small table would be broadcast instead
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = linededup.drop_repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    window, join = plan.index("Window"), plan.index("SortMergeJoin")
+    assert window < join and "Exchange" not in plan[window:join]
+
+
+def test_few_edges_are_folded_without_stars(spark, monkeypatch):
+    monkeypatch.setattr("variloom.llm.components._stars", None)
+    edges = spark.createDataFrame([(i + 1, i) for i in range(300)] + [(900, 901)], "x long, y long").repartition(7)
+    assert {(r.node, r.component) for r in components(edges).collect()} == {(i, 0) for i in range(301)} | {(900, 900), (901, 900)}

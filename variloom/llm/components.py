@@ -53,9 +53,11 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([forest.root(x) for x in nodes], pa.int64())], ["a", "b"])
 
 
-def _shrunk(edges: DataFrame, count: int) -> DataFrame:
-    parts = max(1, -(-count // PART))
-    return edges.repartition(parts, "a").mapInArrow(_forest, "a long, b long")
+def _shrunk(edges: DataFrame) -> tuple[DataFrame, bool]:
+    """The edges' forests, and whether there is only one: a part's worth of edges needs no exchange."""
+    parts = -(-edges.count() // PART)
+    dealt = edges.coalesce(1) if parts < 2 else edges.repartition(parts, "a")
+    return settle(dealt.mapInArrow(_forest, "a long, b long"), "forest"), parts < 2
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -65,17 +67,15 @@ def components(edges: DataFrame) -> DataFrame:
     """
     x, y = edges.columns[:2]
     own = edges.where(F.col(x) != F.col(y)).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
-    own = settle(own, "edges")
-    own = settle(_shrunk(own, own.count()), "forest")
-    while not _stars(own):
+    own, one = _shrunk(settle(own, "edges"))
+    while not (one or _stars(own)):
         both = own.select(F.col("a").alias("u"), F.col("b").alias("v")).union(own.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         root = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(root, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
                  .select("e.a", "e.b").where("a != b").distinct())
-        own = settle(small, "stars")
-        own = settle(_shrunk(own, own.count()), "forest")
+        own, one = _shrunk(settle(small, "stars"))
     roots = own.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return own.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 

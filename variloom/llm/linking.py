@@ -32,12 +32,13 @@ TASK_PAIRS = 2_000_000
 
 
 def link(keys: DataFrame, payloads: Callable[[DataFrame], DataFrame], similar: Callable[[Column, Column], Column],
-         within: Callable[[list, list, list, list], list[tuple[int, int]]], block_weight: int) -> DataFrame:
+         within: Callable[..., list[tuple[int, int]]], block_weight: int, several: bool = False) -> DataFrame:
     """Components (``node``, ``component``) of the ids in ``keys`` (``key`` long, ``id`` long) that have a link.
 
     ``payloads(ids)`` gives ``id``, ``payload`` and ``weight`` for a table of ids, ``similar`` says on two
     payload columns whether they link, ``within(sides, ids, comps, payloads)`` gives the links of a block
     between different components (of different sides if there are two); ``block_weight`` bounds a block.
+    With ``several``, ``within`` takes a list of such blocks.
     """
     # a bucket is known by its members' hashes, so that of buckets with the same members one is left
     bucket = keys.where("id is not null").groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("same"))
@@ -50,7 +51,7 @@ def link(keys: DataFrame, payloads: Callable[[DataFrame], DataFrame], similar: C
     pairs = left.join(body.select(F.col("id").alias("pivot"), F.col("payload").alias("theirs")), "pivot")
     links = settle(pairs.where(similar(F.col("mine"), F.col("theirs"))).select("id", "pivot"), "links")
     first = settle(components(links), "first")
-    more = _rest(member.where("n > 2").select("key", "id"), body, first, within, block_weight)
+    more = _rest(member.where("n > 2").select("key", "id"), body, first, within if several else lambda blocks: [x for b in blocks for x in within(*b)], block_weight)
     if more.isEmpty():
         return first
     # second round on the first components' roots
@@ -100,7 +101,7 @@ def _blockwise(within):
     def links(columns: list[list]) -> list[tuple[int, int]]:
         tags, *rest = columns
         cuts = [0, *[i for i in range(1, len(tags)) if tags[i] != tags[i - 1]], len(tags)]
-        return [x for a, b in zip(cuts, cuts[1:]) for x in within(*[c[a:b] for c in rest])]
+        return within([[c[a:b] for c in rest] for a, b in zip(cuts, cuts[1:]) if a < b])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], [], []]

@@ -18,6 +18,8 @@ RUN_BYTES = 2 << 20
 
 _U = np.uint64
 _BLOCK = 1 << 18
+#: Bytes whose sums stay in the cache.
+_STEP = 1 << 15
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -48,11 +50,13 @@ _LOWER[0x41:0x5B] += 32
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit integers that spreads every input bit (splitmix finaliser)."""
-    x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> _U(27))
-    x = x * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    y = x >> _U(30)
+    y ^= x
+    y *= _U(0xBF58476D1CE4E5B9)
+    y ^= y >> _U(27)
+    y *= _U(0x94D049BB133111EB)
+    y ^= y >> _U(31)
+    return y
 
 
 _BYTE_CODES = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
@@ -126,8 +130,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     left, right = np.zeros(len(starts), _U), np.zeros(len(starts), _U)
     shift = np.zeros(len(starts), _U)
     total, power, inverse = 0, 1, 1
-    for low in range(0, len(data), _BLOCK):
-        part = data[low:low + _BLOCK]
+    for low in range(0, len(data), _STEP):
+        part = data[low:low + _STEP]
         high = low + len(part)
         sums = np.empty(len(part) + 1, _U)
         sums[0] = total
@@ -140,8 +144,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         a, b = np.searchsorted(ends, (low, high), "right")
         right[a:b] = sums[ends[a:b] - low]
         total = int(sums[-1])
-        power = power * int(_POWERS[_BLOCK]) & _MASK
-        inverse = inverse * int(_INVERSES[_BLOCK]) & _MASK
+        power = power * int(_POWERS[_STEP]) & _MASK
+        inverse = inverse * int(_INVERSES[_STEP]) & _MASK
     return mix((right - left) * shift + (ends - starts).astype(_U))
 
 
